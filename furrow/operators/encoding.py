@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.text import strip
-from furrow.workspace import checkpoint
+from furrow.workspace import checkpoint, materialize
 
 DICTIONARY_SCHEMA = "column string, category string, idx long, rows long"
 RARE = "__rare__"
@@ -31,7 +31,8 @@ def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows ``(column, category, idx, rows)``: stripped categories, numbered from 0 in text order per column.
 
     The distinct categories are range-sorted over the cluster and pinned by a checkpoint; each gets its place from
-    its position in its partition plus the sizes of the partitions before, so no task sees a whole vocabulary.
+    its position in its partition plus the sizes of the partitions before, so no task sees a whole vocabulary. The
+    result is a stored table, whose size the planner knows when it joins it.
     """
     counts = category_frequency(df.select(*[strip(c).alias(c) for c in columns]), columns).drop("rare")
     ordered = checkpoint(counts.sort("column", "category"))
@@ -46,9 +47,10 @@ def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     offsets = offsets.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     numbered = placed.join(F.broadcast(offsets), "_part").withColumn("_place", F.col("_offset") + F.col("_pos"))
     starts = numbered.groupBy("column").agg(F.min("_place").alias("_start"))
-    return numbered.join(F.broadcast(starts), "column").select(
+    fitted = numbered.join(F.broadcast(starts), "column").select(
         "column", "category", (F.col("_place") - F.col("_start")).alias("idx"), "rows"
     )
+    return materialize(fitted, "dictionary")
 
 
 def _entries(dictionary: DataFrame, column: str, *values) -> DataFrame:
@@ -58,7 +60,7 @@ def _entries(dictionary: DataFrame, column: str, *values) -> DataFrame:
 def label_encode(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], unseen: int = -1) -> DataFrame:
     """Replace categories by their index; unseen and null categories become ``unseen``.
 
-    There is no broadcast hint: a saved dictionary has a known file size, so the planner broadcasts it when it is
+    There is no broadcast hint: a stored dictionary has a known file size, so the planner broadcasts it when it is
     below its threshold and otherwise joins by shuffle, where adaptive execution splits a category that holds much
     of the data.
     """

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +24,53 @@ def row_hash(columns: Sequence[str], seed: int):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Where a part ends: after ``take`` of the ``copies`` rows whose hash is ``at``."""
+
+    at: str
+    copies: int
+    take: int
+
+
+def _find_cuts(
+    rows: DataFrame, label: str, labels: Sequence[int], cut_ranks: Callable[[Column], list[Column]]
+) -> dict[int, list[Cut]]:
+    """Hash at each wanted rank, per label, from two passes that rank nothing but the surroundings of the cuts.
+
+    The first counts rows per label and leading hash digits (at most labels * 16^BUCKET_DIGITS groups) and finds the
+    buckets that hold a cut. The second counts rows per hash in those buckets, about one row in 16^BUCKET_DIGITS.
+    The driver gets one row per label and cut each time.
+    """
+
+    def at_rank(counts: DataFrame, keys: list[str], order: str, need: Column) -> DataFrame:
+        upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(order))
+        ranked = counts.withColumn("_upto", upto).withColumn("_need", need)
+        before = F.col("_upto") - F.col("_n")
+        hit = (F.col("_upto") >= F.col("_need")) & (before < F.col("_need"))
+        return ranked.where(hit).withColumn("_need", F.col("_need") - before)
+
+    one = F.count(F.lit(1)).alias("_n")
+    sizes = rows.groupBy(label, _BUCKET).agg(one)
+    total = F.sum("_n").over(Window.partitionBy(label))
+    ranks = F.array(*[rank.cast("long") for rank in cut_ranks(F.col("_total"))])
+    sizes = sizes.withColumn("_total", total).select("*", F.posexplode(ranks).alias("_cut", "_rank"))
+    buckets = at_rank(sizes, [label, "_cut"], _BUCKET, F.col("_rank")).collect()
+
+    def found(r) -> Column:
+        return (F.col(label) == r[label]) & (F.col(_BUCKET) == r[_BUCKET])
+
+    cuts: dict[int, list[Cut]] = {v: [] for v in labels}
+    if not buckets:
+        return cuts
+    near = rows.where(reduce(or_, [found(r) for r in buckets])).groupBy(label, _BUCKET, _HASH).agg(one)
+    wanted = F.array(*[F.struct(F.lit(r["_cut"]).alias("c"), F.lit(r["_need"]).alias("n"), found(r).alias("f")) for r in buckets])
+    near = near.select("*", F.inline(F.filter(wanted, lambda w: w["f"]))).withColumnRenamed("c", "_cut")
+    for r in at_rank(near, [label, "_cut"], _HASH, F.col("n")).orderBy("_cut").collect():
+        cuts[r[label]].append(Cut(r[_HASH], r["_n"], r["_need"]))
+    return cuts
+
+
 def _assign_parts(
     df: DataFrame,
     label: str,
@@ -32,11 +82,8 @@ def _assign_parts(
     """Number the parts that ``cut_ranks`` (increasing ranks, given the row count) cut each label's rows into.
 
     Rows are ranked from 1 in row-hash order per label; a row is in part i when i of the cuts are below its rank.
-    Only the cut points need ranks, so the table is never sorted or shuffled:
-
-    1. count rows per label and leading hash digits (at most labels * 16^BUCKET_DIGITS groups);
-    2. in the buckets that hold a cut, count rows per hash and find the hash at the cut;
-    3. compare every row's hash with the cut hashes of its label, one small broadcast row per label.
+    Once the hashes at the cuts are known, the part of a row is a comparison with a few constants, so the table is
+    neither sorted nor shuffled. It is read three times: materialize a costly input first.
 
     Rows with the same hash are exact copies. When a cut falls between copies, they are counted and written out
     again in chunks, so that a huge group of copies is spread over tasks.
@@ -47,79 +94,33 @@ def _assign_parts(
         .withColumn(_HASH, row_hash(columns, seed))
         .withColumn(_BUCKET, F.substring(_HASH, 1, BUCKET_DIGITS))
     )
-    one = F.count(F.lit(1))
-
-    upto = Window.partitionBy(label).orderBy(_BUCKET)
-    sizes = (
-        rows.groupBy(label, _BUCKET)
-        .agg(one.alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(upto))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(label)))
-    )
-    cuts = F.array(
-        *[
-            F.struct(F.lit(i).alias("_cut"), rank.cast("long").alias("_need"))
-            for i, rank in enumerate(cut_ranks(F.col("_total")))
-        ]
-    )
-    cut_buckets = (
-        sizes.select("*", F.inline(cuts))
-        .where((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
-        .select(label, _BUCKET, "_cut", (F.col("_need") - (F.col("_upto") - F.col("_n"))).alias("_need"))
-    )
+    cuts = _find_cuts(rows, label, labels, cut_ranks)
 
-    # The tables broadcast below have at most one row per label and cut.
-    hashes = (
-        rows.select(label, _BUCKET, _HASH)
-        .join(F.broadcast(cut_buckets), [label, _BUCKET])
-        .groupBy(label, "_cut", "_need", _HASH)
-        .agg(one.alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(Window.partitionBy(label, "_cut").orderBy(_HASH)))
-    )
-    cut_hashes = (
-        hashes.where((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
-        .select(
-            label,
-            F.col(_HASH).alias("at"),
-            F.col("_n").alias("copies"),
-            (F.col("_need") - (F.col("_upto") - F.col("_n"))).alias("take"),
-        )
-        .groupBy(label)
-        .agg(F.collect_list(F.struct("at", "copies", "take")).alias("_cuts"))
-    )
-    placed = rows.join(F.broadcast(cut_hashes), label, "left")
+    def cuts_passed(passed: Callable[[Cut], Column]) -> Column:
+        """Number of cuts of the row's label that lie before it."""
+        per_label = [
+            F.when(F.col(label) == v, sum((passed(c).cast("int") for c in cuts[v]), F.lit(0))) for v in labels
+        ]
+        return F.coalesce(*per_label).alias(part)
 
-    def cuts_where(test):
-        return F.coalesce(F.size(F.filter("_cuts", test)), F.lit(0))
+    def hash_passed(c: Cut) -> Column:
+        return F.col(_HASH) > c.at
 
-    split_copies = F.coalesce(
-        F.exists("_cuts", lambda c: (c["at"] == F.col(_HASH)) & (c["take"] < c["copies"])), F.lit(False)
-    )
-    whole = placed.where(~split_copies).select(
-        *columns, cuts_where(lambda c: c["at"] < F.col(_HASH)).alias(part)
-    )
-    # A hash at which copies part ways is found by a join with the cuts, so nothing is read when there is none.
-    parting = cut_hashes.select(label, "_cuts", F.explode("_cuts").alias("_c")).where("_c.take < _c.copies")
-    parting = parting.select(label, "_cuts", F.col("_c.at").alias(_HASH)).distinct()
+    parting = {v: [c.at for c in cuts[v] if c.take < c.copies] for v in labels}
+    if not any(parting.values()):
+        return rows.select(*columns, cuts_passed(hash_passed))
+    apart = reduce(or_, [(F.col(label) == v) & F.col(_HASH).isin(at) for v, at in parting.items() if at])
+    last = F.col("_first") + (COPIES_PER_CHUNK - 1)
     copies = (
-        rows.join(F.broadcast(parting), [label, _HASH])
-        .groupBy(*columns, _HASH, "_cuts")
-        .agg(one.alias("_n"))
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_CHUNK))))
-        .repartition(F.col(_HASH), F.col("_chunk"))
-        .withColumn("_first", F.col("_chunk") * COPIES_PER_CHUNK + 1)
-        .withColumn(
-            "_copy",
-            F.explode(F.sequence("_first", F.least(F.col("_n"), F.col("_first") + COPIES_PER_CHUNK - 1))),
-        )
-    )
-    parted = copies.select(
-        *columns,
-        cuts_where(
-            lambda c: (c["at"] < F.col(_HASH)) | ((c["at"] == F.col(_HASH)) & (c["take"] < F.col("_copy")))
-        ).alias(part),
+        rows.where(apart)
+        .groupBy(*columns, _HASH)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), "_n", F.lit(COPIES_PER_CHUNK).cast("long"))))
+        .repartition(F.col(_HASH), F.col("_first"))
+        .withColumn("_copy", F.explode(F.sequence("_first", F.least("_n", last))))
     )
-    return whole.unionByName(parted)
+    copy_parts = cuts_passed(lambda c: hash_passed(c) | ((F.col(_HASH) == c.at) & (F.col("_copy") > c.take)))
+    return rows.where(~apart).select(*columns, cuts_passed(hash_passed)).unionByName(copies.select(*columns, copy_parts))
 
 
 def stratified_split(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
@@ -33,7 +35,7 @@ from furrow.workspace import materialize
 SEED = 42
 FOLD_METRICS_SCHEMA = "model string, fold int, f1 double, precision double, recall double, roc_auc double"
 
-# Rounds per candidate: the sizes of the full job, and small ones for trial runs.
+# Trees per candidate: the sizes of the full job, and small ones for trial runs.
 ROUNDS = {
     "reference": {
         "gbt_deep": 800,
@@ -43,11 +45,11 @@ ROUNDS = {
         "gbt_classic": 500,
     },
     "smoke": {
-        "gbt_deep": 8,
-        "gbt_wide": 8,
-        "random_forest": 12,
-        "forest_nobootstrap": 12,
-        "gbt_classic": 8,
+        "gbt_deep": 5,
+        "gbt_wide": 5,
+        "random_forest": 8,
+        "forest_nobootstrap": 8,
+        "gbt_classic": 5,
     },
 }
 
@@ -117,7 +119,7 @@ def prepare(train: DataFrame, mode: str = RAW, scale: bool = False) -> Prepared:
 
     The assembled rows are written to the workspace: every round of every candidate reads them.
     """
-    dictionary = materialize(fit_dictionary(train, CATEGORY_FEATURES), "dictionary")
+    dictionary = fit_dictionary(train, CATEGORY_FEATURES)
     if mode == RAW:
         mapped = bucket_rare(train, dictionary, CATEGORY_FEATURES)
         stages = Pipeline(stages=feature_stages(scale=scale)).fit(mapped)
@@ -163,24 +165,28 @@ def score_metrics(scored: DataFrame) -> DataFrame:
     return binary_metrics(scored).crossJoin(roc_auc(scored)).select("f1", "precision", "recall", "roc_auc")
 
 
-def cross_validate(estimators: dict[str, Estimator], folded: DataFrame) -> DataFrame:
+def cross_validate(estimators: dict[str, Estimator], folded: DataFrame, parallelism: int = 4) -> DataFrame:
     """Metrics per model and fold: rows ``(model, fold, f1, precision, recall, roc_auc)``.
 
     ``folded`` is a feature projection with a ``fold`` column. Dictionary and feature stages are fitted on the
-    training part of each fold and shared by the candidates. The driver receives one metrics row per fit.
+    training part of each fold and shared by the candidates, of which ``parallelism`` are fitted at a time. The
+    driver receives one metrics row per fit.
     """
     spark = folded.sparkSession
     folded = materialize(folded, "folds")
     folds = sorted(row["fold"] for row in folded.select("fold").distinct().collect())
     results = []
-    for fold in folds:
-        prepared = prepare(folded.where(F.col("fold") != fold).drop("fold"))
-        held_out = folded.where(F.col("fold") == fold)
-        for name, estimator in estimators.items():
-            model = fit_on(prepared, estimator)
-            scored = materialize(predict(held_out, model, prepared.dictionary), "scored")
-            metrics = score_metrics(scored).first()
-            results.append((name, int(fold), *metrics))
+    with ThreadPool(min(parallelism, len(estimators))) as pool:
+        for fold in folds:
+            prepared = prepare(folded.where(F.col("fold") != fold).drop("fold"))
+            held_out = folded.where(F.col("fold") == fold)
+
+            def check(name: str, prepared=prepared, held_out=held_out, fold=fold) -> tuple:
+                model = fit_on(prepared, estimators[name])
+                scored = materialize(predict(held_out, model, prepared.dictionary), "scored")
+                return (name, int(fold), *score_metrics(scored).first())
+
+            results.extend(pool.map(inheritable_thread_target(spark)(check), list(estimators)))
     return spark.createDataFrame(results, FOLD_METRICS_SCHEMA)
 
 

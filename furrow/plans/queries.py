@@ -97,13 +97,18 @@ def _finish(*queries) -> None:
 
 def _crop_dictionary(spark, sf_dir):
     features = feature_projection(crop(spark, sf_dir), "crop")
-    return materialize(fit_dictionary(features, CATEGORY_FEATURES), "dictionary")
+    return fit_dictionary(features, CATEGORY_FEATURES)
 
 
 def _clean_crop(spark, sf_dir):
     return quality.clean_crop(crop(spark, sf_dir))
 
 
+def _stored_crop(spark, sf_dir):
+    """The cleaned table written once, for operators that read it several times."""
+    return materialize(_clean_crop(spark, sf_dir), "cleaned")
+
+
 # Sources and sinks
 
 
@@ -307,7 +312,7 @@ def q_threshold_class(spark, sf_dir):
 
 @query("label_encode")
 def q_label_encode(spark, sf_dir):
-    dictionary = materialize(fit_dictionary(crop(spark, sf_dir), CATEGORY_FEATURES), "dictionary")
+    dictionary = fit_dictionary(crop(spark, sf_dir), CATEGORY_FEATURES)
     rows = quality.trim_categories(crop(spark, sf_dir, "rare", keys=True))
     return label_encode(rows, dictionary, CATEGORY_FEATURES).select(*CROP_KEYS, *CATEGORY_FEATURES)
 
@@ -316,7 +321,7 @@ def q_label_encode(spark, sf_dir):
 @query("rare_category_bucket")
 def q_rare_category_bucket(spark, sf_dir):
     rows = quality.trim_categories(crop(spark, sf_dir, "rare", keys=True))
-    dictionary = materialize(fit_dictionary(rows, CATEGORY_FEATURES), "dictionary")
+    dictionary = fit_dictionary(rows, CATEGORY_FEATURES)
     return bucket_rare(rows, dictionary, CATEGORY_FEATURES).select(*CROP_KEYS, *CATEGORY_FEATURES)
 
 
@@ -345,7 +350,7 @@ def q_label_distribution(spark, sf_dir):
 
 @query("label_share")
 def q_label_share(spark, sf_dir):
-    return quality.label_share(sampling.stratified_split(_clean_crop(spark, sf_dir)), by="split")
+    return quality.label_share(sampling.stratified_split(_stored_crop(spark, sf_dir)), by="split")
 
 
 @query("null_profile")
@@ -526,19 +531,19 @@ def _score_check(scored):
 
 @query("stratified_split")
 def q_stratified_split(spark, sf_dir):
-    return sampling.stratified_split(_clean_crop(spark, sf_dir))
+    return sampling.stratified_split(_stored_crop(spark, sf_dir))
 
 
 @query("stratified_folds")
 def q_stratified_folds(spark, sf_dir):
-    return sampling.stratified_folds(_clean_crop(spark, sf_dir))
+    return sampling.stratified_folds(_stored_crop(spark, sf_dir))
 
 
 @query("one_hot")
 def q_one_hot(spark, sf_dir):
     rows = crop(spark, sf_dir, "rare", keys=True)
     features = feature_projection(rows, "crop", stage_as="text", keep=CROP_KEYS)
-    dictionary = materialize(fit_dictionary(features, CATEGORY_FEATURES), "dictionary")
+    dictionary = fit_dictionary(features, CATEGORY_FEATURES)
     mapped = bucket_rare(features, dictionary, CATEGORY_FEATURES)
     vectors = Pipeline(stages=feature_stages()).fit(mapped).transform(mapped)
     names = [n.replace("_onehot_", "_") for n in vector_names(vectors)]
@@ -552,7 +557,7 @@ def q_one_hot(spark, sf_dir):
 
 @query("standardize")
 def q_standardize(spark, sf_dir):
-    parts = sampling.stratified_split(_clean_crop(spark, sf_dir))
+    parts = sampling.stratified_split(_stored_crop(spark, sf_dir))
     scaled = standardize(parts, parts.where(F.col("split") == "train"))
     numbers = [F.round(F.col(c) + 0.0, 6).alias(c) for c in ("moi", "temp", "humidity")]
     return scaled.select(*CATEGORY_FEATURES, LABEL, "split", *numbers)
@@ -564,7 +569,7 @@ def q_standardize(spark, sf_dir):
 
 def _parts(spark, sf_dir):
     """Training and validation features from an exact split, written once."""
-    rows = sampling.stratified_split(_clean_crop(spark, sf_dir))
+    rows = sampling.stratified_split(_stored_crop(spark, sf_dir))
     split = materialize(feature_projection(rows, "crop", keep=["split"]), "split")
     return [split.where(F.col("split") == part).drop("split") for part in ("train", "valid")]
 
@@ -629,7 +634,7 @@ def q_holdout_evaluation(spark, sf_dir):
 
 
 def _fold_metrics(spark, sf_dir):
-    rows = sampling.stratified_folds(_clean_crop(spark, sf_dir))
+    rows = sampling.stratified_folds(_stored_crop(spark, sf_dir))
     return ml.cross_validate(ml.candidates(PROFILE), feature_projection(rows, "crop", keep=["fold"]))
 
 

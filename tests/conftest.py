@@ -1,0 +1,33 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from furrow.session import build_session  # noqa: E402
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__sql__streaming__noDataMicroBatches__enabled="true"
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def path(tmp_path):
+    """A function from a name to an unused file URI."""
+    return lambda name: f"file://{tmp_path}/{name}"
+
+
+def rows(df, *order):
+    """Rows as tuples, in the order of the columns given or of all columns."""
+    return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
