@@ -8,6 +8,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
+def _int(text: str | None) -> int | None:
+    return int(text) if text else None
+
+
 @dataclass(frozen=True)
 class SourceConfig:
     """Where envelopes come from: a Kafka topic, or Parquet/JSON files with the same key and value columns."""
@@ -84,6 +88,9 @@ class JobConfig:
             topic=env.get("KAFKA_TOPIC", base.source.topic),
             starting_offsets=env.get("STARTING_OFFSETS", base.source.starting_offsets),
             path=env.get("SOURCE_PATH"),
+            max_files_per_trigger=_int(env.get("MAX_FILES_PER_TRIGGER")),
+            max_offsets_per_trigger=_int(env.get("MAX_OFFSETS_PER_TRIGGER")),
+            min_partitions=_int(env.get("KAFKA_MIN_PARTITIONS")),
         )
         return cls(
             source=source,

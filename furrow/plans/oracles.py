@@ -245,7 +245,7 @@ ORACLES: dict[str, str] = {
     "threshold_class": _CROP + f"SELECT {_KEYS}, moi, CASE WHEN moi <= 25 THEN 1 ELSE 0 END AS class FROM crop",
     "label_encode": f"""WITH crop AS ({_crop_view(soil=_RARE_SOIL)})
   SELECT {_KEYS}, position(trim(crop_id) IN 'ANR') - 1 AS crop_id,
-    CASE soil_type WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE -1 END AS soil_type,
+    CAST(CASE soil_type WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE -1 END AS BIGINT) AS soil_type,
     CAST(l_linenumber - 1 AS BIGINT) AS seedling_stage FROM crop""",
     "rare_category_bucket": _CROP_RARE
     + f"""SELECT {_KEYS}, crop_id, CASE WHEN count(*) OVER (PARTITION BY soil_type) < 5 THEN '__rare__'
@@ -257,7 +257,8 @@ ORACLES: dict[str, str] = {
     + f"""SELECT "column", count(DISTINCT category) AS categories FROM ({_LONG_CATEGORIES.format(t="crop")})
   GROUP BY "column\"""",
     "top_categories": _CROP_RARE
-    + f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY "rows" DESC, category) AS "rank"
+    + f"""SELECT * REPLACE (CAST("rank" AS INTEGER) AS "rank") FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY "rows" DESC, category) AS "rank"
   FROM (SELECT "column", category, count(*) AS "rows" FROM ({_LONG_CATEGORIES.format(t="crop")}) GROUP BY ALL))
   WHERE "rank" <= 5""",
     "label_distribution": _CROP + 'SELECT result, count(*) AS "rows" FROM crop GROUP BY result',

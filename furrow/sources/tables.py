@@ -26,10 +26,13 @@ def predictions_table(scored: DataFrame) -> DataFrame:
 def append_by_date(df: DataFrame, path: str) -> None:
     """Append a batch, partitioned by date.
 
-    The rebalance hint groups rows of a date into few files and lets adaptive execution split a date that holds much
-    of the data over several tasks.
+    Under adaptive execution the rows of a date are gathered into few files, and a date that holds much of the data
+    is split over several tasks. Without it rows stay where they are, for a plain shuffle by date would put a whole
+    date into one task.
     """
-    df.hint("rebalance", F.col("date")).write.mode("append").partitionBy("date").parquet(path)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        df = df.hint("rebalance", F.col("date"))
+    df.write.mode("append").partitionBy("date").parquet(path)
 
 
 def write_readings(clean: DataFrame, path: str) -> None:

@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local session without that setting."""
+    """This application's folder below ``spark.checkpoint.dir``.
+
+    Only a local session without that setting falls back to a temporary folder. The tables are left there when the
+    application ends, for it may be resumed or its results read; the folder is named after the application, so that
+    a cluster can clear old ones.
+    """
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return "file://" + tempfile.gettempdir() + "/furrow-workspace"
+    if not shared:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        shared = "file://" + tempfile.gettempdir() + "/furrow-workspace"
+    return f"{shared.rstrip('/')}/furrow-{context.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
