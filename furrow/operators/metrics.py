@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.schemas import LABEL, LABEL_DOMAIN
 
-SCORE_BUCKETS = 64
+SCORE_RANGES = 1000
 
 
 def threshold_class(score, threshold: float = 0.5):
@@ -102,32 +104,37 @@ def roc_auc(df: DataFrame, label: str = LABEL, score: str = "score") -> DataFram
     """One row ``roc_auc``: the exact area under the ROC curve, ties averaged; null without both classes.
 
     The area is the share of (positive, negative) pairs in the right order. It needs, per distinct score, the
-    negatives below it: rows are counted per score first, scores are put into SCORE_BUCKETS ranges by sketched
-    quantiles, and the running count is the buckets before plus the place inside the bucket. No task sorts more
-    than one range, and any choice of ranges gives the same sum.
+    negatives below it: that is the negatives in lower score ranges, plus those below inside the range. The ranges
+    come from sketched quantiles, which are fetched first, and any choice of them gives the same sum. Range totals
+    are combined before they are moved; distinct scores are sorted one range per task.
+
+    The scores are read three times: materialize a costly input first.
     """
-    scores = (
-        df.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("s"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    )
-    steps = [i / SCORE_BUCKETS for i in range(1, SCORE_BUCKETS)]
-    edges = scores.agg(F.percentile_approx("s", steps, 1000).alias("edges"))
-    bucketed = scores.crossJoin(F.broadcast(edges)).select(
-        "s", "pos", "neg", F.size(F.filter("edges", lambda e: e < F.col("s"))).alias("bucket")
+    rows = df.where(F.col(score).isNotNull()).select(
+        F.col(score).cast("double").alias("s"),
+        (F.col(label) == 1).cast("long").alias("pos"),
+        (F.col(label) == 0).cast("long").alias("neg"),
     )
-    # At most SCORE_BUCKETS rows from here on for the offsets.
-    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucketed.groupBy("bucket").agg(F.sum("neg").alias("neg"))
-    offsets = offsets.select("bucket", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("offset"))
-
-    inside = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("offset") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    steps = [i / SCORE_RANGES for i in range(1, SCORE_RANGES)]
+    edges = rows.approxQuantile("s", steps, 0.5 / SCORE_RANGES)
+    splits = [-math.inf, *sorted({0.0, *edges} - {-math.inf, math.inf}), math.inf]
+    ranged = Bucketizer(splits=splits, inputCol="s", outputCol="range").transform(rows)
+
+    # At most SCORE_RANGES + 1 rows.
+    totals = ranged.groupBy("range").agg(F.sum("neg").alias("neg"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("range", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("offset"))
+
+    scores = ranged.groupBy("range", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    inside = Window.partitionBy("range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    placed = scores.withColumn("inside", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    below = F.col("offset") + F.col("inside")
     pairs = F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0))
-    placed = bucketed.join(F.broadcast(offsets), "bucket").withColumn("pairs", pairs)
-    totals = placed.agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    sums = placed.join(F.broadcast(offsets), "range").agg(
+        F.sum(pairs).alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    )
     all_pairs = F.col("pos").cast("double") * F.col("neg")
-    return totals.select(F.when(all_pairs > 0, F.col("pairs") / all_pairs).alias("roc_auc"))
+    return sums.select(F.when(all_pairs > 0, F.col("pairs") / all_pairs).alias("roc_auc"))
 
 
 def cv_summary(fold_metrics: DataFrame) -> DataFrame:

@@ -126,8 +126,8 @@ def prepare(train: DataFrame, mode: str = RAW, scale: bool = False) -> Prepared:
     else:
         mapped = label_encode(train, dictionary, CATEGORY_FEATURES)
         stages = Pipeline(stages=encoded_stages()).fit(mapped)
-    assembled = with_class_weight(stages.transform(mapped), LABEL).select("features", LABEL, "weight")
-    return Prepared(materialize(assembled, "assembled"), stages, dictionary)
+    rows = with_class_weight(stages.transform(mapped), LABEL).select("features", LABEL, "weight")
+    return Prepared(materialize(rows, "assembled"), stages, dictionary)
 
 
 def fit_on(prepared: Prepared, estimator: Estimator) -> PipelineModel:
@@ -152,12 +152,18 @@ def train_network(features: DataFrame, profile: str = "reference") -> tuple[Pipe
     return fit_on(prepared, network(width, profile)), prepared.dictionary
 
 
+def assembled(
+    features: DataFrame, model: PipelineModel, dictionary: DataFrame, mode: str = RAW
+) -> DataFrame:
+    """Feature rows as the model sees and scores them."""
+    encode = bucket_rare if mode == RAW else label_encode
+    return model.transform(encode(features, dictionary, CATEGORY_FEATURES))
+
+
 def predict(features: DataFrame, model: PipelineModel, dictionary: DataFrame, mode: str = RAW) -> DataFrame:
     """Label, probability of class 1 and the class at threshold 0.5, for labelled feature rows."""
-    encode = bucket_rare if mode == RAW else label_encode
-    scored = model.transform(encode(features, dictionary, CATEGORY_FEATURES))
     score = vector_to_array("probability")[1]
-    return scored.select(LABEL, score.alias("score")).withColumn("prediction", threshold_class(F.col("score")))
+    return assembled(features, model, dictionary, mode).select(LABEL, score.alias("score")).withColumn("prediction", threshold_class(F.col("score")))
 
 
 def score_metrics(scored: DataFrame) -> DataFrame:
@@ -211,16 +217,16 @@ def evaluate_holdout(model: PipelineModel, dictionary: DataFrame, valid: DataFra
     return classification_report(predict(valid, model, dictionary, mode))
 
 
-def variable_importance(model: PipelineModel, assembled: DataFrame) -> DataFrame:
+def variable_importance(model: PipelineModel, scored: DataFrame) -> DataFrame:
     """Rows ``(variable, importance)``: slot importances of a tree model summed per feature, highest first.
 
-    ``assembled`` is any table transformed by the model; only its metadata is read.
+    ``scored`` is any table transformed by the model; only its metadata is read.
     """
     importances = model.stages[-1].featureImportances.toArray()
     slots = [
-        (source_variable(name), float(importances[i])) for i, name in enumerate(vector_names(assembled))
+        (source_variable(name), float(importances[i])) for i, name in enumerate(vector_names(scored))
     ]
-    table = assembled.sparkSession.createDataFrame(slots, "variable string, importance double")
+    table = scored.sparkSession.createDataFrame(slots, "variable string, importance double")
     return (
         table.groupBy("variable")
         .agg(F.sum("importance").alias("importance"))

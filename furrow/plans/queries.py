@@ -220,7 +220,6 @@ def q_raw_tap(spark, sf_dir):
     return raw_tap(props_envelope(_events(spark, sf_dir)))
 
 
-
 # Projections and filters
 
 
@@ -269,13 +268,11 @@ def q_feature_projection(spark, sf_dir):
     return feature_projection(_clean(spark, sf_dir), "reading", keep=["event_id"])
 
 
-
 @query("seedling_flag")
 def q_seedling_flag(spark, sf_dir):
     return _clean(spark, sf_dir).select("event_id", seedling_flag("stage").alias("seedling"))
 
 
-
 @query("valid_labels")
 def q_valid_labels(spark, sf_dir):
     return quality.valid_labels(crop(spark, sf_dir, keys=True)).select(*CROP_KEYS, LABEL)
@@ -317,7 +314,6 @@ def q_label_encode(spark, sf_dir):
     return label_encode(rows, dictionary, CATEGORY_FEATURES).select(*CROP_KEYS, *CATEGORY_FEATURES)
 
 
-
 @query("rare_category_bucket")
 def q_rare_category_bucket(spark, sf_dir):
     rows = quality.trim_categories(crop(spark, sf_dir, "rare", keys=True))
@@ -465,7 +461,6 @@ def q_category_frequency(spark, sf_dir):
     return category_frequency(quality.trim_categories(crop(spark, sf_dir, "rare")), CATEGORY_FEATURES)
 
 
-
 @query("class_weights")
 def q_class_weights(spark, sf_dir):
     weighted = metrics.with_class_weight(_clean_crop(spark, sf_dir))
@@ -563,7 +558,6 @@ def q_standardize(spark, sf_dir):
     return scaled.select(*CATEGORY_FEATURES, LABEL, "split", *numbers)
 
 
-
 # Models
 
 
@@ -633,20 +627,17 @@ def q_holdout_evaluation(spark, sf_dir):
     return ml.evaluate_holdout(model, dictionary, valid)
 
 
-def _fold_metrics(spark, sf_dir):
-    rows = sampling.stratified_folds(_stored_crop(spark, sf_dir))
-    return ml.cross_validate(ml.candidates(PROFILE), feature_projection(rows, "crop", keep=["fold"]))
-
-
 @query("cv_summary")
 def q_cv_summary(spark, sf_dir):
-    return metrics.cv_summary(_fold_metrics(spark, sf_dir))
+    folded = sampling.stratified_folds(_stored_crop(spark, sf_dir))
+    features = feature_projection(folded, "crop", keep=["fold"])
+    return metrics.cv_summary(ml.cross_validate(ml.candidates(PROFILE), features))
 
 
 @query("best_model")
 def q_best_model(spark, sf_dir):
-    fold_metrics = _fold_metrics(spark, sf_dir)
     train, valid = _parts(spark, sf_dir)
+    fold_metrics = ml.cross_validate(ml.candidates(PROFILE), sampling.stratified_folds(train))
     name, model, dictionary = ml.fit_best(ml.candidates(PROFILE), fold_metrics, train)
     return _holdout_check(model, dictionary, valid, name)
 

@@ -18,6 +18,8 @@ from furrow.operators.scoring import ENCODED, RAW, score, score_mode
 from furrow.plans.bindings import crop, read_table, rule_model, sensor_envelope
 from furrow.schemas import CATEGORY_FEATURES, FEATURES, LABEL
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
+from furrow.sources.crop_table import write_crop_csv
+from furrow.training_job import TrainingConfig, run_training
 from furrow.workspace import materialize
 from tests.conftest import DATA
 
@@ -137,3 +139,37 @@ def test_network(features):
     scored = ml.predict(features, model, dictionary)
     assert scored.count() == features.count()
     assert scored.where(~F.col("score").between(0, 1)).count() == 0
+
+
+def test_training_job(spark, path):
+    write_crop_csv(crop(spark, DATA), path("csv"))
+    cfg = TrainingConfig(
+        csv_path=path("csv"),
+        model_path=path("model"),
+        dictionary_path=path("dictionary"),
+        report_path=path("report"),
+        profile="smoke",
+        folds=2,
+    )
+    name = run_training(spark, cfg)
+    assert name in ml.candidates("smoke")
+    model = load_model(cfg.model_path)
+    clean = clean_readings(sensor_envelope(read_table(spark, DATA, "events")))
+    assert score(clean, model, load_dictionary(spark, cfg.dictionary_path)).count() == clean.count()
+
+    def report(part):
+        return spark.read.parquet(f"{cfg.report_path}/{part}")
+
+    cleaned = clean_crop(crop(spark, DATA))
+    assert report("label_distribution").agg(F.sum("rows")).first()[0] == cleaned.count()
+    assert report("cv_summary").count() == 5 and report("fold_metrics").count() == 10
+    valid_rows = report("label_share").where("split = 'valid'").agg(F.sum("rows")).first()[0]
+    for prefix in ("best", "network"):
+        assert report(f"{prefix}_confusion_matrix").agg(F.sum("rows")).first()[0] == valid_rows
+    assert report("best_roc_auc").first()[0] > 0.9
+    assert report("variable_importance").count() == 6
+
+
+def test_training_refit_choice():
+    with pytest.raises(ValueError, match="refit_on"):
+        TrainingConfig(csv_path="x", refit_on="some")
