@@ -85,3 +85,16 @@ def bucket_rare(
             c, F.when(rows >= min_frequency, F.col(c)).when(rows.isNotNull(), F.lit(RARE))
         )
     return mapped.select(*df.columns)
+
+
+def kept_categories(
+    dictionary: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY
+) -> dict[str, list[str]]:
+    """Categories per column after :func:`bucket_rare`, in text order: the slots of a one-hot vector."""
+    kept = dictionary.select(
+        "column", F.when(F.col("rows") >= min_frequency, F.col("category")).otherwise(RARE).alias("category")
+    ).distinct()
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in kept.where(F.col("column").isin(*columns)).sort("column", "category").collect():
+        found[row["column"]].append(row["category"])
+    return found

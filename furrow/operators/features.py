@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.base import Estimator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.base import Estimator, Transformer
+from pyspark.ml.feature import (
+    Imputer,
+    OneHotEncoder,
+    StandardScaler,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,23 +71,34 @@ def feature_stages(
     category_columns: Sequence[str] = CATEGORY_FEATURES,
     numeric_columns: Sequence[str] = NUMERIC_FEATURES,
     scale: bool = False,
-) -> list[Estimator]:
+    labels: dict[str, list[str]] | None = None,
+) -> list[Estimator | Transformer]:
     """Stages from feature columns to the ``features`` vector: one-hot categories, then numbers.
 
     Unknown and null categories give an all-zero block. Missing numbers become the training median, because Spark's
-    trees take no NaN.
+    trees take no NaN. ``labels`` gives the categories that are already known from a dictionary, which saves the
+    indexer its pass over the data.
     """
     indexed = [f"{c}_index" for c in category_columns]
     encoded = [f"{c}_onehot" for c in category_columns]
     filled = [f"{c}_filled" for c in numeric_columns]
     assembled = "assembled" if scale else "features"
+    if labels is None:
+        indexers = [
+            StringIndexer(
+                inputCols=list(category_columns),
+                outputCols=indexed,
+                handleInvalid="keep",
+                stringOrderType="alphabetAsc",
+            )
+        ]
+    else:
+        indexers = [
+            StringIndexerModel.from_labels(labels[c], c, index, handleInvalid="keep")
+            for c, index in zip(category_columns, indexed)
+        ]
     stages = [
-        StringIndexer(
-            inputCols=list(category_columns),
-            outputCols=indexed,
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ),
+        *indexers,
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         Imputer(inputCols=list(numeric_columns), outputCols=filled, strategy="median"),
         VectorAssembler(inputCols=[*encoded, *filled], outputCol=assembled),

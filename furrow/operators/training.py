@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.operators.encoding import bucket_rare, fit_dictionary, label_encode
+from furrow.operators.encoding import bucket_rare, fit_dictionary, kept_categories, label_encode
 from furrow.operators.features import encoded_stages, feature_stages, source_variable, vector_names
 from furrow.operators.metrics import (
     best_model,
@@ -62,7 +62,8 @@ def candidates(profile: str = "reference") -> dict[str, Estimator]:
     """
     rounds = ROUNDS[profile]
     forest_depth = {"reference": 20, "smoke": 8}[profile]
-    common = {"featuresCol": "features", "labelCol": LABEL, "seed": SEED}
+    # More histogram memory lets a pass over the rows split more nodes.
+    common = {"featuresCol": "features", "labelCol": LABEL, "seed": SEED, "maxMemoryInMB": 1024}
     return {
         "gbt_deep": GBTClassifier(
             **common,
@@ -100,7 +101,6 @@ def network(n_features: int, profile: str = "reference") -> MultilayerPerceptron
         labelCol=LABEL,
         layers=[n_features, 64, 32, 16, 2],
         maxIter={"reference": 30, "smoke": 10}[profile],
-        blockSize=32,
         seed=SEED,
     )
 
@@ -122,7 +122,8 @@ def prepare(train: DataFrame, mode: str = RAW, scale: bool = False) -> Prepared:
     dictionary = fit_dictionary(train, CATEGORY_FEATURES)
     if mode == RAW:
         mapped = bucket_rare(train, dictionary, CATEGORY_FEATURES)
-        stages = Pipeline(stages=feature_stages(scale=scale)).fit(mapped)
+        labels = kept_categories(dictionary, CATEGORY_FEATURES)
+        stages = Pipeline(stages=feature_stages(scale=scale, labels=labels)).fit(mapped)
     else:
         mapped = label_encode(train, dictionary, CATEGORY_FEATURES)
         stages = Pipeline(stages=encoded_stages()).fit(mapped)

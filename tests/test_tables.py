@@ -146,9 +146,11 @@ def test_exact_quantiles(spark, kind, n):
 
 def test_quantiles_per_group_of_very_different_size(spark):
     rng = random.Random(3)
-    data = [(0, rng.random()) for _ in range(20000)] + [(1, rng.random() * 9) for _ in range(7)]
+    data = [(0, rng.random()) for _ in range(20000)] + [(1, rng.random() * 9) for _ in range(7)] + [(2, 1.0)]
     df = spark.createDataFrame(data, "g int, v double")
-    for g, q in rows(quantiles.exact_quantiles(df, ["v"], [0.25], ["g"]).select("g", "quantile")):
+    found = rows(quantiles.exact_quantiles(df, ["v"], [0.25], "g", [0, 1]).select("g", "quantile"))
+    assert [g for g, _ in found] == [0, 1]
+    for g, q in found:
         assert q == pytest.approx(np.quantile([v for k, v in data if k == g], 0.25), rel=1e-12)
 
 
