@@ -63,6 +63,7 @@ class JobConfig:
     model_path: str = "models/pipeline"
     dictionary_path: str = "models/dictionary"
     query_prefix: str = "furrow"
+    trigger_interval: str | None = None
     console_rows: int = 50
 
     def checkpoint_path(self, query: str) -> str:
@@ -100,4 +101,5 @@ class JobConfig:
             run_id=cls.fresh_run_id() if env.get("DEV_UNIQUE_CP", "0") == "1" else base.run_id,
             model_path=env.get("MODEL_PATH", base.model_path),
             dictionary_path=env.get("ENCODERS_PATH", base.dictionary_path),
+            trigger_interval=env.get("TRIGGER_INTERVAL"),
         )

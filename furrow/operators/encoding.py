@@ -13,6 +13,7 @@ from furrow.workspace import checkpoint, materialize
 DICTIONARY_SCHEMA = "column string, category string, idx long, rows long"
 RARE = "__rare__"
 MIN_FREQUENCY = 5
+MAX_SLOTS = 100_000
 
 
 def category_frequency(df: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY) -> DataFrame:
@@ -90,11 +91,14 @@ def bucket_rare(
 def kept_categories(
     dictionary: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY
 ) -> dict[str, list[str]]:
-    """Categories per column after :func:`bucket_rare`, in text order: the slots of a one-hot vector."""
-    kept = dictionary.select(
+    """Categories per column after :func:`bucket_rare`, in text order: the slots of a one-hot vector.
+
+    A vocabulary too large for one-hot vectors is refused; label codes take any size.
+    """
+    kept = dictionary.where(F.col("column").isin(*columns)).select(
         "column", F.when(F.col("rows") >= min_frequency, F.col("category")).otherwise(RARE).alias("category")
-    ).distinct()
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in kept.where(F.col("column").isin(*columns)).sort("column", "category").collect():
-        found[row["column"]].append(row["category"])
-    return found
+    )
+    slots = kept.distinct().limit(MAX_SLOTS + 1).collect()
+    if len(slots) > MAX_SLOTS:
+        raise ValueError(f"more than {MAX_SLOTS} categories for one-hot vectors: train in encoded mode")
+    return {c: sorted(row["category"] for row in slots if row["column"] == c) for c in columns}

@@ -147,9 +147,7 @@ def train(
 def train_network(features: DataFrame, profile: str = "reference") -> tuple[PipelineModel, DataFrame]:
     """Fitted network on scaled features and its dictionary."""
     prepared = prepare(features, RAW, scale=True)
-    width = prepared.stages.transform(
-        bucket_rare(features.limit(0), prepared.dictionary, CATEGORY_FEATURES)
-    ).schema["features"].metadata["ml_attr"]["num_attrs"]
+    width = prepared.rows.schema["features"].metadata["ml_attr"]["num_attrs"]
     return fit_on(prepared, network(width, profile)), prepared.dictionary
 
 
@@ -172,7 +170,7 @@ def score_metrics(scored: DataFrame) -> DataFrame:
     return binary_metrics(scored).crossJoin(roc_auc(scored)).select("f1", "precision", "recall", "roc_auc")
 
 
-def cross_validate(estimators: dict[str, Estimator], folded: DataFrame, parallelism: int = 4) -> DataFrame:
+def cross_validate(estimators: dict[str, Estimator], folded: DataFrame, parallelism: int = 5) -> DataFrame:
     """Metrics per model and fold: rows ``(model, fold, f1, precision, recall, roc_auc)``.
 
     ``folded`` is a feature projection with a ``fold`` column. Dictionary and feature stages are fitted on the

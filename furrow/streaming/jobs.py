@@ -20,13 +20,18 @@ from furrow.sources.tables import predictions_table, readings_table, replace_bat
 
 
 def _writer(df: DataFrame, cfg: JobConfig, query: str, available_now: bool) -> DataStreamWriter:
-    """Append-mode writer with the query's own name and checkpoint; micro-batches run back to back by default."""
+    """Append-mode writer with the query's own name and checkpoint.
+
+    Micro-batches run back to back unless the configuration sets an interval, such as ``"1 minute"``.
+    """
     writer = (
         df.writeStream.outputMode("append")
         .queryName(cfg.query_name(query))
         .option("checkpointLocation", cfg.checkpoint_path(query))
     )
-    return writer.trigger(availableNow=True) if available_now else writer
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=cfg.trigger_interval) if cfg.trigger_interval else writer
 
 
 def _date_sink(df: DataFrame, cfg: JobConfig, query: str, path: str, available_now: bool) -> StreamingQuery:
@@ -106,7 +111,11 @@ def start_fanout(
     available_now: bool = False,
     show: Callable[[DataFrame, int, int], None] | None = show_rows,
 ) -> StreamingQuery:
-    """One query that feeds both tables from a single read of the source. Needs a checkpoint that is kept."""
+    """One query that feeds both tables from a single read of the source and shows the earliest rows of each batch.
+
+    It needs a checkpoint that is kept. Every batch makes a partition of its own below each date, so choose an
+    interval that keeps them few.
+    """
     writer = _writer(clean, cfg, "fanout", available_now)
     return writer.foreachBatch(
         lambda batch, batch_id: fanout_batch(batch, batch_id, model, cfg, dictionary, show)
@@ -114,11 +123,11 @@ def start_fanout(
 
 
 def run_stream(
-    spark: SparkSession, cfg: JobConfig, available_now: bool = False, fanout: bool = True
+    spark: SparkSession, cfg: JobConfig, available_now: bool = False, fanout: bool = False
 ) -> list[StreamingQuery]:
     """Start the job: the console tap beside the table writers. The model is loaded first and must be readable.
 
-    ``fanout=True`` reads the source once for both tables; otherwise each table has its own query and file sink.
+    Each table has its own query and file sink; ``fanout=True`` reads the source once for both instead.
     """
     model = load_model(cfg.model_path)
     dictionary = load_dictionary(spark, cfg.dictionary_path, required=score_mode(model) == ENCODED)

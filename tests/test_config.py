@@ -50,3 +50,15 @@ def test_file_sources_give_the_same_envelope(spark, path, kind):
     write_envelope(records, cfg)
     found = {(r.key and bytes(r.key), r.value and bytes(r.value)) for r in read_envelope(spark, cfg).collect()}
     assert found == {(b"k", b'{"a": 1}'), (None, None)}
+
+
+@pytest.mark.parametrize("kind", ["parquet", "json"])
+def test_file_sources_stream(spark, path, kind):
+    cfg = SourceConfig(format=kind, path=path(kind), max_files_per_trigger=1)
+    records = spark.createDataFrame([(b"k%d" % i, b"{}") for i in range(6)], "key binary, value binary")
+    write_envelope(records.repartition(3), cfg)
+    stream = read_envelope(spark, cfg).writeStream.format("parquet").option("path", path("out"))
+    stream.option("checkpointLocation", path("cp")).trigger(availableNow=True).start().awaitTermination()
+    landed = spark.read.parquet(path("out"))
+    assert {bytes(r.key) for r in landed.collect()} == {b"k%d" % i for i in range(6)}
+    assert landed.dtypes == [("key", "binary"), ("value", "binary")]

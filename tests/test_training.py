@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from furrow.operators import sampling
+from furrow.operators import encoding, sampling
 from furrow.operators import training as ml
 from furrow.operators.encoding import fit_dictionary
 from furrow.operators.features import feature_projection, feature_stages, vector_names
@@ -93,6 +93,24 @@ def test_round_trip(spark, forest, clean, path):
     assert again.exceptAll(score(clean, model, dictionary)).count() == 0
 
 
+def test_too_many_categories_for_one_hot(spark, features, monkeypatch):
+    monkeypatch.setattr(encoding, "MAX_SLOTS", 3)
+    with pytest.raises(ValueError, match="encoded mode"):
+        ml.prepare(features)
+    assert ml.prepare(features, ENCODED).rows.count() == features.count()
+
+
+def test_known_labels_give_the_same_vectors(spark, features):
+    dictionary = fit_dictionary(features, CATEGORY_FEATURES)
+    mapped = encoding.bucket_rare(features, dictionary, CATEGORY_FEATURES)
+    labels = encoding.kept_categories(dictionary, CATEGORY_FEATURES)
+    known = Pipeline(stages=feature_stages(labels=labels)).fit(mapped).transform(mapped)
+    found = Pipeline(stages=feature_stages()).fit(mapped).transform(mapped)
+    assert vector_names(known) == vector_names(found)
+    text = F.to_json(vector_to_array("features"))
+    assert known.select(text.alias("v")).exceptAll(found.select(text.alias("v"))).count() == 0
+
+
 def test_missing_artefacts(spark, path):
     with pytest.raises(RuntimeError, match="cannot load"):
         load_model(path("none"))
