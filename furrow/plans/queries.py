@@ -452,7 +452,7 @@ def q_classification_report(spark, sf_dir):
 
 @query("roc_auc")
 def q_roc_auc(spark, sf_dir):
-    found = metrics.roc_auc(rule_scored(_clean_crop(spark, sf_dir)))
+    found = metrics.roc_auc(rule_scored(_stored_crop(spark, sf_dir)))
     return found.select(F.round("roc_auc", 9).alias("roc_auc"))
 
 

@@ -76,7 +76,8 @@ def holdout_reports(scored: DataFrame, prefix: str) -> dict[str, DataFrame]:
 
 def run_training(spark: SparkSession, cfg: TrainingConfig) -> str:
     """Run the whole job; returns the name of the exported candidate."""
-    raw = read_crop_csv(spark, cfg.csv_path)
+    # Parsed once: the figures below read columns, not text.
+    raw = materialize(read_crop_csv(spark, cfg.csv_path), "raw")
     cleaned = materialize(quality.clean_crop(raw), "cleaned")
     quality.assert_label_domain(cleaned)
     reports = profile_reports(raw, cleaned)
