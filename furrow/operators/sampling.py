@@ -18,10 +18,20 @@ BUCKET_DIGITS = 4
 COPIES_PER_CHUNK = 1_000_000
 
 
-def row_hash(columns: Sequence[str], seed: int):
-    """The order key of a row: md5 over the seed and the text of its columns."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """The order key of a row: md5 over the seed and the text of its columns.
+
+    Separators inside values are escaped, so that only equal rows share a text.
+    """
+
+    def text(name: str, dtype: str) -> Column:
+        nested = dtype.startswith(("array", "map", "struct"))
+        value = F.to_json(name) if nested else F.col(name).cast("string")
+        if nested or dtype == "string":
+            value = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(value, F.lit("\\N"))
+
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[text(*field) for field in df.dtypes]))
 
 
 @dataclass(frozen=True)
@@ -64,9 +74,14 @@ def _find_cuts(
     if not buckets:
         return cuts
     near = rows.where(reduce(or_, [found(r) for r in buckets])).groupBy(label, _BUCKET, _HASH).agg(one)
-    wanted = F.array(*[F.struct(F.lit(r["_cut"]).alias("c"), F.lit(r["_need"]).alias("n"), found(r).alias("f")) for r in buckets])
-    near = near.select("*", F.inline(F.filter(wanted, lambda w: w["f"]))).withColumnRenamed("c", "_cut")
-    for r in at_rank(near, [label, "_cut"], _HASH, F.col("n")).orderBy("_cut").collect():
+    wanted = F.array(
+        *[
+            F.struct(F.lit(r["_cut"]).alias("_cut"), F.lit(r["_need"]).alias("_rank"), found(r).alias("_here"))
+            for r in buckets
+        ]
+    )
+    near = near.select("*", F.inline(F.filter(wanted, lambda w: w["_here"])))
+    for r in at_rank(near, [label, "_cut"], _HASH, F.col("_rank")).orderBy("_cut").collect():
         cuts[r[label]].append(Cut(r[_HASH], r["_n"], r["_need"]))
     return cuts
 
@@ -91,7 +106,7 @@ def _assign_parts(
     columns = df.columns
     rows = (
         df.where(F.col(label).isin(*labels))
-        .withColumn(_HASH, row_hash(columns, seed))
+        .withColumn(_HASH, row_hash(df, seed))
         .withColumn(_BUCKET, F.substring(_HASH, 1, BUCKET_DIGITS))
     )
     cuts = _find_cuts(rows, label, labels, cut_ranks)
@@ -110,17 +125,19 @@ def _assign_parts(
     if not any(parting.values()):
         return rows.select(*columns, cuts_passed(hash_passed))
     apart = reduce(or_, [(F.col(label) == v) & F.col(_HASH).isin(at) for v, at in parting.items() if at])
-    last = F.col("_first") + (COPIES_PER_CHUNK - 1)
+    chunk = F.lit(COPIES_PER_CHUNK).cast("long")
+    last = F.col("_first") + chunk - 1
     copies = (
         rows.where(apart)
         .groupBy(*columns, _HASH)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), "_n", F.lit(COPIES_PER_CHUNK).cast("long"))))
+        .withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), "_n", chunk)))
         .repartition(F.col(_HASH), F.col("_first"))
         .withColumn("_copy", F.explode(F.sequence("_first", F.least("_n", last))))
     )
-    copy_parts = cuts_passed(lambda c: hash_passed(c) | ((F.col(_HASH) == c.at) & (F.col("_copy") > c.take)))
-    return rows.where(~apart).select(*columns, cuts_passed(hash_passed)).unionByName(copies.select(*columns, copy_parts))
+    copy_part = cuts_passed(lambda c: hash_passed(c) | ((F.col(_HASH) == c.at) & (F.col("_copy") > c.take)))
+    whole = rows.where(~apart).select(*columns, cuts_passed(hash_passed))
+    return whole.unionByName(copies.select(*columns, copy_part))
 
 
 def stratified_split(
@@ -134,6 +151,8 @@ def stratified_split(
 
     Rows whose label is not in ``labels`` are left out.
     """
+    if not 0 < fraction < 1:
+        raise ValueError(f"fraction must lie between 0 and 1, not {fraction}")
     parts = _assign_parts(df, label, labels, lambda n: [F.ceil(F.lit(float(fraction)) * n)], seed, "_part")
     split = F.when(F.col("_part") == 0, "valid").otherwise("train")
     return parts.withColumn("split", split).drop("_part")

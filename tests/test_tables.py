@@ -195,7 +195,7 @@ def test_boxplot_whiskers(spark):
 def expected_parts(data, columns, label, cut_ranks, spark):
     """Parts by sorting everything."""
     hashed = spark.createDataFrame(data, columns)
-    hashed = hashed.withColumn("h", sampling.row_hash(hashed.columns, 42))
+    hashed = hashed.withColumn("h", sampling.row_hash(hashed, 42))
     found = Counter()
     for v in (0, 1):
         mine = sorted((r for r in hashed.collect() if r[label] == v), key=lambda r: r.h)
@@ -245,10 +245,15 @@ def test_folds_are_exact(spark, kind, chunk, monkeypatch):
         assert max(sizes) - min(sizes) <= 1
 
 
-def test_split_tells_null_from_text(spark):
-    df = spark.createDataFrame([(None, "a", 0), ("a", None, 0)], "p string, q string, result int")
-    hashes = df.select(sampling.row_hash(df.columns, 42)).distinct()
-    assert hashes.count() == 2
+def test_only_equal_rows_share_a_hash(spark):
+    texts = [None, "", "a", "|", "a|", "|a", "\\", "\\N", "\\|", "N"]
+    df = spark.createDataFrame([(p, q, 0) for p in texts for q in texts], "p string, q string, result int")
+    assert df.select(sampling.row_hash(df, 42)).distinct().count() == len(texts) ** 2
+
+
+def test_split_refuses_a_senseless_fraction(spark):
+    with pytest.raises(ValueError, match="fraction"):
+        sampling.stratified_split(spark.range(2).selectExpr("id", "1 result"), fraction=0.0)
 
 
 def test_another_seed_gives_another_split(spark):
