@@ -53,7 +53,10 @@ class SourceConfig:
 
 @dataclass(frozen=True)
 class JobConfig:
-    """One streaming job: source, output tables, checkpoints and model."""
+    """One streaming job: source, output tables, checkpoints and model.
+
+    ``gather_dates`` shuffles rows by date before they are written; turn it off when a task sees few dates anyway.
+    """
 
     source: SourceConfig = field(default_factory=SourceConfig)
     readings_path: str = "data/sensors_parquet"
@@ -64,6 +67,7 @@ class JobConfig:
     dictionary_path: str = "models/dictionary"
     query_prefix: str = "furrow"
     trigger_interval: str | None = None
+    gather_dates: bool = True
     console_rows: int = 50
 
     def checkpoint_path(self, query: str) -> str:
@@ -102,4 +106,5 @@ class JobConfig:
             model_path=env.get("MODEL_PATH", base.model_path),
             dictionary_path=env.get("ENCODERS_PATH", base.dictionary_path),
             trigger_interval=env.get("TRIGGER_INTERVAL"),
+            gather_dates=env.get("GATHER_DATES", "1") == "1",
         )

@@ -23,16 +23,19 @@ def predictions_table(scored: DataFrame) -> DataFrame:
     return project(with_date(scored), PREDICTIONS_COLUMNS)
 
 
-def append_by_date(df: DataFrame, path: str) -> None:
-    """Append a batch, partitioned by date.
+def gather_by_date(df: DataFrame) -> DataFrame:
+    """Bring the rows of a date together, so that a write makes few files instead of one per task and date.
 
-    Under adaptive execution the rows of a date are gathered into few files, and a date that holds much of the data
-    is split over several tasks. Without it rows stay where they are, for a plain shuffle by date would put a whole
-    date into one task.
+    Adaptive execution then splits a date that holds much of the data over several tasks. Without it rows stay where
+    they are, for a plain shuffle by date would put a whole date into one task.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        df = df.hint("rebalance", F.col("date"))
-    df.write.mode("append").partitionBy("date").parquet(path)
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return df.hint("rebalance", F.col("date")) if adaptive else df
+
+
+def append_by_date(df: DataFrame, path: str) -> None:
+    """Append a batch, partitioned by date."""
+    gather_by_date(df).write.mode("append").partitionBy("date").parquet(path)
 
 
 def write_readings(clean: DataFrame, path: str) -> None:
@@ -43,13 +46,14 @@ def write_predictions(scored: DataFrame, path: str) -> None:
     append_by_date(predictions_table(scored), path)
 
 
-def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def replace_batch(df: DataFrame, path: str, batch_id: int, gather: bool = True) -> None:
     """Write one micro-batch so that writing it again leaves the same rows.
 
     Every batch owns the partitions ``date=*/batch_id=<id>``; a replay overwrites just those.
     """
+    rows = gather_by_date(df) if gather else df
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "batch_id")

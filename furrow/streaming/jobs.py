@@ -16,7 +16,7 @@ from furrow.operators.scoring import ENCODED, score, score_mode
 from furrow.schemas import CONSOLE_COLUMNS, project
 from furrow.sources.artefacts import load_dictionary, load_model
 from furrow.sources.envelope import read_envelope
-from furrow.sources.tables import predictions_table, readings_table, replace_batch
+from furrow.sources.tables import gather_by_date, predictions_table, readings_table, replace_batch
 
 
 def _writer(df: DataFrame, cfg: JobConfig, query: str, available_now: bool) -> DataStreamWriter:
@@ -35,7 +35,8 @@ def _writer(df: DataFrame, cfg: JobConfig, query: str, available_now: bool) -> D
 
 
 def _date_sink(df: DataFrame, cfg: JobConfig, query: str, path: str, available_now: bool) -> StreamingQuery:
-    writer = _writer(df, cfg, query, available_now)
+    rows = gather_by_date(df) if cfg.gather_dates else df
+    writer = _writer(rows, cfg, query, available_now)
     return writer.format("parquet").partitionBy("date").option("path", path).start()
 
 
@@ -94,9 +95,9 @@ def fanout_batch(
     try:
         if is_empty(clean):
             return
-        replace_batch(readings_table(clean), cfg.readings_path, batch_id)
+        replace_batch(readings_table(clean), cfg.readings_path, batch_id, cfg.gather_dates)
         scored = score(clean, model, dictionary)
-        replace_batch(predictions_table(scored), cfg.predictions_path, batch_id)
+        replace_batch(predictions_table(scored), cfg.predictions_path, batch_id, cfg.gather_dates)
         if show is not None:
             show(log_extract(scored, cfg.console_rows), batch_id, cfg.console_rows)
     finally:

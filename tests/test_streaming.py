@@ -171,3 +171,42 @@ def test_whole_job(spark, cfg, envelope, dictionary, fanout):
     columns = ["deviceId", "ts", "stage", "moisturePct", "needsIrrigation"]
     same(want.select(columns), got.select(columns))
     assert rows(spark.read.parquet(cfg.readings_path).groupBy().count()) == [(envelope.count(),)]
+
+
+@pytest.mark.parametrize("gather", [True, False])
+def test_a_hot_date_is_split_and_others_are_gathered(spark, cfg, path, gather):
+    """A third of the rows share one date; files follow size, not tasks times dates."""
+    ids = spark.range(0, 60000, 1, 12)
+    second = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 20 * 86400)
+    payload = F.struct(
+        F.date_format(F.timestamp_seconds(second + 1700000000), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("cropId"),
+    )
+    source = SourceConfig(format="parquet", path=path("hot"))
+    key = F.col("id").cast("string").cast("binary")
+    env = ids.select(key.alias("key"), F.to_json(payload).cast("binary").alias("value"))
+    env.write.parquet(source.path)
+    # Small splits, so that several tasks see every date, and partitions enough to part most dates.
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+        "spark.sql.files.maxPartitionBytes": "600KB",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        clean = clean_readings(read_envelope(spark, source))
+        run(jobs.start_readings(clean, dataclasses.replace(cfg, gather_dates=gather), available_now=True))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    table = spark.read.parquet(cfg.readings_path)
+    files = table.select("date", F.col("_metadata.file_path").alias("file")).groupBy("date")
+    files = files.agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("rows"))
+    found = files.orderBy(F.desc("rows")).collect()
+    assert sum(r.rows for r in found) == 60000 and len(found) == 20
+    if gather:
+        assert found[0].files > 1 and sum(r.files for r in found[1:]) <= 2 * 19
+    else:
+        assert sum(r.files for r in found[1:]) > 3 * 19
