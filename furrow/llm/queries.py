@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import exact_dedup
+from furrow.llm import byte_bpe, exact_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _sha256(column: str) -> Column:
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    tokens = F.length("ids") - F.length(F.replace(F.col("ids"), F.lit(" "), F.lit(""))) + 1
+    return coded.select(
+        "doc_id",
+        F.when(F.col("ids") == "", 0).otherwise(tokens).cast("long").alias("n_tokens"),
+        _sha256("ids").alias("ids_sha256"),
+        _sha256("decoded").alias("decoded_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = exact_dedup.tag_copies(_table(spark, sf_dir, "documents"))
     return tags.select(
@@ -24,5 +41,6 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
