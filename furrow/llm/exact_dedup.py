@@ -18,8 +18,12 @@ from furrow.llm.tables import BLANKS
 from furrow.schemas import require_columns
 from furrow.workspace import materialize, new_path
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-DISK_BACKED = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore"
+DISK_BACKED = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: do not reserve megabytes of disk for the log of each.
+    f"{STATE}.rocksdb.allowFAllocate": "false",
+}
 MARKS_SCHEMA = "digest binary, first struct<no_id:boolean,id:bigint,file:string,pos:bigint>"
 
 
@@ -70,13 +74,15 @@ def first_seen(spark: SparkSession, marks: str) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     spark.createDataFrame([], kept.schema).write.parquet(f"{target}/batch=-1")
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, DISK_BACKED)
+    before = {key: spark.conf.get(key, None) for key in DISK_BACKED}
+    for key, value in DISK_BACKED.items():
+        spark.conf.set(key, value)
     try:
         writer = kept.writeStream.outputMode("update").option("checkpointLocation", log)
         writer.foreachBatch(land).trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.set(STATE_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     changes = spark.read.schema(kept.schema).parquet(target)
     return changes.groupBy("digest").agg(F.min("first").alias("first"), F.max("copies").alias("copies"))
 
