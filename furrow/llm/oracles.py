@@ -2,6 +2,24 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 19], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM w)),
+repeated AS (
+  SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM repeated),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w)
+  ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 OP8 = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -12,5 +30,6 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1,
     "op8_exact_dedup": OP8,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import byte_bpe, exact_dedup
+from furrow.llm import byte_bpe, exact_dedup, language_id, packing, quality, substring_dedup
+from furrow.llm.sampling import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,29 @@ def _sha256(column: str) -> Column:
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), path).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -33,6 +57,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(remainder("doc_id", 4) != 2))
+    held_out = (remainder("doc_id", 4) == 2).alias("held_out")
+    return language_id.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = exact_dedup.tag_copies(_table(spark, sf_dir, "documents"))
     return tags.select(
@@ -41,6 +72,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality": op2_quality,
+    "op4_packing": op4_packing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
 }

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.schemas import require_columns
@@ -18,11 +20,13 @@ BLANKS = r"[\x20\x09-\x0D]+"
 AVERAGE_WORD_BYTES = 6
 
 
-def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id long, text binary)`` of any table of documents; its other columns take no part."""
+def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
+    """``(doc_id long, text binary)`` of any table of documents, and ``more``; its other columns take no part."""
     require_columns(docs, [id_col, text_col])
     return docs.select(
-        docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text")
+        docs[id_col].cast("long").alias("doc_id"),
+        docs[text_col].cast("string").cast("binary").alias("text"),
+        *[column.alias(name) for name, column in more.items()],
     )
 
 
@@ -90,3 +94,44 @@ def window_hashes(words: np.ndarray, width: int, base: int) -> np.ndarray:
         power = np.uint64(pow(base, length, 1 << 64))
         part = part[:-length] * power + part[length:]
         length *= 2
+
+
+class Remembered(dict):
+    """Results by key for the keys of late, in two generations of about ``limit`` keys."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
+        self.old: dict = {}
+
+    def unknown(self, keys: set) -> list:
+        """Bring ``keys`` into the young generation; those not remembered are returned, for the caller to add."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        fresh = []
+        for key in keys - self.keys():
+            found = self.old.get(key)
+            if found is None:
+                fresh.append(key)
+            else:
+                self[key] = found
+        return fresh
+
+
+def portions(texts: Iterable[bytes | None], octets: int = 2_000_000) -> Iterator[list[bytes]]:
+    """Texts in runs of about ``octets`` bytes, null as empty."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text or b"")
+        size += len(run[-1])
+        if size > octets:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def values(column: pa.Array) -> Iterator:
+    """The values of an Arrow column one at a time, so that they need not all be Python objects at once."""
+    return (value.as_py() for value in column)
