@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import byte_bpe, exact_dedup, language_id, packing, quality, substring_dedup
+from furrow.llm import byte_bpe, exact_dedup, language_id, ngram_join, packing, quality, substring_dedup
 from furrow.llm.sampling import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"), ngram_join.Rule(words=4, percent=85))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
     "op4_packing": op4_packing,
+    "op5_ngram_join": op5_ngram_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
