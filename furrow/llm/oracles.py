@@ -20,6 +20,19 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+OP3 = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS h FROM t),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(h, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4)::INT)) & 31), 1)), 'string_agg', '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id != first THEN first END AS refers_to
+FROM r
+"""
+
 OP5 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -52,6 +65,7 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
+    "op3_warc": OP3,
     "op5_ngram_join": OP5,
     "op8_exact_dedup": OP8,
 }

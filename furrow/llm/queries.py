@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import byte_bpe, exact_dedup, language_id, ngram_join, packing, quality, substring_dedup
+from furrow.llm import byte_bpe, exact_dedup, language_id, ngram_join, packing, quality, substring_dedup, warc
 from furrow.llm.sampling import remainder
+from furrow.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = new_path(spark, "archive")
+    warc.write_pages(_table(spark, sf_dir, "pages"), archive)
+    return warc.resolve_revisits(warc.read_archive(spark, archive)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(_table(spark, sf_dir, "documents"), path).select(
@@ -78,6 +87,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
+    "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op5_ngram_join": op5_ngram_join,
     "op6_byte_bpe": op6_byte_bpe,
