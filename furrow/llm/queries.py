@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import byte_bpe, exact_dedup, language_id, ngram_join, packing, quality, substring_dedup, warc
+from furrow.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    license_scan,
+    ngram_join,
+    packing,
+    quality,
+    substring_dedup,
+    topk,
+    warc,
+)
 from furrow.llm.sampling import remainder
 from furrow.workspace import new_path
 
@@ -84,6 +95,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
@@ -93,4 +113,6 @@ QUERIES: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_license_scan": op9_license_scan,
+    "op10_topk": op10_topk,
 }
