@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm.components import connected
-from furrow.llm.tables import WordHashes, buckets_for, documents, mixed, total_words, values, window_hashes
+from furrow.llm.tables import WordHashes, buckets_for, documents, mixed, total_words, values, window_hashes, word_hashes
 from furrow.workspace import materialize
 
 BASE = 0x9E3779B97F4A7C15
@@ -120,7 +120,7 @@ def similar_documents(
 
 
 def _members(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         columns: list[list] = [[] for _ in MEMBERS]
         for name, text in zip(*map(values, batch.columns)):
@@ -137,7 +137,7 @@ def _rows(columns, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _requests(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterator[pa.RecordBatch]:
-    hashes, number = WordHashes(), TaskContext.get().partitionId() << 32
+    hashes, number = word_hashes(), TaskContext.get().partitionId() << 32
     sets: dict[bytes, np.ndarray] = {}
     held = 0
     for batch in batches:
@@ -205,7 +205,7 @@ def _possible(table: pa.Table, rule: Rule) -> pa.Table:
 
 def _arrays(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """The sorted shingles of the rows whose set is wanted."""
-    hashes = WordHashes()
+    hashes = word_hashes()
     for batch in batches:
         columns: list[list] = [[], [], []]
         for name, text, set_key in zip(*map(values, batch.columns[:3])):

@@ -2,8 +2,9 @@
 
 Every window of a fixed number of words has a Rabin-Karp hash. Tasks gather the hashes of a block of documents, settle
 what repeats inside the block, and send each remaining hash once to the bucket that a second Rabin-Karp hash names.
-A bucket counts its hashes and answers, per document, with those whose first owner is another document. Documents
-then merge their repeated windows into maximal intervals and drop the words these cover.
+A bucket counts its hashes and answers, per part of the documents, with those whose first owner is another document.
+Parts then meet their documents, which merge their repeated windows into maximal intervals and drop the words these
+cover.
 
 A pair of windows is taken for equal when both hashes agree: 64 bits, and the bucket's number, which has more bits the
 more data there is.
@@ -15,23 +16,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from furrow.llm.tables import WordHashes, buckets_for, documents, mixed, total_words, values, window_hashes
+from pyspark.sql import types as T
+
+from furrow.llm.tables import (
+    buckets_for,
+    documents,
+    mixed,
+    prime_from,
+    total_words,
+    values,
+    window_hashes,
+    word_hashes,
+)
 
 WIDTH = 20
 BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 BLOCK = 1_000_000  # windows that a task settles at once
-BUCKET = 4_000_000  # windows per bucket
+BUCKET = 2_000_000  # windows per bucket
+PART = 1_500_000  # words of the documents that a task finishes at once
 
 SENT, SETTLED = 0, 1
 REQUEST = pa.schema(
     [("bucket", pa.int32()), ("kind", pa.int8()), ("ids", pa.binary()), ("owners", pa.binary()), ("hashes", pa.binary())]
 )
 REQUEST_SCHEMA = "bucket int, kind byte, ids binary, owners binary, hashes binary"
-ANSWER = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
-ANSWER_SCHEMA = "doc_id long, hashes binary"
+ANSWER = pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary())])
+ANSWER_SCHEMA = "part long, ids binary, hashes binary"
 RESULT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -44,26 +56,38 @@ RESULT = pa.schema(
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, spans array<array<long>>, kept binary"
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None
+) -> DataFrame:
     """``(doc_id, n_words, n_removed, spans, kept)`` of every row of ``docs``.
 
     Words stand between ASCII blanks. A word goes if some window of ``width`` words over it also starts earlier: in a
     document with a smaller id, or further ahead in the same one. Windows are judged on the input. ``spans`` are the
     removed intervals ``[start, end)`` of words, ``kept`` the other words joined by one space, as UTF-8. Rows that
     share an id do not shadow each other; from rows without an id nothing goes, and they shadow nothing. Null text has
-    no words. An empty table gives an empty result; other columns take no part.
+    no words. An empty table gives an empty result; other columns take no part, but a column ``keep`` comes back as
+    ``row``, next to ``text``: what is left of the text, as it was if nothing is removed.
     """
-    texts = documents(docs, id_col, text_col)
-    buckets = buckets_for(total_words(texts), BUCKET)
-    known = texts.where(F.col("doc_id").isNotNull())
+    texts = documents(docs, id_col, text_col, **({} if keep is None else {"row": keep}))
+    words = total_words(texts)
+    buckets, parts = buckets_for(words, BUCKET), prime_from(buckets_for(words, PART))
+    known = texts.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     requests = known.mapInArrow(lambda batches: _requests(batches, width, buckets), REQUEST_SCHEMA)
-    answers = requests.groupBy("bucket").applyInArrow(_answers, ANSWER_SCHEMA)
-    per_document = answers.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    return texts.join(per_document, "doc_id", "left").mapInArrow(lambda batches: _removals(batches, width), RESULT_SCHEMA)
+    answers = requests.groupBy("bucket").applyInArrow(lambda table: _answers(table, parts), ANSWER_SCHEMA)
+    part = F.pmod(F.coalesce("doc_id", F.xxhash64("text")), F.lit(parts)).alias("part")
+    schema = T._parse_datatype_string(RESULT_SCHEMA)
+    if keep is not None:
+        schema = T.StructType([*schema.fields, *texts.schema.fields[1:]])
+    return (
+        texts.select(part, *texts.columns)
+        .groupBy("part")
+        .cogroup(answers.groupBy("part"))
+        .applyInArrow(lambda docs, answers: _removals(docs, answers, width), schema)
+    )
 
 
 def _requests(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
+    words = word_hashes()
     ids, hashes, places, held, block = [], [], [], 0, 0
     for batch in batches:
         for name, text in zip(values(batch.column(0)), values(batch.column(1))):
@@ -122,7 +146,7 @@ def _request(places, kind, names, owners, hashes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=REQUEST)
 
 
-def _answers(table: pa.Table) -> pa.Table:
+def _answers(table: pa.Table, parts: int) -> pa.Table:
     """Of one bucket, the hashes that each document shares with an earlier one."""
     kind = table.column("kind").to_numpy()
     owners, hashes = [], []
@@ -148,12 +172,13 @@ def _answers(table: pa.Table) -> pa.Table:
     if not settled:
         return ANSWER.empty_table()
     owner, value = np.concatenate(settled_ids), np.concatenate(settled)
-    order = np.argsort(owner, kind="stable")
-    owner, value = owner[order], value[order]
-    starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.empty(0, np.int64)
-    offsets = pa.py_buffer((8 * np.append(starts, len(owner))).astype(np.int32).tobytes())
-    blobs = pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(value.tobytes())])
-    return pa.Table.from_arrays([pa.array(owner[starts]), blobs], schema=ANSWER)
+    part = np.mod(owner, parts)
+    order = np.argsort(part, kind="stable")
+    part, owner, value = part[order], owner[order], value[order]
+    starts = np.append(0, np.flatnonzero(part[1:] != part[:-1]) + 1)[: len(part)]
+    cuts = starts[1:]
+    blobs = [[a.tobytes() for a in np.split(array, cuts)][: len(starts)] for array in (owner, value)]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip([part[starts], *blobs], ANSWER)], schema=ANSWER)
 
 
 def intervals(starts: np.ndarray, width: int) -> np.ndarray:
@@ -164,33 +189,32 @@ def intervals(starts: np.ndarray, width: int) -> np.ndarray:
     return np.stack([starts[np.append(0, cut + 1)], starts[np.append(cut, len(starts) - 1)] + width], 1)
 
 
-def _removals(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    rows, size = [], 0
-    for batch in batches:
-        for name, text, answers in zip(*map(values, batch.columns)):
-            own = (text or b"").split()
-            spans = np.empty((0, 2), np.int64)
-            if name is not None and len(own) >= width:
-                value = mixed(window_hashes(words.of(own), width, BASE))
-                order = np.argsort(value, kind="stable")
-                repeated = np.zeros(len(value), bool)
-                repeated[order[1:]] = value[order[1:]] == value[order[:-1]]
-                if answers:
-                    repeated |= np.isin(value, np.frombuffer(b"".join(answers), np.uint64))
-                spans = intervals(np.flatnonzero(repeated), width)
-            kept = own
-            if len(spans):
-                bounds = [0, *spans.ravel().tolist(), len(own)]
-                kept = [w for a, b in zip(bounds[::2], bounds[1::2]) for w in own[a:b]]
-            rows.append((name, len(own), len(own) - len(kept), spans.tolist(), b" ".join(kept)))
-            size += len(rows[-1][-1])
-            if size > 4_000_000 or len(rows) >= 5_000:
-                yield _result(rows)
-                rows, size = [], 0
-    if rows:
-        yield _result(rows)
-
-
-def _result(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), RESULT)], schema=RESULT)
+def _removals(docs: pa.Table, answers: pa.Table, width: int) -> pa.Table:
+    """The documents of one part without the words that its answers and their own repeats cover."""
+    owner = np.frombuffer(b"".join(values(answers.column("ids"))), np.int64)
+    order = np.argsort(owner, kind="stable")
+    owner, shared = owner[order], np.frombuffer(b"".join(values(answers.column("hashes"))), np.uint64)[order]
+    words, rows = word_hashes(), []
+    for name, text in zip(values(docs.column("doc_id")), values(docs.column("text"))):
+        own = (text or b"").split()
+        spans = np.empty((0, 2), np.int64)
+        if name is not None and len(own) >= width:
+            value = mixed(window_hashes(words.of(own), width, BASE))
+            order = np.argsort(value, kind="stable")
+            repeated = np.zeros(len(value), bool)
+            repeated[order[1:]] = value[order[1:]] == value[order[:-1]]
+            first, last = np.searchsorted(owner, name, "left"), np.searchsorted(owner, name, "right")
+            if last > first:
+                repeated |= np.isin(value, shared[first:last])
+            spans = intervals(np.flatnonzero(repeated), width)
+        kept = own
+        if len(spans):
+            bounds = [0, *spans.ravel().tolist(), len(own)]
+            kept = [w for a, b in zip(bounds[::2], bounds[1::2]) for w in own[a:b]]
+        rows.append((name, len(own), len(own) - len(kept), spans.tolist(), b" ".join(kept)))
+    columns = zip(*rows) if rows else [[] for _ in RESULT]
+    result = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RESULT)], schema=RESULT)
+    if "row" in docs.column_names:
+        left = [kept if n else text for text, (_, _, n, _, kept) in zip(values(docs.column("text")), rows)]
+        result = result.append_column("text", pa.array(left, pa.binary())).append_column("row", docs.column("row"))
+    return result

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,13 @@ def buckets_for(words: int, per_bucket: int) -> int:
     return max(1, math.ceil(words / per_bucket))
 
 
+def prime_from(n: int) -> int:
+    """The first prime from ``n`` on: a number of parts that no step between ids has as a divisor."""
+    while n < 2 or any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
 class WordHashes(dict):
     """64-bit hash per word, remembered until ``limit`` words are held."""
 
@@ -58,6 +66,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=1)
+def word_hashes() -> WordHashes:
+    """The process's word hashes, so that batches and groups share them."""
+    return WordHashes()
+
+
 MIX_1 = np.uint64(0xFF51AFD7ED558CCD)
 MIX_2 = np.uint64(0xC4CEB9FE1A85EC53)
 
