@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.llm.sampling import sample_per_class
 from furrow.llm.tables import documents, values
@@ -27,8 +28,7 @@ LONGEST_GRAM = 4
 LETTERS = regex.compile(r"\p{L}+")
 COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("key", pa.string()), ("n", pa.int64())])
 COUNTS_SCHEMA = "lang string, size int, key string, n long"
-PREDICTION = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
-PREDICTION_SCHEMA = "doc_id long, lang_pred string, score double"
+PREDICTION = ["doc_id", "lang_pred", "score"]
 HELD_KEYS = 500_000  # distinct words a training task holds before it hands out its counts
 HELD_WORDS = 200_000  # words a scoring task remembers
 EVIDENCE = 25.0  # words' worth of evidence at most in a score
@@ -165,14 +165,17 @@ class _Scores(dict):
         return out
 
 
-def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, lang_pred, score)`` of every row.
+def predict(
+    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None
+) -> DataFrame:
+    """``(doc_id, lang_pred, score)`` of every row; with a column ``keep`` also it, as ``row``, and ``text``.
 
     ``und`` with score 0 if the text is null or has no letter, or nothing was learned. The score is the share of the
     language among all, from at most ``EVIDENCE`` words' worth of the mean score; ties go to the language that sorts
     first. Repeated rows score alike; an empty table gives an empty result; other columns take no part.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size bounded by the parameters of fit
+    whole = keep is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores, languages = _Scores(shared.value), shared.value.languages
@@ -188,6 +191,10 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
                 scale = min(n, EVIDENCE) / n
                 share.append(1 / sum(math.exp(scale * (s - sums[best])) for s in sums))
                 found.append(languages[best])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array(share)], schema=PREDICTION)
+            more = batch.schema.names[1:] if whole else []
+            columns = [batch.column(0), pa.array(found, pa.string()), pa.array(share, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in more)], [*PREDICTION, *more])
 
-    return documents(docs, id_col, text_col).mapInArrow(run, PREDICTION_SCHEMA)
+    texts = documents(docs, id_col, text_col, **({} if keep is None else {"row": keep}))
+    schema = T._parse_datatype_string("doc_id long, lang_pred string, score double")
+    return texts.mapInArrow(run, T.StructType([*schema.fields, *(texts.schema.fields[1:] if whole else [])]))
