@@ -24,6 +24,7 @@ DISK_BACKED = {
     # Many small stores: do not reserve megabytes of disk for the log of each.
     f"{STATE}.rocksdb.allowFAllocate": "false",
 }
+FILES_PER_BATCH = 10_000  # of marks, in a micro-batch
 MARKS_SCHEMA = "digest binary, first struct<no_id:boolean,id:bigint,file:string,pos:bigint>"
 
 
@@ -65,6 +66,7 @@ def first_seen(spark: SparkSession, marks: str) -> DataFrame:
     target, log = new_path(spark, "first-seen"), new_path(spark, "first-seen-log")
     kept = (
         spark.readStream.schema(MARKS_SCHEMA)
+        .option("maxFilesPerTrigger", FILES_PER_BATCH)
         .parquet(marks)
         .groupBy("digest")
         .agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("copies"))
