@@ -76,7 +76,7 @@ def fit(
 ) -> LanguageModel:
     """Learn from rows with a language.
 
-    The fit uses at most ``docs_per_language`` rows of each language, chosen by a hash of the id, and the model holds
+    The fit uses about ``docs_per_language`` rows of each language, chosen by a hash of the id, and the model holds
     the most frequent words and n-grams of each size up to the given numbers per language; so the model's size depends
     on the number of languages only. Texts without letters and rows without id, text or language teach nothing.
     """

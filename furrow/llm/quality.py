@@ -106,7 +106,7 @@ def fit(
 ) -> QualityModel:
     """Learn from the labelled rows of ``docs``.
 
-    At most ``docs_per_label`` documents of each label, chosen by a hash of the id, teach word vectors and network; a
+    About ``docs_per_label`` documents of each label, chosen by a hash of the id, teach word vectors and network; a
     label's share among all labelled rows is kept by weights. The vocabulary has at most ``words`` tokens. The last
     fifth of the sample, by the hash, sets the temperature. Rows without id, text or label teach nothing; without any
     row the model scores 0.5.

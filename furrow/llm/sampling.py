@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def sample_per_class(rows: DataFrame, class_col: str, id_col: str, most: int) -> DataFrame:
-    """``rows`` with the ``most`` smallest id hashes of each class, and their ``weight``.
+    """About ``most`` rows of each class, or all it has, with the ``weight`` that keeps the class's share.
 
-    A class's share of rows is kept by the weight: its rows over its sampled rows. Rows are compared with one bound
-    per class, so they are neither sorted nor moved; the bounds are as many as there are classes.
+    A row is taken if the hash of its id falls below the share of its class that is wanted, so rows are neither sorted
+    nor moved; what is broadcast is one row per class. Rows without class are left out.
     """
-    key = F.xxhash64(F.col(id_col))
-    marks = rows.select(F.col(class_col).alias("_class"), key.alias("_key")).where(F.col("_class").isNotNull())
-    place = F.row_number().over(Window.partitionBy("_class").orderBy("_key"))
-    bounds = marks.withColumn("_place", place).where(F.col("_place") <= most)
-    bounds = bounds.groupBy("_class").agg(F.max("_key").alias("_bound"), F.count(F.lit(1)).alias("_taken"))
-    sizes = marks.groupBy("_class").agg(F.count(F.lit(1)).alias("_size"))
-    classes = bounds.join(sizes, "_class").withColumn("weight", F.col("_size") / F.col("_taken"))
-    near = (F.col(class_col) == F.col("_class")) & (key <= F.col("_bound"))
-    return rows.join(F.broadcast(classes.select("_class", "_bound", "weight")), near).select(*rows.columns, "weight")
+    counts = rows.where(F.col(class_col).isNotNull()).groupBy(F.col(class_col).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    classes = counts.select("_class", F.least(F.lit(1.0), F.lit(float(most)) / F.col("_n")).alias("_share"))
+    # The hash is even over the 64-bit integers.
+    place = F.xxhash64(F.col(id_col)) / F.lit(2.0**64) + F.lit(0.5)
+    taken = (F.col(class_col) == F.col("_class")) & ((place < F.col("_share")) | (F.col("_share") == 1))
+    return rows.join(F.broadcast(classes), taken).select(*rows.columns, (1 / F.col("_share")).alias("weight"))
 
 
 def remainder(id_col: str, parts: int) -> Column:
