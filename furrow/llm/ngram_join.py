@@ -5,7 +5,7 @@
    occur in other sets as well; the few that pass have their sorted shingles stored.
 3. Tiles of sets with the same smallest shingles link most copies to one another at little cost.
 4. Sets that could still be linked across components share a shingle of their prefixes: they meet in tiles of one
-   shingle and one band of sizes. Bit counts of hashed signatures bound their overlap from above; what passes is
+   shingle, and one band of sizes if there are many. Bit counts of hashed signatures bound their overlap from above; what passes is
    decided by intersecting the sorted arrays.
 
 Steps 2 and 4 lose no link: a link needs the share of common shingles that step 2 asks for, and two sets that
@@ -284,56 +284,81 @@ def _prefixes(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bits = [signature(np.frombuffer(own, np.uint64)).tobytes() for own in values(batch.column(2))]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bits, pa.binary())], ["v", "n", "bits"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["v", "bits"])
 
 
 def _links_between(arrays: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
-    """Links ``(a, b)`` between the roots of different components: every pair that could be one is decided."""
+    """Links ``(a, b)`` between the roots of different components: every pair that could be one is decided.
+
+    Sets meet with their signatures in tiles of one shared key; a tile gives the pairs that the bound lets pass, and
+    only those have their arrays intersected.
+    """
     prefixes = arrays.mapInArrow(lambda b: _prefixes(b, rule), "v long, n long, keys array<long>")
     keyed = materialize(
         prefixes.join(roots, "v").select(F.explode("keys").alias("key"), "v", "n", "root"), "prefix-keys"
     )
-    mixed_keys = keyed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed_keys = mixed_keys.where("low != high").select("key")
-    # Linked sets have sizes of the same band or of neighbours.
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / rule.percent))).alias("band")
-    tiled = materialize(keyed.join(mixed_keys, "key").select("key", band, "v", "n", "root"), "mixed-keys")
-    left = tiled.select("key", "band", F.col("v").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    shift = F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
-    right = tiled.select("key", "band", shift, F.col("v").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    right = right.withColumn("band", F.col("band") + F.col("shift"))
-    alike = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * rule.percent
-    once = (F.col("shift") == 1) | (F.col("a") < F.col("b"))
-    pairs = left.join(right, ["key", "band"]).where((F.col("root_a") != F.col("root_b")) & alike & once)
-    pairs = materialize(pairs.select("a", "b", "root_a", "root_b").distinct(), "pairs")
-
-    def with_sets(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-        for side in ("a", "b"):
-            own = sets.select(F.col("v").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}"))
-            pairs = pairs.join(own, side)
-        return pairs.select("a", "b", "root_a", "root_b", "n_a", "n_b", f"{column}_a", f"{column}_b")
-
-    signed = with_sets(pairs, arrays.mapInArrow(_signatures, "v long, n long, bits binary"), "bits")
+    mixed_keys = keyed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+    tiled = _dealt(keyed.join(mixed_keys.where("low != high").select("key", "size"), "key"), rule)
+    signed = arrays.mapInArrow(_signatures, "v long, bits binary")
     schema = "a long, b long, root_a long, root_b long"
-    bounded = materialize(signed.mapInArrow(lambda b: _bounded(b, rule), schema), "bounded-pairs")
-    exact = with_sets(bounded, arrays, "shingles").mapInArrow(lambda b: _exact(b, rule), schema)
-    return exact.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+    tiles = tiled.join(signed, "v").groupBy("key", "tile", "low", "high")
+    pairs = materialize(tiles.applyInArrow(lambda t: _bounded(t, rule), schema).distinct(), "bounded-pairs")
+    for side in ("a", "b"):
+        own = arrays.select(F.col("v").alias(side), F.col("shingles").alias(f"shingles_{side}"))
+        pairs = pairs.join(own, side)
+    pairs = pairs.select("root_a", "root_b", "shingles_a", "shingles_b")
+    return pairs.mapInArrow(lambda b: _exact(b, rule), "a long, b long").distinct()
 
 
-def _bounded(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n_a, n_b = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-        a, b = (
-            np.frombuffer(b"".join(values(batch.column(c))), np.uint64).reshape(len(n_a), SIGNATURE_BITS // 64)
-            for c in (6, 7)
-        )
-        yield batch.select([0, 1, 2, 3]).filter(pa.array(overlap_bound(n_a, a, n_b, b) >= rule.least_overlap(n_a, n_b)))
+def _dealt(keyed: DataFrame, rule: Rule) -> DataFrame:
+    """Rows ``(key, size, v, n, root)`` dealt to the tiles in which they are compared.
+
+    A key of up to ``TILE`` sets is one tile. A larger one has a tile per band of sizes, where the sets of the band meet
+    one another and those of the band below (``below``), for linked sets are at most one band apart. A tile that is still
+    larger is compared in blocks: a set goes to every pair of blocks with its own.
+    """
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / rule.percent)))
+
+    def place(tile, below):
+        return F.struct(tile.cast("long").alias("tile"), F.lit(below).alias("below"))
+
+    banded = F.array(place(band, False), place(band + 1, True))
+    places = F.when(F.col("size") > TILE, banded).otherwise(F.array(place(F.lit(-1), False)))
+    rows = keyed.select("key", "v", "n", "root", F.inline(places))
+    blocks = rows.groupBy("key", "tile").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("blocks"))
+    rows = rows.join(blocks, ["key", "tile"]).withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    pair = (F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return materialize(rows.select("key", "tile", *pair, "block", "below", "v", "n", "root"), "prefix-tiles")
+
+
+def _bounded(table: pa.Table, rule: Rule) -> pa.Table:
+    """Pairs of one tile, of different roots and blocks, that may overlap enough."""
+    v, n, root, block, below = (table.column(c).to_numpy() for c in ("v", "n", "root", "block", "below"))
+    bits = np.frombuffer(b"".join(values(table.column("bits"))), np.uint64).reshape(len(v), -1)
+    one_block = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+    order = np.lexsort((v, n))
+    v, n, root, block, below, bits = (x[order] for x in (v, n, root, block, below, bits))
+    found = []
+    # In the order of sizes, a set is compared with the larger ones of its band.
+    ends = np.searchsorted(n, n * 100 // rule.percent, "right")
+    for i, end in enumerate(ends.tolist()):
+        rest = slice(i + 1, end)
+        fit = (root[rest] != root[i]) & ~(below[rest] & below[i])
+        if not one_block:
+            fit &= block[rest] != block[i]
+        at = i + 1 + np.flatnonzero(fit)
+        near = overlap_bound(n[i], bits[i], n[at], bits[at]) >= rule.least_overlap(n[i], n[at])
+        found.extend((v[i], v[j], root[i], root[j]) for j in at[near])
+    columns = zip(*found) if found else [[]] * 4
+    return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("a", "b", "root_a", "root_b"), columns)})
 
 
 def _exact(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked = [
-            overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) >= rule.least_overlap(n_a, n_b)
-            for n_a, n_b, a, b in zip(*map(values, batch.columns[4:]))
-        ]
-        yield batch.select([0, 1, 2, 3]).filter(pa.array(linked, pa.bool_()))
+        linked = []
+        for own in zip(*map(values, batch.columns[2:])):
+            a, b = (np.frombuffer(s, np.uint64) for s in own)
+            linked.append(overlap(a, b) >= rule.least_overlap(len(a), len(b)))
+        roots = batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+        yield pa.RecordBatch.from_arrays(roots.columns, ["a", "b"])
