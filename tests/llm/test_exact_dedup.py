@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from furrow.llm import exact_dedup
+from tests.llm import plain
+
+
+def tags(df, **options):
+    return {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.tag_copies(df, **options).collect()}
+
+
+def test_blanks_nulls_and_ties(docs):
+    rows = [(5, "a  b"), (3, "a\t\r\nb"), (4, " a b"), (9, None), (7, ""), (8, "a b"), (1, "A b"), (2, "a b")]
+    assert tags(docs(rows)) == {
+        3: (3, 3, True), 5: (3, 3, False), 8: (3, 3, False), 4: (4, 1, True), 7: (7, 2, True), 9: (7, 2, False),
+        1: (1, 1, True), 2: (2, 1, True),
+    }
+
+
+def test_colliding_digests_are_told_apart_by_their_bytes(docs):
+    random.seed(3)
+    rows = [(i, random.choice("abcdef") * random.randint(1, 3)) for i in range(80)]
+    weak = tags(docs(rows), digest=lambda text: F.substring(F.sha2(text.cast("binary"), 256), 1, 1).cast("binary"))
+    want = plain.copies(rows)
+    assert {i: keep for i, (keep, _, _) in weak.items()} == want
+    sizes = list(want.values())
+    assert all(size == sizes.count(keep) and kept == (i == keep) for i, (keep, size, kept) in weak.items())
+
+
+def test_repeated_rows_and_null_ids(docs):
+    found = exact_dedup.tag_copies(docs([(1, "x"), (1, "x"), (None, "x"), (None, "y")])).collect()
+    assert sorted((r["keep_id"], r["group_size"], r["kept"]) for r in found if r["keep_id"]) == [
+        (1, 3, False), (1, 3, False), (1, 3, True),
+    ]
+    assert [(r["group_size"], r["kept"]) for r in found if r["keep_id"] is None] == [(1, True)]
+
+
+def test_empty_table_and_clashing_columns(docs, clashing):
+    assert exact_dedup.tag_copies(docs([])).count() == 0
+    table = clashing([(2, "t"), (1, "t"), (3, None)])
+    kept = exact_dedup.drop_copies(table)
+    assert kept.columns == table.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_several_batches_of_the_stream_agree(docs, spark, monkeypatch):
+    """The state keeps the smallest id of all batches, whichever comes first."""
+    monkeypatch.setattr(exact_dedup, "FILES_PER_BATCH", 1)
+    rows = [(i, "same" if i % 3 else f"own {i}") for i in range(60, 0, -1)]
+    found = tags(docs(rows).repartition(5))
+    assert {i: keep for i, (keep, _, _) in found.items()} == plain.copies(rows)
+
+
+def test_the_plan_has_no_python(docs, capsys):
+    exact_dedup.tag_copies(docs([(1, "a"), (2, "a")])).explain()
+    assert "Python" not in capsys.readouterr().out

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from furrow.llm import ngram_join
+from furrow.llm.components import connected
+from tests.llm import plain
+
+
+def components(df, rule):
+    return {
+        r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_documents(df, rule).collect()
+    }
+
+
+def edited(text, changes):
+    own = text.split()
+    for _ in range(changes):
+        own[random.randrange(len(own))] = random.choice("uvwxyz")
+    return " ".join(own)
+
+
+@pytest.mark.parametrize("words, percent", [(4, 85), (5, 80), (1, 60)])
+def test_against_plain_python(docs, monkeypatch, words, percent):
+    """Families of texts with more and more edits, and texts that share a passage, in tiny blocks and tiles."""
+    random.seed(words)
+    for name, value in (("BLOCK", 300), ("BUCKET", 500), ("TILE", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    passage = " ".join(random.choice("abcdefghijkl") for _ in range(25))
+    texts = []
+    for _ in range(12):
+        base = " ".join(random.choice("abcdefghijkl") for _ in range(random.randint(20, 120)))
+        texts += [edited(base, k) for k in (0, 0, 1, 1, 2, 3, 4, 6)]
+        texts.append(f"{base[:40]} {passage}")
+    texts += [t.upper() for t in texts[:5]] + ["a b", "a  b", "a b c", "", "  ", "b a"]
+    rows = list(zip(random.sample(range(1000), len(texts)), texts))
+    got = components(docs(rows).repartition(5), ngram_join.Rule(words, percent))
+    assert got == plain.near_components(rows, words, percent)
+
+
+def test_a_chain_is_one_component(docs):
+    """Each text is linked with the next only."""
+    own = [f"w{i}" for i in range(300)]
+    rows = [(50 - i, " ".join(own[12 * i : 12 * i + 150])) for i in range(12)]
+    assert components(docs(rows), ngram_join.Rule(4, 85)) == plain.near_components(rows, 4, 85)
+    assert len({c for _, c in components(docs(rows), ngram_join.Rule(4, 80)).values()}) == 1
+
+
+def test_nulls_repeated_rows_and_clashing_columns(docs, clashing):
+    rows = [(3, None), (4, ""), (5, "q r s t u"), (5, "q r s t u"), (2, "Q R  s t u"), (None, "q r s t u")]
+    got = sorted(map(tuple, ngram_join.similar_documents(clashing(rows)).collect()), key=str)
+    assert got == sorted([(3, 0, 3), (4, 0, 4), (5, 1, 2), (5, 1, 2), (2, 1, 2), (None, 1, None)], key=str)
+    assert ngram_join.similar_documents(docs([])).count() == 0
+
+
+def test_bounds_hold():
+    random.seed(2)
+    for _ in range(200):
+        a, b = (np.unique(np.array(random.choices(range(400), k=random.randint(1, 300)), np.uint64) * np.uint64(77777)) for _ in "ab")
+        bound = ngram_join.overlap_bound(len(a), ngram_join.signature(a), np.array([len(b)]), ngram_join.signature(b)[None])
+        assert ngram_join.overlap(a, b) == len(np.intersect1d(a, b)) <= bound[0]
+
+
+def test_least_overlap_is_the_rule():
+    rule = ngram_join.Rule(4, 85)
+    for a in range(1, 60):
+        for b in range(1, 60):
+            least = int(rule.least_overlap(a, b))
+            assert [100 * k >= 85 * (a + b - k) for k in (least - 1, least)] == [False, True]
+
+
+def test_components_of_links(spark):
+    random.seed(4)
+    links = [(random.randrange(300), random.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)]
+    root = {}
+    for a, b in links:
+        ra, rb = root.setdefault(a, {a}), root.setdefault(b, {b})
+        if ra is not rb:
+            ra |= rb
+            for x in rb:
+                root[x] = ra
+    got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: min(s) for x, s in root.items() if len(s) > 1}
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0

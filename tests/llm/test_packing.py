@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from furrow.llm import packing
+from furrow.llm.packing import Limits
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    own = Tokenizer.from_file(PATH)
+    own.encode_special_tokens = True
+    return own
+
+
+def power_of_two(n):
+    return n & (n - 1) == 0
+
+
+def check(pieces, texts, tokenizer, limits):
+    """Every id in one piece, sequences gapless and within the limits, and no padding."""
+    of_doc, of_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        of_doc[p["doc_id"]].append(p)
+        of_sequence[p["sequence_id"]].append(p)
+        assert len(p["ids"]) == 4 * p["length"] > 0
+    for doc_id, text in texts.items():
+        want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        own, at, got = sorted(of_doc.pop(doc_id), key=lambda p: p["start"]), 0, b""
+        for p in own:
+            assert p["start"] == at and p["doc_tokens"] == len(want)
+            at, got = at + p["length"], got + bytes(p["ids"])
+        assert np.frombuffer(got, "<u4").tolist() == want
+    assert not of_doc
+    for pieces in of_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= limits.tokens and at <= limits.loss_tokens and len(pieces) <= limits.segments
+        assert at == limits.tokens or power_of_two(at)
+    return of_sequence
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(64, 3, 64), Limits(128, 128, 32)])
+def test_documents(docs, tokenizer, limits, monkeypatch):
+    monkeypatch.setattr(packing, "WINDOW", 16)
+    random.seed(1)
+    texts = {i: " ".join(random.choice(["Hé", "the", "wörd", "x,y", "a1"]) for _ in range(random.randint(0, 90))) for i in range(150)}
+    texts |= {900: None, 901: "", 902: "long " * 9000, 903: "<|endoftext|> it's  Σίσυφος ́a\r\nİz"}
+    pieces = packing.pack_documents(docs(list(texts.items())).repartition(3), PATH, limits).collect()
+    check(pieces, texts, tokenizer, limits)
+
+
+def test_whole_table(spark, tokenizer):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in table.collect()}
+    sequences = check(packing.pack_documents(table, PATH).collect(), texts, tokenizer, Limits())
+    tokens = sum(p["length"] for s in sequences.values() for p in s)
+    full = sum(sum(p["length"] for p in s) == 2048 for s in sequences.values())
+    assert full >= tokens // 2048 - 1
+
+
+def test_repeated_rows_empty_table_no_end_and_clashing_columns(docs, clashing):
+    table = clashing([(1, "one two"), (1, "one two"), (None, "three"), (2, None)])
+    got = [(r["doc_id"], r["length"]) for r in packing.pack_documents(table, PATH, end_id=None).collect()]
+    assert sorted(got, key=str) == [(1, 2), (1, 2), (None, 1)]
+    assert packing.pack_documents(docs([]), PATH).count() == 0
+
+
+def test_words_are_encoded_like_whole_texts(tokenizer):
+    letters = [chr(c) for c in range(0x20, 0x600)] + list("\0ﬁŉ한가漢字😀𐐀") + ["é", "ẞ", " ", " "]
+    texts = [f"ab{c}cd {c} x{c}. {c}{c}S" for c in letters]
+    got = packing.WordTokens(PATH).encode(pa.array([t.encode() for t in texts]))
+    assert [g.tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_uncut_examples_keep_three_limits(spark, monkeypatch):
+    monkeypatch.setattr(packing, "WINDOW", 20)
+    random.seed(2)
+    rows = [(i, n := random.randint(1, 60), random.randint(0, n)) for i in range(300)]
+    rows += [(900, 500, 5), (901, 50, 90), (902, 0, 0), (903, None, None), (904, 7, None)]
+    table = spark.createDataFrame(rows, "example_id long, tokens long, loss_tokens long")
+    limits = Limits(100, 4, 50)
+    got = packing.pack_examples(table, limits).collect()
+    assert sorted(r["example_id"] for r in got) == sorted(r[0] for r in rows)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append(r)
+    assert sorted(r["example_id"] for r in bins.pop(None)) == [902, 903]
+    for members in bins.values():
+        members.sort(key=lambda r: r["offset"])
+        ends = np.cumsum([0, *(r["length"] for r in members)])
+        assert [r["offset"] for r in members] == ends[:-1].tolist()
+        loss = sum(r["loss_tokens"] for r in members)
+        fits = ends[-1] <= 100 and len(members) <= 4 and loss <= 50
+        alone = len(members) == 1 and (members[0]["length"] > 100 or members[0]["loss_tokens"] > 50)
+        assert fits or alone
+    least = max(sum(r[1] or 0 for r in rows[:300]) / 100, 300 / 4, sum(min(r[2] or 0, 50) for r in rows[:300]) / 50)
+    assert len(bins) <= 1.3 * least + 3
