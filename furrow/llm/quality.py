@@ -30,17 +30,18 @@ REACH = 2  # neighbours on each side
 HIDDEN = 32
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 SAMPLE_PARTS = 16
-HELD_WORDS = 100_000
+HELD_WORDS = 250_000  # words a task remembers
 CONTEXT_SCHEMA = "token int, context binary"
 CONTEXT = pa.schema([("token", pa.int32()), ("context", pa.binary())])
 
 
 def shape(token: str) -> str:
     """What stands for a token outside the vocabulary: its kind and, for words, its case."""
-    if not (token[0].isalnum() or token[0] == "_"):
-        return "<sign>"
-    if any(c.isdigit() for c in token):
-        return "<digits>"
+    if not token.isalpha():
+        if not (token[0].isalnum() or token[0] == "_"):
+            return "<sign>"
+        if any(c.isdigit() for c in token):
+            return "<digits>"
     if token.isupper():
         return "<UPPER>"
     return "<Title>" if token[0].isupper() else "<lower>"
@@ -186,7 +187,7 @@ class _Vectors(dict):
     def __missing__(self, raw: bytes) -> int:
         ids = self.model.ids(TOKENS.findall(raw.decode("utf-8", "replace")))
         row = self[raw] = len(self)
-        self.rows[row, :-1] = self.model.vectors[ids].sum(0)
+        self.rows[row, :-1] = self.model.vectors[ids[0]] if len(ids) == 1 else self.model.vectors[ids].sum(0)
         self.rows[row, -1] = len(ids)
         return row
 
