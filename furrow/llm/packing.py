@@ -15,15 +15,19 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.tables import Remembered, documents, portions, values
+from furrow.llm.tables import Remembered, documents, values
 from furrow.schemas import require_columns
 
 WINDOW = 1024  # examples that wait for a place
-REMEMBERED = 250_000  # words per generation of the cache
+REMEMBERED = 200_000  # words per generation of the cache
+WORDS_TO_A_TEXT, FRESH_AT_ONCE = 50, 10_000
+MARK = " \0 "  # between words that are encoded together; words that hold it are encoded alone
+TEXT_AT_ONCE = 10_000_000  # bytes
 ROWS_AT_ONCE = 2_000
 TASK_SHIFT = 40  # sequence ids: the task's number above this bit, its sequences below
 PIECES_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -140,8 +144,8 @@ class Packer:
 class WordTokens:
     """Token ids of texts by a vocabulary file of ``tokenizers`` that lower-cases and drops white space.
 
-    Words between ASCII blanks are encoded one by one, for neither the file's normalisers nor its pattern reach across
-    a blank, and remembered.
+    Words between ASCII blanks are encoded once and remembered, for neither the file's normalisers nor its pattern
+    reach across a blank. Fresh words are encoded many to a text, with a mark that is a token of its own between them.
     """
 
     def __init__(self, path: str):
@@ -151,14 +155,45 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known = Remembered(REMEMBERED)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        words = [text.lower().split() for text in texts]
-        fresh = self.known.unknown(set(chain.from_iterable(words)))
-        coded = self.tokenizer.encode_batch_fast([word.decode("utf-8") for word in fresh], add_special_tokens=False)
-        self.known.update((word, np.array(found.ids, "<u4").tobytes()) for word, found in zip(fresh, coded))
-        return [b"".join(map(self.known.__getitem__, own)) for own in words]
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text. Words are cut and numbered by Arrow, so that Python sees each of a portion's words once."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+        numbered = split.flatten().dictionary_encode()
+        words, of_word = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        self._learn(self.known.unknown({word for word in words if word}))
+        self.known[""] = b""
+        parts = list(map(self.known.__getitem__, words))
+        ids, lengths = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        counts, starts = lengths[of_word], (np.cumsum(lengths) - lengths)[of_word]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        # The ids of all words in a row: each word's run is shifted to where its ids stand.
+        out = ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)]
+        at = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        return [out[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self, fresh: list[str]) -> None:
+        for at in range(0, len(fresh), FRESH_AT_ONCE):
+            part = fresh[at : at + FRESH_AT_ONCE]
+            odd = [word for word in part if "\0" in word]
+            plain = [word for word in part if "\0" not in word] if odd else part
+            runs = [plain[i : i + WORDS_TO_A_TEXT] for i in range(0, len(plain), WORDS_TO_A_TEXT)]
+            texts = [MARK.join(run) for run in runs]
+            for run, coded in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(coded.ids, "<u4")
+                marks = np.flatnonzero(ids == self.mark)
+                cuts, ids = (4 * marks).tolist(), ids.tobytes()
+                self.known.update((word, ids[a:b]) for word, a, b in zip(run, [0, *(c + 4 for c in cuts)], [*cuts, len(ids)]))
+            for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+                self.known[word] = np.array(coded.ids, "<u4").tobytes()
+
+
+def slices(texts: pa.Array, octets: int = TEXT_AT_ONCE) -> Iterator[pa.Array]:
+    """An array of texts in runs of about ``octets`` bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // octets
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    return (texts[a:b] for a, b in zip(cuts, cuts[1:]) if b > a)
 
 
 @lru_cache(maxsize=2)
@@ -182,21 +217,21 @@ def pack_documents(
     without ids (empty, and no ``end_id``) has no piece. Repeated rows are packed once each, an empty table gives no
     piece, and other columns take no part. All tokens bear loss.
     """
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, own = Packer(limits, cut=True), word_tokens(path)
-        held: dict[int, tuple[int | None, bytes, int]] = {}  # example -> id, token ids, tokens not yet handed out
+        held: dict[int, tuple[int | None, np.ndarray, int]] = {}  # example -> id, token ids, tokens not yet handed out
 
         def sequences() -> Iterator[list[Piece]]:
             example = 0
             for batch in batches:
-                coded = chain.from_iterable(map(own.encode, portions(values(batch.column(1)))))
+                coded = chain.from_iterable(map(own.encode, slices(batch.column(1))))
                 for name, ids in zip(values(batch.column(0)), coded):
-                    ids += end
-                    if ids:
-                        held[example] = (name, ids, len(ids) // 4)
-                        yield from packer.add(example, len(ids) // 4, len(ids) // 4)
+                    ids = np.concatenate([ids, end])
+                    if len(ids):
+                        held[example] = (name, ids, len(ids))
+                        yield from packer.add(example, len(ids), len(ids))
                     example += 1
             yield from packer.rest()
 
@@ -205,8 +240,8 @@ def pack_documents(
                 name, ids, left = held.pop(piece.example)
                 if left > piece.length:
                     held[piece.example] = (name, ids, left - piece.length)
-                part = ids[4 * piece.start : 4 * (piece.start + piece.length)]
-                yield name, piece.start, piece.length, part, len(ids) // 4, sequence, offset
+                part = ids[piece.start : piece.start + piece.length].tobytes()
+                yield name, piece.start, piece.length, part, len(ids), sequence, offset
 
         yield from _batches(pieces(), PIECES)
 
