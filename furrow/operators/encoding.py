@@ -13,7 +13,8 @@ from furrow.workspace import checkpoint, materialize
 DICTIONARY_SCHEMA = "column string, category string, idx long, rows long"
 RARE = "__rare__"
 MIN_FREQUENCY = 5
-MAX_SLOTS = 100_000
+SLOT_COLUMNS = ["column", "category", "slot", "slot_name"]
+SLOT_SCHEMA = "column string, category string, slot long, slot_name string"
 
 
 def category_frequency(df: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY) -> DataFrame:
@@ -31,12 +32,19 @@ def category_frequency(df: DataFrame, columns: Sequence[str], min_frequency: int
 def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows ``(column, category, idx, rows)``: stripped categories, numbered from 0 in text order per column.
 
-    The distinct categories are range-sorted over the cluster and pinned by a checkpoint; each gets its place from
-    its position in its partition plus the sizes of the partitions before, so no task sees a whole vocabulary. The
-    result is a stored table, whose size the planner knows when it joins it.
+    The result is a stored table, whose size the planner knows when it joins it.
     """
     counts = category_frequency(df.select(*[strip(c).alias(c) for c in columns]), columns).drop("rare")
-    ordered = checkpoint(counts.sort("column", "category"))
+    return materialize(_numbered(counts).select("column", "category", "idx", "rows"), "dictionary")
+
+
+def _numbered(categories: DataFrame) -> DataFrame:
+    """Add ``idx``: the place of each category of a column in text order, from 0.
+
+    The distinct categories are range-sorted over the cluster and pinned by a checkpoint; each gets its place from
+    its position in its partition plus the sizes of the partitions before, so no task sees a whole vocabulary.
+    """
+    ordered = checkpoint(categories.sort("column", "category"))
     part = F.spark_partition_id()
     # monotonically_increasing_id holds the partition number above bit 33 and the row's position below it.
     placed = ordered.withColumn("_part", part).withColumn(
@@ -48,10 +56,21 @@ def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     offsets = offsets.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     numbered = placed.join(F.broadcast(offsets), "_part").withColumn("_place", F.col("_offset") + F.col("_pos"))
     starts = numbered.groupBy("column").agg(F.min("_place").alias("_start"))
-    fitted = numbered.join(F.broadcast(starts), "column").select(
-        "column", "category", (F.col("_place") - F.col("_start")).alias("idx"), "rows"
-    )
-    return materialize(fitted, "dictionary")
+    idx = (F.col("_place") - F.col("_start")).alias("idx")
+    return numbered.join(F.broadcast(starts), "column").select(*categories.columns, idx)
+
+
+def category_slots(dictionary: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY) -> DataFrame:
+    """Rows ``(column, category, slot, slot_name)``: the slot of each category in a one-hot vector.
+
+    Slots are numbered from 0 in text order; categories of fewer than ``min_frequency`` rows share the slot of
+    ``RARE``. A stored table of the vocabulary's size, which no single place has to hold.
+    """
+    name = F.when(F.col("rows") >= min_frequency, F.col("category")).otherwise(RARE).alias("slot_name")
+    named = dictionary.where(F.col("column").isin(*columns)).select("column", "category", name)
+    slots = _numbered(named.select("column", F.col("slot_name").alias("category")).distinct())
+    slots = slots.select("column", F.col("category").alias("slot_name"), F.col("idx").alias("slot"))
+    return materialize(named.join(slots, ["column", "slot_name"]).select(*SLOT_COLUMNS), "category-slots")
 
 
 def _entries(dictionary: DataFrame, column: str, *values) -> DataFrame:
@@ -86,19 +105,3 @@ def bucket_rare(
             c, F.when(rows >= min_frequency, F.col(c)).when(rows.isNotNull(), F.lit(RARE))
         )
     return mapped.select(*df.columns)
-
-
-def kept_categories(
-    dictionary: DataFrame, columns: Sequence[str], min_frequency: int = MIN_FREQUENCY
-) -> dict[str, list[str]]:
-    """Categories per column after :func:`bucket_rare`, in text order: the slots of a one-hot vector.
-
-    A vocabulary too large for one-hot vectors is refused; label codes take any size.
-    """
-    kept = dictionary.where(F.col("column").isin(*columns)).select(
-        "column", F.when(F.col("rows") >= min_frequency, F.col("category")).otherwise(RARE).alias("category")
-    )
-    slots = kept.distinct().limit(MAX_SLOTS + 1).collect()
-    if len(slots) > MAX_SLOTS:
-        raise ValueError(f"more than {MAX_SLOTS} categories for one-hot vectors: train in encoded mode")
-    return {c: sorted(row["category"] for row in slots if row["column"] == c) for c in columns}

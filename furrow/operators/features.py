@@ -10,14 +10,15 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.numeric import to_number
 from furrow.functions.text import seedling_flag, strip
+from furrow.operators.encoding import SLOT_SCHEMA, category_slots
 from furrow.schemas import CATEGORY_FEATURES, LABEL, NUMERIC_FEATURES, require_columns
 
 # Column of each feature in the two tables, in the order of the model contract.
@@ -67,38 +68,81 @@ def feature_projection(
     return df.select(*keep, *feature_columns(df, source, stage_as), *label)
 
 
+class CategorySlots(Transformer, MLWritable, MLReadable):
+    """Stage that gives each category its slot in a one-hot vector, in columns ``<column>_index``.
+
+    It carries the table of :func:`furrow.operators.encoding.category_slots`, also when it is saved: a pipeline with
+    this stage needs no dictionary beside it. Null and unseen categories take a further slot, the last, which the
+    encoder after it drops. Joins carry no hint, as those with a dictionary.
+    """
+
+    def __init__(self, slots: DataFrame, sizes: dict[str, int]):
+        super().__init__()
+        self.slots, self.sizes = slots, sizes
+
+    @classmethod
+    def fitted(cls, dictionary: DataFrame, columns: Sequence[str] = CATEGORY_FEATURES) -> CategorySlots:
+        slots = category_slots(dictionary, columns)
+        found = dict(slots.groupBy("column").agg((F.max("slot") + 1).alias("size")).collect())
+        return cls(slots, {c: found.get(c, 0) for c in columns})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = dataset
+        for c, size in self.sizes.items():
+            entries = self.slots.where(F.col("column") == c).select(F.col("category").alias(c), F.col("slot").alias(f"_{c}_slot"))
+            nominal = {"ml_attr": {"type": "nominal", "name": f"{c}_index", "num_vals": size + 1}}
+            slot = F.coalesce(F.col(f"_{c}_slot"), F.lit(size)).cast("double")
+            joined = out.join(entries, c, "left")
+            out = joined.select(*out.columns, slot.alias(f"{c}_index", metadata=nominal))
+        return out
+
+    def write(self) -> MLWriter:
+        return _SlotsWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _SlotsReader()
+
+
+class _SlotsWriter(MLWriter):
+    def __init__(self, stage: CategorySlots):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        sizes = {"sizes": self.stage.sizes}
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, sizes)
+        self.stage.slots.write.parquet(f"{path}/slots")
+
+
+class _SlotsReader(MLReader):
+    def load(self, path: str) -> CategorySlots:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        slots = self.sparkSession.read.schema(SLOT_SCHEMA).parquet(f"{path}/slots")
+        return CategorySlots(slots, metadata["sizes"])
+
+
 def feature_stages(
     category_columns: Sequence[str] = CATEGORY_FEATURES,
     numeric_columns: Sequence[str] = NUMERIC_FEATURES,
     scale: bool = False,
-    labels: dict[str, list[str]] | None = None,
+    slots: CategorySlots | None = None,
 ) -> list[Estimator | Transformer]:
     """Stages from feature columns to the ``features`` vector: one-hot categories, then numbers.
 
     Unknown and null categories give an all-zero block. Missing numbers become the training median, because Spark's
-    trees take no NaN. ``labels`` gives the categories that are already known from a dictionary, which saves the
-    indexer its pass over the data.
+    trees take no NaN. ``slots`` are the categories' known places, with rare ones in one; without them an indexer
+    learns the categories from the data.
     """
     indexed = [f"{c}_index" for c in category_columns]
     encoded = [f"{c}_onehot" for c in category_columns]
     filled = [f"{c}_filled" for c in numeric_columns]
     assembled = "assembled" if scale else "features"
-    if labels is None:
-        indexers = [
-            StringIndexer(
-                inputCols=list(category_columns),
-                outputCols=indexed,
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            )
-        ]
-    else:
-        indexers = [
-            StringIndexerModel.from_labels(labels[c], c, index, handleInvalid="keep")
-            for c, index in zip(category_columns, indexed)
-        ]
+    indexer = slots or StringIndexer(
+        inputCols=list(category_columns), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
+    )
     stages = [
-        *indexers,
+        indexer,
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         Imputer(inputCols=list(numeric_columns), outputCols=filled, strategy="median"),
         VectorAssembler(inputCols=[*encoded, *filled], outputCol=assembled),

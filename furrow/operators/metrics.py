@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.schemas import LABEL, LABEL_DOMAIN
+from furrow.workspace import materialize
 
-SCORE_RANGES = 1000
+ROWS_PER_RANGE = 1_000_000
 
 
 def threshold_class(score, threshold: float = 0.5):
@@ -104,33 +103,29 @@ def roc_auc(df: DataFrame, label: str = LABEL, score: str = "score") -> DataFram
     """One row ``roc_auc``: the exact area under the ROC curve, ties averaged; null without both classes.
 
     The area is the share of (positive, negative) pairs in the right order. It needs, per distinct score, the
-    negatives below it: that is the negatives in lower score ranges, plus those below inside the range. The ranges
-    come from sketched quantiles, which are fetched first, and any choice of them gives the same sum. Range totals
-    are combined before they are moved; distinct scores are sorted one range per task.
-
-    The scores are read three times: materialize a costly input first.
+    negatives below it: those in lower ranges of scores, plus those below inside the range. The distinct scores are
+    counted and then sorted into ranges, as many as ``ROWS_PER_RANGE`` asks for, which are stored; a task ranks one.
     """
     rows = df.where(F.col(score).isNotNull()).select(
         F.col(score).cast("double").alias("s"),
         (F.col(label) == 1).cast("long").alias("pos"),
         (F.col(label) == 0).cast("long").alias("neg"),
     )
-    steps = [i / SCORE_RANGES for i in range(1, SCORE_RANGES)]
-    edges = rows.approxQuantile("s", steps, 0.5 / SCORE_RANGES)
-    splits = [-math.inf, *sorted({0.0, *edges} - {-math.inf, math.inf}), math.inf]
-    ranged = Bucketizer(splits=splits, inputCol="s", outputCol="range").transform(rows)
+    scores = materialize(rows.groupBy("s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "scores")
+    ranges = max(1, -(-scores.count() // ROWS_PER_RANGE))
+    sorted_scores = scores.repartitionByRange(ranges, "s").withColumn("range", F.spark_partition_id())
+    ranged = materialize(sorted_scores, "score-ranges")
 
-    # At most SCORE_RANGES + 1 rows.
+    # One row per range.
     totals = ranged.groupBy("range").agg(F.sum("neg").alias("neg"))
     earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("range", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("offset"))
 
-    scores = ranged.groupBy("range", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     inside = Window.partitionBy("range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    placed = scores.withColumn("inside", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    placed = ranged.withColumn("inside", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
     below = F.col("offset") + F.col("inside")
     pairs = F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0))
-    sums = placed.join(F.broadcast(offsets), "range").agg(
+    sums = placed.join(offsets, "range").agg(
         F.sum(pairs).alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     all_pairs = F.col("pos").cast("double") * F.col("neg")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from furrow.functions.numeric import moisture01, to_number
 from furrow.functions.time import parse_instant
-from furrow.schemas import LOG_COLUMNS, READING_SCHEMA, project
+from furrow.schemas import CONSOLE_COLUMNS, LOG_COLUMNS, READING_SCHEMA, project
 
 _CORRUPT = "_corrupt"
 
@@ -87,6 +87,12 @@ def clean_readings(envelope: DataFrame, with_status: bool = False) -> DataFrame:
     return harmonize_moisture(with_event_time(decode_envelope(envelope, with_status=with_status)))
 
 
+def earliest(clean: DataFrame, n: int = 50) -> DataFrame:
+    """The ``n`` rows that :func:`log_extract` shows, picked before they are scored: by what scores depend on."""
+    order = [F.col(c).asc_nulls_last() for c in [*CONSOLE_COLUMNS, "soilType"]]
+    return clean.orderBy(*order).limit(n)
+
+
 def log_extract(scored: DataFrame, n: int = 50) -> DataFrame:
     """The ``n`` earliest rows, rows without a time last; the other columns break ties."""
     rows = project(scored, LOG_COLUMNS)

@@ -7,8 +7,8 @@ from pyspark.ml.feature import OneHotEncoderModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.operators.encoding import bucket_rare, label_encode
-from furrow.operators.features import feature_columns
+from furrow.operators.encoding import label_encode
+from furrow.operators.features import CategorySlots, feature_columns
 from furrow.schemas import CATEGORY_FEATURES
 
 RAW = "raw"
@@ -19,7 +19,7 @@ def score_mode(model: PipelineModel) -> str:
     """``raw`` when the pipeline one-hot-encodes categories itself, else ``encoded``."""
     for stage in model.stages:
         nested = isinstance(stage, PipelineModel) and score_mode(stage) == RAW
-        if nested or isinstance(stage, OneHotEncoderModel):
+        if nested or isinstance(stage, (CategorySlots, OneHotEncoderModel)):
             return RAW
     return ENCODED
 
@@ -29,8 +29,7 @@ def score(
 ) -> DataFrame:
     """Add ``needsIrrigation`` to every row; the input columns and rows are kept.
 
-    A raw-mode model may run without a dictionary; with it, rare categories go to the bucket they had in training.
-    An encoded-mode model needs one.
+    A raw-mode model holds its own categories and takes no dictionary; an encoded-mode model needs one.
     """
     mode = score_mode(model)
     if mode == ENCODED and dictionary is None:
@@ -38,7 +37,5 @@ def score(
     features = df.select(F.struct(*df.columns).alias("_row"), *feature_columns(df, source))
     if mode == ENCODED:
         features = label_encode(features, dictionary, CATEGORY_FEATURES)
-    elif dictionary is not None:
-        features = bucket_rare(features, dictionary, CATEGORY_FEATURES)
     scored = model.transform(features)
     return scored.select("_row.*", F.col("prediction").cast("long").alias("needsIrrigation"))

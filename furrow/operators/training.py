@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextvars import copy_context
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -17,8 +18,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.operators.encoding import bucket_rare, fit_dictionary, kept_categories, label_encode
-from furrow.operators.features import encoded_stages, feature_stages, source_variable, vector_names
+from furrow.operators.encoding import fit_dictionary, label_encode
+from furrow.operators.features import (
+    CategorySlots,
+    encoded_stages,
+    feature_stages,
+    source_variable,
+    vector_names,
+)
 from furrow.operators.metrics import (
     best_model,
     binary_metrics,
@@ -30,12 +37,14 @@ from furrow.operators.metrics import (
 )
 from furrow.operators.scoring import RAW
 from furrow.schemas import CATEGORY_FEATURES, LABEL
-from furrow.workspace import materialize
+from furrow.workspace import discarded, materialize
 
 SEED = 42
 FOLD_METRICS_SCHEMA = "model string, fold int, f1 double, precision double, recall double, roc_auc double"
 
-# Trees per candidate: the sizes of the full job, and small ones for trial runs.
+ROWS_PER_PART = 100_000
+
+# Trees per candidate of the full job; "smoke" has small ones for tests.
 ROUNDS = {
     "reference": {
         "gbt_deep": 800,
@@ -61,7 +70,7 @@ def candidates(profile: str = "reference") -> dict[str, Estimator]:
     extremely random trees: every tree sees all rows and chooses among few split points.
     """
     rounds = ROUNDS[profile]
-    forest_depth = {"reference": 20, "smoke": 8}[profile]
+    forest_depth = {"reference": 30, "smoke": 8}[profile]  # 30 is as deep as Spark's trees go
     # More histogram memory lets a pass over the rows split more nodes.
     common = {"featuresCol": "features", "labelCol": LABEL, "seed": SEED, "maxMemoryInMB": 1024}
     return {
@@ -120,15 +129,22 @@ def prepare(train: DataFrame, mode: str = RAW, scale: bool = False) -> Prepared:
     The assembled rows are written to the workspace: every round of every candidate reads them.
     """
     dictionary = fit_dictionary(train, CATEGORY_FEATURES)
+    weighted = with_class_weight(train, LABEL)
     if mode == RAW:
-        mapped = bucket_rare(train, dictionary, CATEGORY_FEATURES)
-        labels = kept_categories(dictionary, CATEGORY_FEATURES)
-        stages = Pipeline(stages=feature_stages(scale=scale, labels=labels)).fit(mapped)
+        slots = CategorySlots.fitted(dictionary)
+        stages = Pipeline(stages=feature_stages(scale=scale, slots=slots)).fit(weighted)
     else:
-        mapped = label_encode(train, dictionary, CATEGORY_FEATURES)
-        stages = Pipeline(stages=encoded_stages()).fit(mapped)
-    rows = with_class_weight(stages.transform(mapped), LABEL).select("features", LABEL, "weight")
-    return Prepared(materialize(rows, "assembled"), stages, dictionary)
+        weighted = label_encode(weighted, dictionary, CATEGORY_FEATURES)
+        stages = Pipeline(stages=encoded_stages()).fit(weighted)
+    rows = stages.transform(weighted).select("features", LABEL, "weight")
+    return Prepared(_evenly(rows), stages, dictionary)
+
+
+def _evenly(rows: DataFrame) -> DataFrame:
+    """Rows written in few, even parts: every round of a learner runs a task per part."""
+    stored = materialize(rows, "assembled")
+    parts = max(1, -(-stored.count() // ROWS_PER_PART))
+    return stored.coalesce(parts) if parts < stored.rdd.getNumPartitions() else stored
 
 
 def fit_on(prepared: Prepared, estimator: Estimator) -> PipelineModel:
@@ -155,8 +171,9 @@ def assembled(
     features: DataFrame, model: PipelineModel, dictionary: DataFrame, mode: str = RAW
 ) -> DataFrame:
     """Feature rows as the model sees and scores them."""
-    encode = bucket_rare if mode == RAW else label_encode
-    return model.transform(encode(features, dictionary, CATEGORY_FEATURES))
+    if mode != RAW:
+        features = label_encode(features, dictionary, CATEGORY_FEATURES)
+    return model.transform(features)
 
 
 def predict(features: DataFrame, model: PipelineModel, dictionary: DataFrame, mode: str = RAW) -> DataFrame:
@@ -175,23 +192,24 @@ def cross_validate(estimators: dict[str, Estimator], folded: DataFrame, parallel
 
     ``folded`` is a feature projection with a ``fold`` column. Dictionary and feature stages are fitted on the
     training part of each fold and shared by the candidates, of which ``parallelism`` are fitted at a time. The
-    driver receives one metrics row per fit.
+    driver receives one metrics row per fit. A fold's tables are deleted when it is done.
     """
     spark = folded.sparkSession
-    folded = materialize(folded, "folds")
-    folds = sorted(row["fold"] for row in folded.select("fold").distinct().collect())
     results = []
-    with ThreadPool(min(parallelism, len(estimators))) as pool:
-        for fold in folds:
-            prepared = prepare(folded.where(F.col("fold") != fold).drop("fold"))
-            held_out = folded.where(F.col("fold") == fold)
-
-            def check(name: str, prepared=prepared, held_out=held_out, fold=fold) -> tuple:
-                model = fit_on(prepared, estimators[name])
-                scored = materialize(predict(held_out, model, prepared.dictionary), "scored")
-                return (name, int(fold), *score_metrics(scored).first())
-
-            results.extend(pool.map(inheritable_thread_target(spark)(check), list(estimators)))
+    with discarded(spark), ThreadPool(min(parallelism, len(estimators))) as pool:
+        folded = materialize(folded, "folds")
+        for fold in sorted(row["fold"] for row in folded.select("fold").distinct().collect()):
+            with discarded(spark):
+                prepared = prepare(folded.where(F.col("fold") != fold).drop("fold"))
+                held_out = folded.where(F.col("fold") == fold)
+
+                def check(name: str, prepared=prepared, held_out=held_out, fold=fold) -> tuple:
+                    model = fit_on(prepared, estimators[name])
+                    scored = materialize(predict(held_out, model, prepared.dictionary), "scored")
+                    return (name, int(fold), *score_metrics(scored).first())
+
+                run = inheritable_thread_target(spark)(check)
+                results.extend(pool.starmap(lambda context, name: context.run(run, name), [(copy_context(), name) for name in estimators]))
     return spark.createDataFrame(results, FOLD_METRICS_SCHEMA)
 
 

@@ -173,12 +173,22 @@ FROM long JOIN reach USING (result, "column") GROUP BY result, "column", q1, med
 )
 
 
-def _holdout(name: str) -> str:
-    return (
-        _RANKED
-        + f"""SELECT '{name}' AS model, count(*) AS valid_rows, count(*) FILTER (WHERE result = 1) AS valid_ones,
-  0 AS bad_scores, true AS beats_majority FROM parts WHERE split = 'valid'"""
-    )
+# Trees and depth of the stated candidates; passes and layers of the network.
+SIZES = {
+    "gbt_deep": (800, 6),
+    "gbt_wide": (400, 5),
+    "random_forest": (500, 30),
+    "forest_nobootstrap": (700, 30),
+    "gbt_classic": (500, 3),
+    "mlp": (30, 4),
+}
+_VALID = """count(*) AS valid_rows, count(*) FILTER (WHERE result = 1) AS valid_ones,
+  0 AS bad_scores, true AS beats_majority, true AS good_auc"""
+
+
+def holdout(name: str, size: int, depth: int) -> str:
+    return _RANKED + f"""SELECT '{name}' AS model, {size} AS size, {depth} AS depth, {_VALID}
+  FROM parts WHERE split = 'valid'"""
 
 
 # The slots that are 1 in a row's vector, in vector order; soil types of fewer than five rows share one.
@@ -200,9 +210,14 @@ ORACLES: dict[str, str] = {
     + """SELECT "deviceId", ts, "cropId", stage, "moisturePct", "tempC", humidity, "needsIrrigation",
   strftime(ts, '%Y-%m-%d') AS date FROM scored""",
     "console_tap": _READING + 'SELECT ts, "deviceId", "cropId", stage, "moisturePct", "tempC", humidity FROM clean',
-    "foreach_batch_fanout": """SELECT 'readings' AS "table", count(*) AS "rows" FROM events
-  UNION ALL SELECT 'predictions', count(*) FROM events""",
-    "model_roundtrip": "SELECT count(*) AS \"rows\", 0 AS differing FROM events",
+    "foreach_batch_fanout": _READING
+    + """SELECT 'readings' AS "table", "deviceId", ts, "cropId", "soilType", stage, moisture01, "moisturePct", "tempC",
+    humidity, NULL AS "needsIrrigation", strftime(ts, '%Y-%m-%d') AS date FROM clean
+  UNION ALL SELECT 'predictions', "deviceId", ts, "cropId", NULL, stage, NULL, "moisturePct", "tempC", humidity,
+    "needsIrrigation", strftime(ts, '%Y-%m-%d') FROM scored""",
+    "model_roundtrip": _CROP_RARE
+    + """SELECT count(*) AS "rows", count(*) FILTER (WHERE soil_type LIKE 'rare%') AS rare_rows, 0 AS differing
+FROM cleaned""",
     "category_dictionary": _CROP_RARE + _dictionary("trimmed"),
     "envelope_encode": _READING
     + """SELECT "deviceId" AS key, "deviceId" AS device, "cropId" AS crop, "moistureIdx" AS moisture,
@@ -326,7 +341,17 @@ SELECT crop_id, soil_type, seedling_stage, result, split, """
     + ", ".join(f"round(({c} - {c}_m) / {c}_s, 6) AS {c}" for c in ("moi", "temp", "humidity"))
     + " FROM parts, stats",
     "one_hot": _ONE_HOT,
-    "train_mlp": _holdout("mlp"),
+    "holdout_evaluation": _RANKED
+    + """, v AS (SELECT result, count(*) AS n FROM parts WHERE split = 'valid' GROUP BY result)
+SELECT CAST(result AS VARCHAR) AS class, n AS support, true AS good FROM v
+UNION ALL SELECT class, CAST(sum(n) AS BIGINT), true
+  FROM v, (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) AS t(class) GROUP BY class""",
+    "cv_summary": """SELECT model, 5 AS folds, true AS in_range, true AS good, 'smoke' AS profile FROM (VALUES ('gbt_deep'),
+  ('gbt_wide'), ('random_forest'), ('forest_nobootstrap'), ('gbt_classic')) AS t(model)""",
+    "best_model": _RANKED
+    + f"SELECT true AS known, {_VALID}, 'smoke' AS profile FROM parts WHERE split = 'valid'",
+    "variable_importance": """SELECT variable, variable = 'moi' AS first, true AS sums_to_one FROM (VALUES ('moi'),
+  ('temp'), ('humidity'), ('crop_id'), ('soil_type'), ('seedling_stage')) AS t(variable)""",
     "score_batch": _READING
     + """SELECT event_id, "deviceId", "cropId", "soilType", stage, "soilMoisture", "moistureIdx", "tempC", humidity,
   ts, ts AS event_time, moisture01, "moisturePct", "needsIrrigation" FROM scored""",
@@ -334,5 +359,5 @@ SELECT crop_id, soil_type, seedling_stage, result, split, """
   UNION ALL SELECT 'encoded', count(*), 0 FROM events""",
 }
 ORACLES["stream_clean"] = ORACLES["clean_readings"]
-for _name in ("gbt_deep", "gbt_wide", "random_forest", "forest_nobootstrap", "gbt_classic"):
-    ORACLES[f"train_{_name}"] = _holdout(_name)
+for _name, (_size, _depth) in SIZES.items():
+    ORACLES[f"train_{_name}"] = holdout(_name, _size, _depth)

@@ -47,13 +47,13 @@ NUMERIC_FEATURES = ["moi", "temp", "humidity"]
 CATEGORY_FEATURES = ["crop_id", "soil_type", "seedling_stage"]
 FEATURES = NUMERIC_FEATURES + CATEGORY_FEATURES
 
+# The columns of the outputs, in their order.
 READINGS_COLUMNS = [
     "deviceId", "ts", "cropId", "soilType", "stage", "moisture01", "moisturePct", "tempC", "humidity", "date",
 ]
 PREDICTIONS_COLUMNS = [
     "deviceId", "ts", "cropId", "stage", "moisturePct", "tempC", "humidity", "needsIrrigation", "date",
 ]
-SCORING_INPUT_COLUMNS = ["deviceId", "ts", "cropId", "soilType", "stage", "moisturePct", "tempC", "humidity"]
 CONSOLE_COLUMNS = ["ts", "deviceId", "cropId", "stage", "moisturePct", "tempC", "humidity"]
 LOG_COLUMNS = [*CONSOLE_COLUMNS, "needsIrrigation"]
 

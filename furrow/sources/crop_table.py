@@ -18,9 +18,10 @@ MISSING_TEXTS = [
 def read_crop_csv(spark: SparkSession, path: str) -> DataFrame:
     """Crop rows, with columns found by header name and bad numbers as null.
 
-    Only the header is read up front, to check that the seven columns are there; no type inference pass runs.
+    Only the header is read up front, to check that the seven columns are there; no type inference pass runs. All files
+    must have the same header: one that differs, in order too, makes the read fail. A doubled quote stands for one.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.options(header=True, enforceSchema=False, escape='"').csv(path)
     require_columns(raw, list(CROP_COLUMNS))
     return raw.select(*[_typed(header, name, dtype) for header, (name, dtype) in CROP_COLUMNS.items()])
 
@@ -42,6 +43,7 @@ def write_crop_csv(df: DataFrame, path: str) -> None:
     renamed = df.select(*[F.col(name).alias(header) for header, (name, _) in CROP_COLUMNS.items()])
     (
         renamed.write.option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

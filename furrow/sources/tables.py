@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.functions.time import event_date
 from furrow.schemas import PREDICTIONS_COLUMNS, READINGS_COLUMNS, project
 
 
+STREAM_LOG = "_spark_metadata"
+
+
 def with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("date", event_date("ts"))
 
@@ -23,6 +26,38 @@ def predictions_table(scored: DataFrame) -> DataFrame:
     return project(with_date(scored), PREDICTIONS_COLUMNS)
 
 
+def _holds(spark: SparkSession, path: str, hidden: bool) -> bool:
+    """Whether a folder has the commit log of a native stream (``hidden``), or anything that readers see."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return STREAM_LOG in names if hidden else any(name[0] not in "._" for name in names)
+
+
+def require_plain(spark: SparkSession, path: str) -> None:
+    """Refuse a table that a native stream has written: its log hides the files of every other writer."""
+    if _holds(spark, path, hidden=True):
+        raise ValueError(f"{path} was written by a native stream, whose log would hide these rows: choose another path")
+
+
+def require_streamed(spark: SparkSession, path: str) -> None:
+    """Refuse a table with rows of another writer: the log of a native stream would hide them."""
+    if _holds(spark, path, hidden=False) and not _holds(spark, path, hidden=True):
+        raise ValueError(f"{path} holds rows that a native stream's log would hide: choose another path")
+
+
+def read_readings(spark: SparkSession, path: str) -> DataFrame:
+    """The readings table of any writer, in its contract's columns."""
+    return project(spark.read.parquet(path), READINGS_COLUMNS)
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The predictions table of any writer, in its contract's columns."""
+    return project(spark.read.parquet(path), PREDICTIONS_COLUMNS)
+
+
 def gather_by_date(df: DataFrame) -> DataFrame:
     """Bring the rows of a date together, so that a write makes few files instead of one per task and date.
 
@@ -34,7 +69,8 @@ def gather_by_date(df: DataFrame) -> DataFrame:
 
 
 def append_by_date(df: DataFrame, path: str) -> None:
-    """Append a batch, partitioned by date."""
+    """Append a batch, partitioned by date. A table of a native stream is refused."""
+    require_plain(df.sparkSession, path)
     gather_by_date(df).write.mode("append").partitionBy("date").parquet(path)
 
 
@@ -46,16 +82,18 @@ def write_predictions(scored: DataFrame, path: str) -> None:
     append_by_date(predictions_table(scored), path)
 
 
-def replace_batch(df: DataFrame, path: str, batch_id: int, gather: bool = True) -> None:
+def replace_batch(df: DataFrame, path: str, batch_id: int, gather: bool = True, run_id: str = "stable") -> None:
     """Write one micro-batch so that writing it again leaves the same rows.
 
-    Every batch owns the partitions ``date=*/batch_id=<id>``; a replay overwrites just those.
+    Every batch of a run owns the partitions ``date=*/run_id=<run>/batch_id=<id>``; a replay overwrites just those, and
+    other runs, whose ids start at 0 again, only add to the table. A table of a native stream is refused.
     """
+    require_plain(df.sparkSession, path)
     rows = gather_by_date(df) if gather else df
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch_id")
+        .partitionBy("date", "run_id", "batch_id")
         .parquet(path)
     )

@@ -11,12 +11,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from furrow.config import JobConfig
-from furrow.operators.readings import clean_readings, is_empty, log_extract
+from furrow.operators.readings import clean_readings, earliest, is_empty, log_extract
 from furrow.operators.scoring import ENCODED, score, score_mode
 from furrow.schemas import CONSOLE_COLUMNS, project
 from furrow.sources.artefacts import load_dictionary, load_model
 from furrow.sources.envelope import read_envelope
-from furrow.sources.tables import gather_by_date, predictions_table, readings_table, replace_batch
+from furrow.sources.tables import (
+    gather_by_date,
+    predictions_table,
+    readings_table,
+    replace_batch,
+    require_plain,
+    require_streamed,
+)
 
 
 def _writer(df: DataFrame, cfg: JobConfig, query: str, available_now: bool) -> DataStreamWriter:
@@ -35,13 +42,18 @@ def _writer(df: DataFrame, cfg: JobConfig, query: str, available_now: bool) -> D
 
 
 def _date_sink(df: DataFrame, cfg: JobConfig, query: str, path: str, available_now: bool) -> StreamingQuery:
+    require_streamed(df.sparkSession, path)
     rows = gather_by_date(df) if cfg.gather_dates else df
     writer = _writer(rows, cfg, query, available_now)
     return writer.format("parquet").partitionBy("date").option("path", path).start()
 
 
 def start_readings(clean: DataFrame, cfg: JobConfig, available_now: bool = False) -> StreamingQuery:
-    """Readings to Parquet by date, exactly once through the file sink's commit log."""
+    """Readings to Parquet by date, exactly once through the file sink's commit log.
+
+    The log lists every file ever written and the driver reads it, so it grows with a long stream; for one without
+    end use :func:`start_fanout`, whose folders a batch job can compact.
+    """
     return _date_sink(readings_table(clean), cfg, "readings", cfg.readings_path, available_now)
 
 
@@ -88,18 +100,20 @@ def fanout_batch(
 ) -> None:
     """Write readings and predictions of one micro-batch and show its earliest rows.
 
-    The batch is read and parsed once. Both writes replace the partitions of this batch id, so a replay after a
-    failure at any point leaves each row once. An empty batch writes nothing.
+    The batch is read and parsed once and scored once; the shown rows are picked first and scored on their own. Both
+    writes replace the partitions of this run's batch, so a replay after a failure at any point leaves each row once,
+    and other runs add to the tables. An empty batch writes nothing.
     """
     clean.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if is_empty(clean):
             return
-        replace_batch(readings_table(clean), cfg.readings_path, batch_id, cfg.gather_dates)
+        replace_batch(readings_table(clean), cfg.readings_path, batch_id, cfg.gather_dates, cfg.run_id)
         scored = score(clean, model, dictionary)
-        replace_batch(predictions_table(scored), cfg.predictions_path, batch_id, cfg.gather_dates)
+        replace_batch(predictions_table(scored), cfg.predictions_path, batch_id, cfg.gather_dates, cfg.run_id)
         if show is not None:
-            show(log_extract(scored, cfg.console_rows), batch_id, cfg.console_rows)
+            shown = score(earliest(clean, cfg.console_rows), model, dictionary)
+            show(log_extract(shown, cfg.console_rows), batch_id, cfg.console_rows)
     finally:
         clean.unpersist()
 
@@ -114,9 +128,11 @@ def start_fanout(
 ) -> StreamingQuery:
     """One query that feeds both tables from a single read of the source and shows the earliest rows of each batch.
 
-    It needs a checkpoint that is kept. Every batch makes a partition of its own below each date, so choose an
-    interval that keeps them few.
+    A run resumes from its checkpoint. Every batch makes a partition of its own below each date, so choose an interval
+    that keeps them few, and compact old dates now and then by rewriting them in a batch job.
     """
+    for path in (cfg.readings_path, cfg.predictions_path):
+        require_plain(clean.sparkSession, path)
     writer = _writer(clean, cfg, "fanout", available_now)
     return writer.foreachBatch(
         lambda batch, batch_id: fanout_batch(batch, batch_id, model, cfg, dictionary, show)

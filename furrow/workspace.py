@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +27,33 @@ def workspace_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/furrow-{context.applicationId}"
 
 
+# Paths given out inside the innermost :func:`discarded` block.
+_GIVEN: ContextVar[list[str] | None] = ContextVar("_GIVEN", default=None)
+
+
+@contextmanager
+def discarded(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that the block wrote to the workspace when it ends, and only those.
+
+    Threads that a block starts take part if they run in a copy of its context.
+    """
+    given: list[str] = []
+    token = _GIVEN.set(given)
+    try:
+        yield
+    finally:
+        _GIVEN.reset(token)
+        for path in given:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """An unused path below the workspace."""
-    return f"{workspace_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{workspace_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if (given := _GIVEN.get()) is not None:
+        given.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

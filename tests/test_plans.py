@@ -99,3 +99,18 @@ def test_dates_prune_the_readings_table(spark, plan, clean, path):
     text = plan(spark.read.parquet(path("readings")).where("date = DATE'2024-01-05'"))
     assert "PartitionFilters: [isnotnull(date" in text
     assert readings_table(clean).columns[-1] == "date"
+
+
+def test_quantiles_rank_no_whole_column_in_a_task(plan, cleaned):
+    for df in (profiling.iqr_bounds(cleaned), profiling.boxplot_stats(cleaned)):
+        windows = [line for line in plan(df).splitlines() if "windowspecdefinition(" in line]
+        assert windows and all("prob" in line.split("windowspecdefinition(")[1] for line in windows)
+
+
+def test_auc_ranges_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "ROWS_PER_RANGE", 100)
+    made, keep = [], metrics.materialize
+    monkeypatch.setattr(metrics, "materialize", lambda df, name: made.append((name, keep(df, name))) or made[-1][1])
+    rows = spark.range(3000).select((F.col("id") % 1000 / 1000).alias("score"), (F.col("id") % 7 > 3).cast("int").alias("result"))
+    assert metrics.roc_auc(rows).first()[0] == pytest.approx(0.5, abs=0.05)
+    assert made[-1][0] == "score-ranges" and made[-1][1].select("range").distinct().count() == 10

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from furrow.config import JobConfig, SourceConfig
 from furrow.operators.encoding import fit_dictionary
 from furrow.operators.features import feature_projection
-from furrow.operators.readings import clean_readings
+from furrow.operators.readings import clean_readings, log_extract
 from furrow.operators.scoring import score
 from furrow.plans.bindings import crop, read_table, rule_model, sensor_envelope
 from furrow.schemas import CATEGORY_FEATURES
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
 from furrow.sources.envelope import read_envelope
-from furrow.sources.tables import readings_table, write_predictions, write_readings
+from furrow.sources.tables import read_predictions, readings_table, write_predictions, write_readings
+from furrow.streaming import __main__ as program
 from furrow.streaming import jobs
 from tests.conftest import DATA, rows
 
@@ -71,7 +72,7 @@ def test_both_designs_write_the_same_tables(spark, cfg, envelope, dictionary):
     run(jobs.start_predictions(clean, rule_model(), own, dictionary, available_now=True))
     fanned = spark.read.parquet(cfg.predictions_path)
     assert fanned.select("batch_id").distinct().count() == 3
-    same(spark.read.parquet(own.predictions_path), fanned.drop("batch_id"))
+    same(spark.read.parquet(own.predictions_path), read_predictions(spark, cfg.predictions_path))
 
 
 def test_resume_adds_only_new_rows(spark, cfg, envelope):
@@ -210,3 +211,59 @@ def test_a_hot_date_is_split_and_others_are_gathered(spark, cfg, path, gather):
         assert found[0].files > 1 and sum(r.files for r in found[1:]) <= 2 * 19
     else:
         assert sum(r.files for r in found[1:]) > 3 * 19
+
+
+def test_runs_add_to_each_other(spark, cfg, envelope, dictionary):
+    clean = clean_readings(envelope)
+    second = dataclasses.replace(cfg, run_id="second")
+    for run_cfg, batch in ((cfg, clean), (second, clean.limit(30)), (cfg, clean), (second, clean.limit(30))):
+        jobs.fanout_batch(batch, 0, rule_model(), run_cfg, dictionary, show=None)
+    for table in (cfg.readings_path, cfg.predictions_path):
+        assert spark.read.parquet(table).count() == clean.count() + 30
+
+
+def test_writers_refuse_each_others_tables(spark, cfg, envelope, dictionary):
+    stream, clean = clean_readings(read_envelope(spark, cfg.source)), clean_readings(envelope)
+    run(jobs.start_readings(stream, cfg, available_now=True))
+    with pytest.raises(ValueError, match="native stream"):
+        write_readings(clean, cfg.readings_path)
+    with pytest.raises(ValueError, match="native stream"):
+        jobs.start_fanout(stream, rule_model(), cfg, dictionary, available_now=True)
+    fanned = dataclasses.replace(cfg, readings_path=cfg.readings_path + "-f", run_id="f")
+    run(jobs.start_fanout(stream, rule_model(), fanned, dictionary, available_now=True, show=None))
+    with pytest.raises(ValueError, match="native stream"):
+        jobs.start_readings(stream, fanned, available_now=True)
+    assert spark.read.parquet(fanned.readings_path).count() == clean.count()
+
+
+def test_a_batch_is_scored_once_and_the_shown_rows_apart(spark, cfg, envelope, dictionary, monkeypatch):
+    clean, sizes, shown = clean_readings(envelope), [], []
+
+    def counted(df, *args):
+        sizes.append(df.count())
+        return score(df, *args)
+
+    monkeypatch.setattr(jobs, "score", counted)
+    jobs.fanout_batch(clean, 0, rule_model(), cfg, dictionary, show=lambda df, *_: shown.extend(df.collect()))
+    assert sizes == [clean.count(), 50]
+    whole = log_extract(score(clean, rule_model(), dictionary)).collect()
+    assert sorted(map(str, shown)) == sorted(map(str, whole))
+
+
+def test_the_program_waits_until_a_query_ends(spark, cfg, envelope, dictionary, monkeypatch):
+    save_model(rule_model(), cfg.model_path)
+    save_dictionary(dictionary, cfg.dictionary_path)
+    started = []
+
+    def run_stream(*args, **options):
+        started.extend(jobs.run_stream(*args, **options, available_now=True))
+
+    spark.streams.resetTerminated()
+    monkeypatch.setattr(program, "build_session", lambda name: spark)
+    monkeypatch.setattr(program.JobConfig, "from_env", classmethod(lambda cls: cfg))
+    monkeypatch.setattr(program, "run_stream", run_stream)
+    monkeypatch.setattr(program.sys, "argv", ["furrow.streaming"])
+    program.main()
+    assert any(not q.isActive for q in started)
+    run(*started)
+    assert spark.read.parquet(cfg.readings_path).count() == envelope.count()

@@ -409,3 +409,28 @@ def test_cv_summary_and_choice(spark):
     summary = metrics.cv_summary(folds)
     assert {r.model: round(r.f1, 9) for r in summary.collect()} == {"a": 0.6, "b": 0.6}
     assert metrics.best_model(summary, "precision").first()["model"] == "a"
+
+
+def test_csv_files_of_one_header_and_quotes(spark, tmp_path, path):
+    header, folder = "crop ID,soil_type,Seedling Stage,MOI,temp,humidity,result", tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f'{header}\n"a ""q"" b",s,Yes,1,2,3,1\n')
+    read = read_crop_csv(spark, path("csv"))
+    assert read.first()["crop_id"] == 'a "q" b'
+    write_crop_csv(read, path("again"))
+    assert read_crop_csv(spark, path("again")).collect() == read.collect()
+    (folder / "b.csv").write_text(header.replace("MOI,temp", "temp,MOI") + "\nx,s,Yes,5,99,3,1\n")
+    with pytest.raises(Exception, match="header"):
+        read_crop_csv(spark, path("csv")).collect()
+
+
+def test_exact_quantiles_of_few_rows_and_hot_values(spark):
+    for n in (1, 2, 3, 5, 6, 7, 40, 3000):
+        values = [float((i * 7919) % 97) for i in range(n)] + [50.0] * (n // 2)
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+        got = {r["prob"]: r["quantile"] for r in quantiles.exact_quantiles(df, ["x"], probs).collect()}
+        for p in probs:
+            ordered, at = sorted(values), p * (len(values) - 1)
+            low, high = ordered[math.floor(at)], ordered[math.ceil(at)]
+            assert got[p] == pytest.approx(low + (high - low) * (at - math.floor(at)))

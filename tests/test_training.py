@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from furrow.operators import encoding, sampling
 from furrow.operators import training as ml
 from furrow.operators.encoding import fit_dictionary
-from furrow.operators.features import feature_projection, feature_stages, vector_names
+from furrow.operators.features import CategorySlots, feature_projection, feature_stages, vector_names
 from furrow.operators.metrics import best_model, cv_summary
 from furrow.operators.quality import clean_crop
 from furrow.operators.readings import clean_readings
@@ -20,7 +23,7 @@ from furrow.schemas import CATEGORY_FEATURES, FEATURES, LABEL
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
 from furrow.sources.crop_table import write_crop_csv
 from furrow.training_job import TrainingConfig, run_training
-from furrow.workspace import materialize
+from furrow.workspace import materialize, workspace_root
 from tests.conftest import DATA
 
 
@@ -93,22 +96,83 @@ def test_round_trip(spark, forest, clean, path):
     assert again.exceptAll(score(clean, model, dictionary)).count() == 0
 
 
-def test_too_many_categories_for_one_hot(spark, features, monkeypatch):
-    monkeypatch.setattr(encoding, "MAX_SLOTS", 3)
-    with pytest.raises(ValueError, match="encoded mode"):
-        ml.prepare(features)
-    assert ml.prepare(features, ENCODED).rows.count() == features.count()
+def vectors(df):
+    return sorted(r[0] for r in df.select(F.to_json(vector_to_array("features"))).collect())
 
 
-def test_known_labels_give_the_same_vectors(spark, features):
+def test_slots_give_the_vectors_of_an_indexer(spark, features):
     dictionary = fit_dictionary(features, CATEGORY_FEATURES)
     mapped = encoding.bucket_rare(features, dictionary, CATEGORY_FEATURES)
-    labels = encoding.kept_categories(dictionary, CATEGORY_FEATURES)
-    known = Pipeline(stages=feature_stages(labels=labels)).fit(mapped).transform(mapped)
     found = Pipeline(stages=feature_stages()).fit(mapped).transform(mapped)
-    assert vector_names(known) == vector_names(found)
-    text = F.to_json(vector_to_array("features"))
-    assert known.select(text.alias("v")).exceptAll(found.select(text.alias("v"))).count() == 0
+    slots = CategorySlots.fitted(dictionary)
+    known = Pipeline(stages=feature_stages(slots=slots)).fit(features).transform(features)
+    assert vectors(known) == vectors(found)
+
+
+@pytest.fixture(scope="module")
+def rare_features(spark):
+    rows = feature_projection(clean_crop(crop(spark, DATA, "rare")), "crop")
+    return materialize(rows, "rare-features")
+
+
+def test_a_saved_model_needs_no_dictionary_for_rare_categories(spark, rare_features, path):
+    model, dictionary = ml.train(rare_features, ml.candidates("smoke")["gbt_classic"])
+    save_model(model, path("m"))
+    unseen = rare_features.limit(1).withColumn("soil_type", F.lit("never seen"))
+    nothing = rare_features.limit(1).withColumn("soil_type", F.lit(None).cast("string"))
+    rows = rare_features.where("soil_type LIKE 'rare%'").unionByName(unseen).unionByName(nothing)
+    assert rows.count() > 10
+    before, after = model.transform(rows), load_model(path("m")).transform(rows)
+    assert vectors(before) == vectors(after)
+    names = vector_names(before)
+    (slot,) = {r[0] for r in model.stages[0].slots.where("slot_name = '__rare__'").select("slot").collect()}
+    hot = [dict(zip(names, r[0]))[f"soil_type_onehot_{slot}"] for r in before.select(vector_to_array("features")).collect()]
+    soils = [r["soil_type"] for r in before.select("soil_type").collect()]
+    kept = {r["category"] for r in dictionary.where("column = 'soil_type' AND rows >= 5").collect()}
+    assert hot == [float(bool(s) and s.startswith("rare") and s not in kept) for s in soils] and 1.0 in hot
+    with_dictionary, without = (score(clean_like(rows), model, d) for d in (dictionary, None))
+    assert with_dictionary.exceptAll(without).count() == 0
+
+
+def clean_like(rows):
+    """Feature rows under the names of readings."""
+    return rows.selectExpr(
+        "moi AS moisturePct", "temp AS tempC", "humidity", "crop_id AS cropId", "soil_type AS soilType",
+        "seedling_stage AS stage",
+    )
+
+
+def test_a_large_vocabulary_trains(spark, path):
+    """More categories than any single place is asked to list."""
+    n = 120_000
+    rows = spark.range(5 * n).select(
+        F.concat(F.lit("crop"), F.col("id") % n).alias("crop_id"), F.lit("s").alias("soil_type"), F.lit("No").alias("seedling_stage"),
+        (F.col("id") % 100).cast("double").alias("moi"), F.lit(1.0).alias("temp"), F.lit(2.0).alias("humidity"),
+        (F.col("id") % 100 < 50).cast("int").alias(LABEL),
+    )
+    prepared = ml.prepare(rows)
+    assert prepared.rows.first()["features"].size == n + 1 + 1 + 3
+    fitted = ml.fit_on(prepared, LogisticRegression(featuresCol="features", labelCol=LABEL, maxIter=2))
+    assert fitted.transform(rows.limit(10)).where("prediction IN (0, 1)").count() == 10
+
+
+def test_class_weights_are_counted_before_the_joins(features, monkeypatch):
+    plans, keep = [], ml.with_class_weight
+    monkeypatch.setattr(ml, "with_class_weight", lambda df, label: plans.append(df.columns) or keep(df, label))
+    ml.prepare(features)
+    assert plans == [features.columns]
+
+
+def test_folds_leave_no_tables(spark, features):
+    folded = sampling.stratified_folds(features)
+    root = workspace_root(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    figures = ml.cross_validate({"gbt_classic": ml.candidates("smoke")["gbt_classic"]}, folded)
+    left = {name for name in set(os.listdir(root)) - before if "-" in name and name.split("-")[0] in WORK_TABLES}
+    assert figures.count() == 5 and not left
+
+
+WORK_TABLES = {"folds", "assembled", "scored", "dictionary", "category", "scores", "score"}
 
 
 def test_missing_artefacts(spark, path):
