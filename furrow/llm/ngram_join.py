@@ -31,8 +31,9 @@ from furrow.workspace import materialize
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 1_000_000  # shingles whose fingerprints a task sends at once
 BLOCK_SETS = 60_000
-BUCKET = 6_000_000  # fingerprints per bucket
+BUCKET = 2_000_000  # fingerprints per bucket
 TILE = 2_000  # sets that a task compares at once
+BATCH = 20_000  # rows of tiles that a task takes at once
 SIGNATURE_BITS = 2_048
 QUICK_KEYS = 3
 
@@ -301,8 +302,11 @@ def _links_between(arrays: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame
     tiled = _dealt(keyed.join(mixed_keys.where("low != high").select("key", "size"), "key"), rule)
     signed = arrays.mapInArrow(_signatures, "v long, bits binary")
     schema = "a long, b long, root_a long, root_b long"
-    tiles = tiled.join(signed, "v").groupBy("key", "tile", "low", "high")
-    pairs = materialize(tiles.applyInArrow(lambda t: _bounded(t, rule), schema).distinct(), "bounded-pairs")
+    # Most tiles are small, so a task takes a batch of them at a time.
+    batches = max(1, -(-tiled.count() // BATCH))
+    batch = F.pmod(F.xxhash64("key", "tile", "low", "high"), F.lit(batches)).alias("batch")
+    met = tiled.select(batch, "*").join(signed, "v").groupBy("batch")
+    pairs = materialize(met.applyInArrow(lambda t: _bounded(t, rule), schema).distinct(), "bounded-pairs")
     for side in ("a", "b"):
         own = arrays.select(F.col("v").alias(side), F.col("shingles").alias(f"shingles_{side}"))
         pairs = pairs.join(own, side)
@@ -333,25 +337,29 @@ def _dealt(keyed: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _bounded(table: pa.Table, rule: Rule) -> pa.Table:
-    """Pairs of one tile, of different roots and blocks, that may overlap enough."""
-    v, n, root, block, below = (table.column(c).to_numpy() for c in ("v", "n", "root", "block", "below"))
-    bits = np.frombuffer(b"".join(values(table.column("bits"))), np.uint64).reshape(len(v), -1)
-    one_block = table.column("low")[0].as_py() == table.column("high")[0].as_py()
-    order = np.lexsort((v, n))
-    v, n, root, block, below, bits = (x[order] for x in (v, n, root, block, below, bits))
-    found = []
-    # In the order of sizes, a set is compared with the larger ones of its band.
-    ends = np.searchsorted(n, n * 100 // rule.percent, "right")
-    for i, end in enumerate(ends.tolist()):
-        rest = slice(i + 1, end)
-        fit = (root[rest] != root[i]) & ~(below[rest] & below[i])
-        if not one_block:
+    """Pairs of sets that meet in a tile, of different roots and blocks, and may overlap enough."""
+    names = ("key", "tile", "low", "high", "n", "v", "root", "block", "below")
+    columns = [table.column(c).to_numpy() for c in names]
+    bits = np.frombuffer(b"".join(values(table.column("bits"))), np.uint64).reshape(table.num_rows, -1)
+    order = np.lexsort(columns[5::-1])  # by tile, then size
+    key, tile, low, high, n, v, root, block, below = (c[order] for c in columns)
+    bits = bits[order]
+    new = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    stops = np.append(np.flatnonzero(new) + 1, len(v))
+    stop_of = np.repeat(stops, np.diff(np.append(0, stops)))
+    found: list[tuple[int, int]] = []
+    # A set is compared with the larger ones of its tile that are within the rule's reach.
+    for i, stop in enumerate(stop_of.tolist()):
+        rest = slice(i + 1, stop)
+        fit = (root[rest] != root[i]) & (n[rest] * rule.percent <= n[i] * 100) & ~(below[rest] & below[i])
+        if low[i] != high[i]:
             fit &= block[rest] != block[i]
         at = i + 1 + np.flatnonzero(fit)
-        near = overlap_bound(n[i], bits[i], n[at], bits[at]) >= rule.least_overlap(n[i], n[at])
-        found.extend((v[i], v[j], root[i], root[j]) for j in at[near])
-    columns = zip(*found) if found else [[]] * 4
-    return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("a", "b", "root_a", "root_b"), columns)})
+        if len(at):
+            near = overlap_bound(n[i], bits[i], n[at], bits[at]) >= rule.least_overlap(n[i], n[at])
+            found.extend((i, j) for j in at[near].tolist())
+    a, b = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.table({"a": v[a], "b": v[b], "root_a": root[a], "root_b": root[b]})
 
 
 def _exact(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
