@@ -23,6 +23,9 @@ DISK_BACKED = {
     f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Many small stores: do not reserve megabytes of disk for the log of each.
     f"{STATE}.rocksdb.allowFAllocate": "false",
+    # One bound on the memory of all stores of an executor.
+    f"{STATE}.rocksdb.boundedMemoryUsage": "true",
+    f"{STATE}.rocksdb.maxMemoryUsageMB": "128",
 }
 FILES_PER_BATCH = 10_000  # of marks, in a micro-batch
 MARKS_SCHEMA = "digest binary, first struct<no_id:boolean,id:bigint,file:string,pos:bigint>"

@@ -30,7 +30,7 @@ COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("key", pa.stri
 COUNTS_SCHEMA = "lang string, size int, key string, n long"
 PREDICTION = ["doc_id", "lang_pred", "score"]
 HELD_KEYS = 500_000  # distinct words a training task holds before it hands out its counts
-HELD_WORDS = 200_000  # words a scoring task remembers
+HELD_WORDS = 150_000  # words a scoring task remembers
 EVIDENCE = 25.0  # words' worth of evidence at most in a score
 
 
@@ -71,8 +71,8 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     docs_per_language: int = 5_000,
-    words_per_language: int = 50_000,
-    grams_per_language: int = 20_000,
+    words_per_language: int = 30_000,
+    grams_per_language: int = 10_000,
 ) -> LanguageModel:
     """Learn from rows with a language.
 

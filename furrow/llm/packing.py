@@ -24,10 +24,10 @@ from furrow.llm.tables import Remembered, documents, values
 from furrow.schemas import require_columns
 
 WINDOW = 1024  # examples that wait for a place
-REMEMBERED = 200_000  # words per generation of the cache
+REMEMBERED = 150_000  # words per generation of the cache
 WORDS_TO_A_TEXT, FRESH_AT_ONCE = 50, 10_000
 MARK = " \0 "  # between words that are encoded together; words that hold it are encoded alone
-TEXT_AT_ONCE = 10_000_000  # bytes
+TEXT_AT_ONCE = 6_000_000  # bytes
 ROWS_AT_ONCE = 2_000
 TASK_SHIFT = 40  # sequence ids: the task's number above this bit, its sequences below
 PIECES_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -169,7 +169,9 @@ class WordTokens:
         counts, starts = lengths[of_word], (np.cumsum(lengths) - lengths)[of_word]
         ends = np.concatenate([[0], np.cumsum(counts)])
         # The ids of all words in a row: each word's run is shifted to where its ids stand.
-        out = ids[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)]
+        at = np.repeat((starts - ends[:-1]).astype(np.int32), counts)
+        at += np.arange(ends[-1], dtype=np.int32)
+        out = ids[at]
         at = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
         return [out[a:b] for a, b in zip(at, at[1:])]
 

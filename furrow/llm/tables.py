@@ -52,7 +52,7 @@ def prime_from(n: int) -> int:
 class WordHashes(dict):
     """64-bit hash per word, remembered until ``limit`` words are held."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
