@@ -2,7 +2,8 @@
 
 Words that occur once in the text and once in a template are its anchors; the longest run of anchors that rises in
 both is kept, and the gaps between them are aligned in the same way, in which further words are unique. Coverage is
-the share of the template's words that are aligned.
+the share of the template's words that are aligned. Where a stretch may hold several copies, so that words are not
+unique, the copies are told apart first.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import ceil
 
@@ -153,27 +154,78 @@ def passages(words: list[str], template: Template) -> Iterator[tuple[int, int]]:
         yield start, last + 1
 
 
+def common(text: Iterable[str], places: dict[str, int], size: int) -> Iterator[int]:
+    """Longest common subsequence of a template and the first words of the text, after each word.
+
+    ``places`` has a bit per position of the template; a position that the subsequence has used up is a zero of ``row``.
+    """
+    row = full = (1 << size) - 1
+    for word in text:
+        hit = row & places.get(word, 0)
+        row = ((row + hit) | (row - hit)) & full
+        yield size - row.bit_count()
+
+
+def locate(words: list[str], template: Template) -> list[tuple[int, int]]:
+    """Disjoint spans of at most twice the template's length that hold enough of it in order, as many as there can be.
+
+    Always the span that ends first, and of those the shortest, is taken next. Counting words, in any order, leaves out
+    nearly all places before the order is looked at.
+    """
+    size, places, back = len(template.words), {}, {}
+    for k, word in enumerate(template.words):
+        places[word] = places.get(word, 0) | 1 << k
+        back[word] = back.get(word, 0) | 1 << size - 1 - k
+    wanted = Counter(template.words)
+    spans, at, here, n = [], 0, Counter(), 0
+    for end, word in enumerate(words, 1):
+        if word in wanted:
+            here[word] += 1
+            n += here[word] <= wanted[word]
+        for gone in words[at : max(at, end - 2 * size)]:
+            if gone in wanted:
+                n -= here[gone] <= wanted[gone]
+                here[gone] -= 1
+            at += 1
+        if word in wanted and n >= template.least:
+            before = common(reversed(words[at:end]), back, size)
+            length = next((i for i, k in enumerate(before, 1) if k >= template.least), None)
+            if length is not None:
+                spans.append((end - length, end))
+                at, here, n = end, Counter(), 0
+    out = []
+    for (first, stop), (following, _) in zip(spans, [*spans[1:], (len(words), 0)]):
+        # The rest of the licence follows, as far as it is not part of the next copy.
+        longest = list(common(words[first : min(first + 2 * size, following)], places, size))
+        out.append((first, max(stop, first + longest.index(longest[-1]) + 1)))
+    return out
+
+
 def matches(words: list[str], template: Template) -> list[tuple[int, int, int]]:
     """``(first word, end, aligned words)`` of every passage that covers enough of the template.
 
-    A passage in which too little is aligned, for instance because it holds the licence twice so that no word is
-    unique, is divided in two halves that overlap by the template's length, until it is about as long as the template.
+    A stretch that can hold more than one copy, or in which too little is aligned, is searched for the spans of single
+    copies, and each of them is aligned. Where repeated words leave patience too few anchors, the longest common
+    subsequence counts.
     """
     size, found = len(template.words), []
-    todo = list(passages(words, template))[::-1]
-    while todo:
-        start, end = todo.pop()
-        aligned = align(words[start:end], template.words)
-        if len(aligned) >= template.least and aligned[-1][0] - aligned[0][0] < 2 * size:
-            first, stop = start + aligned[0][0], start + aligned[-1][0] + 1
-            if not found or first >= found[-1][1]:
-                found.append((first, stop, len(aligned)))
-            todo.extend((a, b) for a, b in ((stop, end), (start, first)) if b - a >= template.least)
-        elif end - start > size + size // 2 + 1:
-            middle = (start + end) // 2
-            todo.append((max(middle - size // 2 - 1, start + 1), end))
-            todo.append((start, min(middle + size // 2 + 1, end - 1)))
-    return sorted(set(found))
+    wanted, places = set(template.words), {}
+    for k, word in enumerate(template.words):
+        places[word] = places.get(word, 0) | 1 << k
+    for start, end in passages(words, template):
+        part = words[start:end]
+        if sum(w in wanted for w in part) < 2 * template.least:  # no room for two
+            aligned = align(part, template.words)
+            if len(aligned) >= template.least and aligned[-1][0] - aligned[0][0] < 2 * size:
+                found.append((start + aligned[0][0], start + aligned[-1][0] + 1, len(aligned)))
+                continue
+        for first, stop in locate(part, template):
+            aligned = align(part[first:stop], template.words)
+            n = len(aligned)
+            if n < template.least:
+                *_, n = common(part[first:stop], places, size)
+            found.append((start + first, start + stop, n))
+    return found
 
 
 def scan(

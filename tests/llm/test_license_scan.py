@@ -82,3 +82,63 @@ def test_every_licence_line_of_the_tables_is_found(spark, line, name):
     want = {r["doc_id"] for r in table.where(table["text"].contains(line)).collect()}
     got = {r["doc_id"] for r in scan.scan(table).where(f"license = '{name}'").collect()}
     assert want and want <= got
+
+
+def held(words: list[str], template: list[str]) -> int:
+    """Length of the longest common subsequence, by the table."""
+    row = [0] * (len(template) + 1)
+    for word in words:
+        before = row[:]
+        for k, other in enumerate(template):
+            row[k + 1] = before[k] + 1 if word == other else max(before[k + 1], row[k])
+    return row[-1]
+
+
+def most(words: list[str], template: scan.Template) -> int:
+    """Greatest number of disjoint spans of at most twice the template's length that hold enough of it in order."""
+    best = [0]
+    for end in range(1, len(words) + 1):
+        starts = range(end - template.least, max(-1, end - 2 * len(template.words) - 1), -1)
+        start = next((a for a in starts if held(words[a:end], template.words) >= template.least), None)
+        best.append(max(best[-1], 0 if start is None else best[start] + 1))
+    return best[-1]
+
+
+def assert_whole(words: list[str], template: scan.Template) -> None:
+    got = scan.matches(words, template)
+    assert len(got) == most(words, template), (words, got)
+    assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+    for first, stop, n in got:
+        assert stop - first <= 2 * len(template.words)
+        assert template.least <= n <= held(words[first:stop], template.words)
+
+
+def test_copies_after_prose_are_all_found(docs):
+    text = "the foo Released under the MIT License. Released under the MIT License."
+    assert [text[a:b] for _, _, a, b in found(docs([(1, text)]))] == ["Released under the MIT License"] * 2
+
+
+@pytest.mark.parametrize("name", ["MIT-notice", "Apache-2.0-notice", "all-rights-reserved", "Unlicense"])
+def test_copies_stretched_at_every_offset_as_by_brute_force(name):
+    (template,) = scan.prepare({name: scan.TEMPLATES[name]}, scan.LEAST_COVERAGE)
+    random.seed(3)
+    for offset in range(4 * len(template.words)):
+        words = [random.choice(["foo", random.choice(template.words)]) for _ in range(offset)]
+        for _ in range(random.randint(1, 4)):
+            copy = list(template.words)
+            for _ in range(random.randint(0, len(copy))):
+                copy.insert(random.randint(0, len(copy)), random.choice(["foo", "bar", random.choice(template.words)]))
+            words += copy + ["foo"] * random.randint(0, 3)
+        assert_whole(words, template)
+
+
+def test_copies_with_missing_words_as_by_brute_force():
+    random.seed(4)
+    for size, coverage in ((4, 0.5), (6, 0.6), (10, 0.8), (12, 0.9)):
+        for _ in range(150):
+            words = [random.choice("abcdefgh") for _ in range(size)]
+            (template,) = scan.prepare({"x": " ".join(words)}, coverage)
+            text = [random.choice("abcdefghz") for _ in range(random.randint(0, 15))]
+            for _ in range(random.randint(0, 4)):
+                text += [w for w in words if random.random() < 0.93] + [random.choice("abcz") for _ in range(random.randint(0, 3))]
+            assert_whole(text, template)
