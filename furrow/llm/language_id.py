@@ -7,13 +7,16 @@ character n-grams of which any was seen, then to shorter ones. A text's words ar
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,15 +34,73 @@ COUNTS_SCHEMA = "lang string, size int, key string, n long"
 PREDICTION = ["doc_id", "lang_pred", "score"]
 HELD_KEYS = 500_000  # distinct words a training task holds before it hands out its counts
 HELD_WORDS = 150_000  # words a scoring task remembers
+MARKS = b"!\"'()*,-.:;?[]"  # that often stand around words
 EVIDENCE = 25.0  # words' worth of evidence at most in a score
 
 
+class Keys(Mapping):
+    """Rows of a matrix by distinct string, in a few arrays: some 30 bytes a key where a dict of strings has 150.
+
+    Keys are found by their hashes, which are sorted, and compared in full. The first row is ``first``, and the rows
+    follow the order of the hashes.
+    """
+
+    def __init__(self, keys: list[str], first: int = 0):
+        coded = sorted((xxhash.xxh3_64_intdigest(k := key.encode("utf-8", "surrogatepass")), k) for key in keys)
+        self.first = first
+        self.hashes = np.array([h for h, _ in coded], np.uint64)
+        self.ends = np.cumsum([0, *(len(k) for _, k in coded)], dtype=np.int64)
+        self.text = b"".join(k for _, k in coded)
+
+    def _key(self, at: int) -> bytes:
+        return self.text[self.ends[at] : self.ends[at + 1]]
+
+    def get(self, key: str, default: int | None = None) -> int | None:
+        coded = key.encode("utf-8", "surrogatepass")
+        wanted = xxhash.xxh3_64_intdigest(coded)
+        hashes = self.hashes.data  # a view, which bisect reads faster than the array
+        at = bisect_left(hashes, wanted)
+        while at < len(hashes) and hashes[at] == wanted:
+            if self._key(at) == coded:
+                return self.first + at
+            at += 1
+        return default
+
+    def rows(self, keys: list[bytes]) -> np.ndarray:
+        """Row of every key in UTF-8, -1 for those not held."""
+        if not len(self) or not keys:
+            return np.full(len(keys), -1)
+        wanted = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self) - 1)
+        rows = np.where(self.hashes[at] == wanted, at + self.first, -1)
+        text, ends = self.text, zip(self.ends[at].tolist(), self.ends[at + 1].tolist())
+        same = np.fromiter((text[a:b] == key for key, (a, b) in zip(keys, ends)), bool, len(keys))
+        for i in np.flatnonzero((rows >= 0) & ~same).tolist():  # another key of this hash
+            rows[i] = self.get(keys[i].decode("utf-8", "surrogatepass"), -1)
+        return rows
+
+    def __getitem__(self, key: str) -> int:
+        row = self.get(key)
+        if row is None:
+            raise KeyError(key)
+        return row
+
+    def __contains__(self, key: object) -> bool:
+        return isinstance(key, str) and self.get(key) is not None
+
+    def __iter__(self) -> Iterator[str]:
+        return (self._key(at).decode("utf-8", "surrogatepass") for at in range(len(self)))
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams; a row of ``matrix`` has a value per language."""
 
     languages: list[str]
-    tables: list[dict[str, int]]
+    tables: list[Keys]
     matrix: np.ndarray
 
     def word(self, word: str) -> np.ndarray:
@@ -53,6 +114,14 @@ class LanguageModel:
                 return self.matrix[rows].mean(0)
         return np.zeros(len(self.languages), np.float32)
 
+    def words(self, words: list[bytes]) -> np.ndarray:
+        """:meth:`word` of many words in UTF-8."""
+        rows = self.tables[0].rows(words)
+        out = self.matrix[rows]
+        for i in np.flatnonzero(rows < 0).tolist():
+            out[i] = self.word(words[i].decode("utf-8", "replace"))
+        return out
+
 
 def grams(word: str, size: int) -> list[str]:
     """Character n-grams of a word between boundary marks; single characters without the marks."""
@@ -71,8 +140,8 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     docs_per_language: int = 5_000,
-    words_per_language: int = 30_000,
-    grams_per_language: int = 10_000,
+    words_per_language: int = 50_000,
+    grams_per_language: int = 20_000,
 ) -> LanguageModel:
     """Learn from rows with a language.
 
@@ -90,8 +159,8 @@ def fit(
     words = counts.where("size = 0").withColumn("place", place).where(F.col("place") <= words_per_language)
     parts = counts.where("size > 0").withColumn("place", place).where(F.col("place") <= grams_per_language)
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
-    kept = words.unionByName(parts).select("lang", "size", "key", "n").collect()
-    return _model([tuple(r) for r in kept], [tuple(r) for r in totals])
+    kept = words.unionByName(parts).select("lang", "size", "key", "n").toArrow()
+    return _model(kept, [tuple(r) for r in totals])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,25 +186,26 @@ def _counted(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTS)], schema=COUNTS)
 
 
-def _model(rows: list[tuple], sums: list[tuple]) -> LanguageModel:
+def _model(kept: pa.Table, sums: list[tuple]) -> LanguageModel:
     languages = sorted({lang for lang, _, _ in sums})
-    column = {lang: i for i, lang in enumerate(languages)}
-    tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
     totals = np.zeros((LONGEST_GRAM + 1, len(languages)))
     for lang, size, n in sums:
-        totals[size, column[lang]] = n
-    for _, size, key, _ in rows:
-        tables[size].setdefault(key, len(tables[size]))
-    counts = [np.zeros((len(table), len(languages))) for table in tables]
-    for lang, size, key, n in rows:
-        counts[size][tables[size][key], column[lang]] = n
-    first, parts = 0, []
-    for size, table in enumerate(tables):
+        totals[size, languages.index(lang)] = n
+    first, tables, parts = 0, [], []
+    for size in range(LONGEST_GRAM + 1):
+        own = kept.filter(pc.equal(kept["size"], size))
+        coded = own["key"].combine_chunks().dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        table = Keys(keys, first)
+        rows = np.fromiter(map(table.__getitem__, keys), np.int64, len(keys)) - first
+        counts = np.zeros((len(table), len(languages)))
+        column = pc.index_in(own["lang"], pa.array(languages, pa.string())).to_numpy()
+        counts[rows[coded.indices.to_numpy()], column] = own["n"].to_numpy()
         # Half a count for what a language was not seen to use.
-        parts.append(np.log((counts[size] + 0.5) / (totals[size] + 0.5 * len(table) + 1)))
-        tables[size] = {key: first + row for key, row in table.items()}
+        parts.append(np.log((counts + 0.5) / (totals[size] + 0.5 * len(table) + 1)).astype(np.float32))
+        tables.append(table)
         first += len(table)
-    return LanguageModel(languages, tables, np.concatenate(parts).astype(np.float32))
+    return LanguageModel(languages, tables, np.concatenate(parts))
 
 
 class _Scores(dict):
@@ -147,12 +217,22 @@ class _Scores(dict):
         self.limit = max(1_000, min(HELD_WORDS, 20_000_000 // max(1, len(model.languages))))
         self.rows = np.zeros((self.limit, len(model.languages) + 1), np.float32)
 
-    def __missing__(self, raw: bytes) -> int:
-        found = words_of(raw.decode("utf-8", "replace"))
-        row = self[raw] = len(self)
-        self.rows[row, :-1] = sum((self.model.word(w) for w in found), np.zeros(len(self.model.languages)))
-        self.rows[row, -1] = len(found)
-        return row
+    def learn(self, fresh: list[bytes]) -> None:
+        words, owners = [], []
+        for i, raw in enumerate(fresh):
+            bare = raw.strip(MARKS)
+            if bare.isalpha():  # ASCII only
+                words.append(bare.lower())
+                owners.append(i)
+            else:
+                found = words_of(raw.decode("utf-8", "replace"))
+                words.extend(w.encode("utf-8") for w in found)
+                owners.extend([i] * len(found))
+        first, sums = len(self), np.zeros((len(fresh), self.rows.shape[1]))
+        np.add.at(sums[:, :-1], owners, self.model.words(words))
+        sums[:, -1] = np.bincount(np.array(owners, np.int64), minlength=len(fresh))
+        self.rows[first : first + len(fresh)] = sums
+        self.update(zip(fresh, range(first, first + len(fresh))))
 
     def total(self, words: list[bytes]) -> np.ndarray:
         """Sum over the words; the last value is the number of letter runs."""
@@ -161,6 +241,8 @@ class _Scores(dict):
             part = words[at : at + self.limit // 2]
             if len(self) + len(part) > self.limit:
                 self.clear()
+            if fresh := [word for word in set(part) if word not in self]:
+                self.learn(fresh)
             out += self.rows[list(map(self.__getitem__, part))].sum(0, dtype=float)
         return out
 

@@ -80,6 +80,33 @@ def test_a_small_cache_gives_the_same_scores(model, monkeypatch):
     assert np.allclose(language_id._Scores(model).total(text.split() + [b"%d" % i for i in range(3000)]), want, rtol=1e-4)
 
 
+def test_rare_words_and_grams_of_a_large_vocabulary_are_kept(docs):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(letters[k // 26**i % 26] for i in range(4)) for k in range(0, 26**4, 10)]
+    own = language_id.fit(docs([(1, " ".join(words), "x"), (2, "aaaa b", "y")]))
+    assert len(words) > 45_000 and set(words) <= set(own.tables[0])
+    counts, grams = {}, (g for w in words for g in language_id.grams(w, 3))
+    for gram in grams:
+        counts[gram] = counts.get(gram, 0) + 1
+    assert 10_000 < len(counts) < 20_000 and all(g in own.tables[3] for g in counts)
+
+
+def test_keys_are_a_small_exact_table(monkeypatch):
+    import pickle
+
+    names = [f"wörd{i}" for i in range(3000)] + ["", "漢字"]
+    for clash in (False, True):
+        if clash:
+            monkeypatch.setattr(language_id.xxhash, "xxh3_64_intdigest", lambda b: len(b))
+            names = names[-200:]
+        keys = language_id.Keys(names, 7)
+        again = pickle.loads(pickle.dumps(keys))
+        assert sorted(map(again.get, names)) == list(range(7, 7 + len(names))) and set(keys) == set(names)
+        assert "none" not in keys and keys.get("wörd3001") is None and len(keys) == len(names)
+        assert len(pickle.dumps(keys)) < 32 * len(names) + 500
+    assert language_id.Keys([]).get("a") is None
+
+
 # Quality
 
 
