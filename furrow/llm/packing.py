@@ -8,6 +8,7 @@ as a share of the limits. Every task packs the rows it has, so no row is moved.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -146,9 +147,11 @@ class WordTokens:
 
     Words between ASCII blanks are encoded once and remembered, for neither the file's normalisers nor its pattern
     reach across a blank. Fresh words are encoded many to a text, with a mark that is a token of its own between them.
+    With ``specials`` the names of special tokens in a text are those tokens, as by the file's own default, and such a
+    text is encoded whole; else they are ordinary words.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -156,10 +159,32 @@ class WordTokens:
         self.tokenizer.encode_special_tokens = True
         self.known = Remembered(REMEMBERED)
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        added = self.tokenizer.get_added_tokens_decoder().values() if specials else ()
+        self.specials = "|".join(re.escape(token.content) for token in added if token.special)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text. Words are cut and numbered by Arrow, so that Python sees each of a portion's words once."""
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+        texts = texts.cast(pa.string()).fill_null("")
+        if self.specials:
+            named = pc.match_substring_regex(texts, self.specials)
+            if pc.any(named).as_py():
+                out = self._words(pc.if_else(named, "", texts))
+                at = np.flatnonzero(named.to_numpy(zero_copy_only=False)).tolist()
+                for i, ids in zip(at, self._whole([texts[i].as_py() for i in at])):
+                    out[i] = ids
+                return out
+        return self._words(texts)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        self.tokenizer.encode_special_tokens = False
+        try:
+            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        finally:
+            self.tokenizer.encode_special_tokens = True
+        return [np.array(c.ids, "<u4") for c in coded]
+
+    def _words(self, texts: pa.Array) -> list[np.ndarray]:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         numbered = split.flatten().dictionary_encode()
         words, of_word = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
         self._learn(self.known.unknown({word for word in words if word}))
@@ -199,9 +224,9 @@ def slices(texts: pa.Array, octets: int = TEXT_AT_ONCE) -> Iterator[pa.Array]:
 
 
 @lru_cache(maxsize=2)
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, specials: bool = False) -> WordTokens:
     """The process's encoder, so that batches share its cache."""
-    return WordTokens(path)
+    return WordTokens(path, specials)
 
 
 def pack_documents(
@@ -211,18 +236,20 @@ def pack_documents(
     end_id: int | None = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    specials: bool = False,
 ) -> DataFrame:
     """Pieces ``(doc_id, start, length, ids, doc_tokens, sequence_id, offset)`` of all documents, packed.
 
     ``path`` names a vocabulary file of ``tokenizers`` on the executors; ``ids`` are little-endian unsigned 32-bit
     numbers; ``end_id`` follows every document. Null text counts as empty. Every id lies in one piece; a document
     without ids (empty, and no ``end_id``) has no piece. Repeated rows are packed once each, an empty table gives no
-    piece, and other columns take no part. All tokens bear loss.
+    piece, and other columns take no part. All tokens bear loss. With ``specials`` the names of special tokens in a
+    text give those tokens, as the file's tokenizer does by default; else they are encoded as ordinary words.
     """
     end = np.array([] if end_id is None else [end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, own = Packer(limits, cut=True), word_tokens(path)
+        packer, own = Packer(limits, cut=True), word_tokens(path, specials)
         held: dict[int, tuple[int | None, np.ndarray, int]] = {}  # example -> id, token ids, tokens not yet handed out
 
         def sequences() -> Iterator[list[Piece]]:

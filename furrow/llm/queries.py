@@ -60,7 +60,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), path).select(
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), path, specials=True).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
 

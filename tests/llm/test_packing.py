@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from furrow.llm import packing
+from furrow.llm import packing, queries
 from furrow.llm.packing import Limits
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -84,6 +85,18 @@ def test_words_are_encoded_like_whole_texts(tokenizer):
     assert [g.tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_special_tokens_as_by_an_unmodified_tokenizer(spark, docs, tmp_path):
+    texts = {1: "A b<|endoftext|>C  d", 2: "<|startoftext|>", 3: "<|ENDOFTEXT|> x", 4: "plain Words", 5: None, 6: "<|endoftext|>"}
+    docs(list(texts.items())).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    unmodified = Tokenizer.from_file(PATH)
+    check(packing.pack_documents(docs(list(texts.items())), PATH, specials=True).collect(), texts, unmodified, Limits())
+    coded = {i: [*unmodified.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts.items()}
+    got = queries.op4_packing(spark, f"file://{tmp_path}").where("start = 0").collect()
+    assert {r["doc_id"]: r["doc_tokens"] for r in got} == {i: len(ids) for i, ids in coded.items()}
+    whole = [r for r in got if r["length"] == r["doc_tokens"]]
+    assert whole and all(r["ids_crc32"] == zlib.crc32(np.array(coded[r["doc_id"]], "<u4").tobytes()) for r in whole)
+
+
 def test_uncut_examples_keep_three_limits(spark, monkeypatch):
     monkeypatch.setattr(packing, "WINDOW", 20)
     random.seed(2)
