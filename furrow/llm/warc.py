@@ -170,7 +170,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     Records in segments are grouped by their origin. ``status`` tells records that are not whole: ``incomplete`` if a
     segment or the total length is missing or does not agree, ``damaged`` if framing is broken, ``wrong digest``. A
-    revisit has no payload of its own (null). Plain and gzip files are read; each file is read at once.
+    revisit has no payload of its own (null). The digest of a response is that of the payload as read, null without one;
+    that of a revisit is the one it names. Plain and gzip files are read; each file is read at once.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     whole = files.mapInArrow(_whole, READ_SCHEMA)
@@ -180,10 +181,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """``(page_id, record_type, payload_bytes, payload_digest, refers_to)``: revisits get the size of the payload they
-    stand for and the smallest page id of a response with their digest."""
-    sized = records.select(
-        "page_id", "record_type", F.octet_length("payload").cast("long").alias("own_bytes"), "payload_digest"
-    )
+    stand for and the smallest page id of a response with their digest. A record that is not ``ok`` fails the read."""
+    fault = F.raise_error(F.concat_ws(" ", F.lit("WARC record"), "record_id", F.lit("is"), "status")).cast("string")
+    digest = F.when(F.col("status") == OK, F.col("payload_digest")).otherwise(fault).alias("payload_digest")
+    sized = records.select("page_id", "record_type", F.octet_length("payload").cast("long").alias("own_bytes"), digest)
     sized = materialize(sized, "archive-records")
     originals = sized.where("record_type = 'response'").groupBy("payload_digest")
     originals = originals.agg(F.min("page_id").alias("original"), F.first("own_bytes").alias("bytes"))
@@ -256,9 +257,12 @@ def _decoded(fields: dict[str, str], block: bytes | None) -> tuple:
     kind, page = fields.get("warc-type"), fields.get("warc-page-id")
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
     payload, status = None, INCOMPLETE if block is None else OK
-    if kind == "response" and block is not None:
-        payload = http_payload(block)
-        status = DAMAGED if payload is None else OK if payload_digest(payload) == digest else WRONG_DIGEST
+    if kind == "response" and block is None:
+        digest = None
+    elif kind == "response":
+        payload, said = http_payload(block), digest
+        digest = None if payload is None else payload_digest(payload)
+        status = DAMAGED if payload is None else OK if digest == said else WRONG_DIGEST
     page_id = int(page) if page and page.lstrip("-").isdigit() else None
     return fields.get("warc-record-id"), kind, page_id, fields.get("warc-target-uri"), digest, payload, status
 

@@ -97,6 +97,24 @@ def test_broken_framing_and_digest(spark, tmp_path):
     assert warc.unchunked(b"3;x=1\r\nabc\r\n0\r\n\r\n") == b"abc" and warc.unchunked(b"zz\r\n") is None
 
 
+def test_reading_faults_fail_the_query_and_digests_are_of_what_was_read(spark, tmp_path, monkeypatch):
+    (record,) = warc.page_records(1, "u", b"hello world", False)
+    (row,) = archive(spark, tmp_path, record.replace(b"hello", b"jello"))
+    assert row["payload_digest"] == warc.payload_digest(b"jello world")
+    monkeypatch.setattr(warc, "SEGMENT", 100)
+    segments = list(warc.page_records(7, "u", b"payload " * 90, False))
+    faults = {
+        "wrong digest": [record.replace(b"hello", b"jello")],
+        "damaged": [record.replace(b"\r\nb\r\n", b"\r\nc\r\n")],
+        "incomplete": segments[:3] + segments[4:],
+    }
+    for status, records in faults.items():
+        (row,) = archive(spark, tmp_path, *records)
+        assert row["status"] == status and (status == "wrong digest" or row["payload_digest"] is None)
+        with pytest.raises(Exception, match=status):
+            warc.resolve_revisits(warc.read_archive(spark, f"file://{tmp_path}")).collect()
+
+
 def test_a_common_payload_is_grouped_before_it_moves(spark, written):
     rows = [(i, "u", "common" if i % 3 == 0 else str(i)) for i in range(300)]
     kinds = written(rows).groupBy("record_type").agg(F.count(F.lit(1)).alias("n"))
