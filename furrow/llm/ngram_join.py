@@ -109,11 +109,30 @@ def similar_documents(
         )
     roots = roots.select("v", "root")
     links = _links_between(arrays, roots, rule)
+    # An id with several rows is one node, so it links the components of all its sets.
+    repeated = members.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = materialize(repeated.where("rows > 1").select("doc_id"), "repeated-ids")
+    some = not repeated.isEmpty()
+    if some:
+        own = members.where("n > 0").join(repeated, "doc_id").select("doc_id", "set_key").distinct()
+        own = own.join(sets.select("set_key", "v"), "set_key").join(roots.distinct(), "v", "left")
+        own = materialize(own.select("doc_id", "v", F.coalesce("root", "v").alias("root")), "sets-of-repeated-ids")
+        links = links.unionByName(own.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
+        roots = roots.unionByName(own.select("v", "root")).distinct()
     joined = connected(links).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    if some:
+        joined = materialize(joined, "joined-roots")
+        of_id = own.join(joined, "root", "left").groupBy("doc_id")
+        of_id = of_id.agg(F.min(F.coalesce("new_root", "root")).alias("of_id"))
     roots = roots.join(joined, "root", "left").select("v", F.coalesce("new_root", "root").alias("component"))
+    if some:
+        roots = roots.distinct()  # a node whose sets had different roots
 
     of_set = materialize(sets.select("set_key", "v").join(roots, "v", "left"), "set-components")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "v"))
+    alone = F.col("doc_id")
+    if some:  # a row without words whose id has others
+        members, alone = members.join(of_id, "doc_id", "left"), F.coalesce("of_id", "doc_id")
+    component = F.when(F.col("n") == 0, alone).otherwise(F.coalesce("component", "v"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return members.join(of_set, "set_key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")

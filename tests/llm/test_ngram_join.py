@@ -56,6 +56,33 @@ def test_nulls_repeated_rows_and_clashing_columns(docs, clashing):
     assert ngram_join.similar_documents(docs([])).count() == 0
 
 
+def node_components(rows, size, percent):
+    """``doc_id -> component_id`` where all rows of an id are one node."""
+    found = plain.near_components([(k, t) for k, (_, t) in enumerate(rows)], size, percent)
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups.setdefault(("set", found[k][1]), set()).add(i)
+    merged = []
+    for group in groups.values():
+        touching = [m for m in merged if m & group]
+        merged = [m for m in merged if not m & group] + [group.union(*touching)]
+    return {i: min(m) for m in merged for i in m}
+
+
+def test_an_id_with_unlike_texts_is_one_node(docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = a.replace("a39", "z")
+    cases = [
+        [(3, a), (5, a), (5, b), (7, b)],
+        [(3, a), (3, b), (9, near), (1, b), (2, a), (4, c), (6, c), (6, "")],
+        [(8, a), (8, b), (8, c), (4, near), (2, b + " z"), (9, ""), (9, c)],
+    ]
+    for rows in cases:
+        got = ngram_join.similar_documents(docs(rows), ngram_join.Rule(4, 85)).collect()
+        want = node_components(rows, 4, 85)
+        assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((i, want[i]) for i, _ in rows)
+
+
 def test_bounds_hold():
     random.seed(2)
     for _ in range(200):
