@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Transformer
 from pyspark.ml.feature import (
     Imputer,
@@ -170,12 +171,37 @@ def vector_names(df: DataFrame, column: str = "features") -> list[str]:
     return [name for _, name in slots]
 
 
-def source_variable(slot: str) -> str:
-    """The feature a vector slot was made from."""
-    for c in CATEGORY_FEATURES:
-        if slot == c or slot.startswith(f"{c}_onehot_"):
-            return c
-    return slot.removesuffix("_filled")
+def vector_blocks(model: PipelineModel) -> list[tuple[str, int, int]]:
+    """``(feature, first slot, slots)`` of the vector that a fitted pipeline assembles, in order."""
+    sizes = next((stage.sizes for stage in model.stages if isinstance(stage, CategorySlots)), {})
+    assembler = next(stage for stage in model.stages if isinstance(stage, VectorAssembler))
+    blocks, first = [], 0
+    for name in assembler.getInputCols():
+        variable = name.removesuffix("_onehot").removesuffix("_filled")
+        size = sizes[variable] if name.endswith("_onehot") else 1
+        blocks.append((variable, first, size))
+        first += size
+    return blocks
+
+
+def hot_names(vectors: DataFrame, model: PipelineModel, keep: Sequence[str], row: str) -> DataFrame:
+    """``row, keep..., hot`` of assembled vectors: ``<feature>_<category>`` of the slots that are 1, in vector order.
+
+    The sparse vectors' places are joined with the stored slots, so the vocabulary is not listed anywhere. ``row`` is a
+    column that tells rows apart; a row without such slots has an empty ``hot``.
+    """
+    slots = next(stage for stage in model.stages if isinstance(stage, CategorySlots))
+    first = {variable: first for variable, first, _ in vector_blocks(model)}
+    begins = F.coalesce(*[F.when(F.col("column") == c, first[c]) for c in slots.sizes])
+    names = slots.slots.select((begins + F.col("slot")).alias("_slot"), F.concat_ws("_", "column", "slot_name").alias("_name"))
+    vector = F.unwrap_udt("features")
+    places = F.when(vector["type"] == 0, vector["indices"]).otherwise(F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    held = F.filter(F.arrays_zip(places.alias("place"), vector["values"].alias("value")), lambda e: e["value"] != 0)
+    entries = vectors.select(row, F.explode(F.transform(held, lambda e: e["place"])).alias("_slot"))
+    found = entries.join(names.distinct(), "_slot").groupBy(row)
+    found = found.agg(F.array_sort(F.collect_list(F.struct("_slot", "_name"))).alias("_found"))
+    joined = vectors.select(row, *keep).join(found, row, "left")
+    return joined.select(row, *keep, F.concat_ws(" ", F.col("_found")["_name"]).alias("hot"))
 
 
 def standardize(df: DataFrame, fit_on: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:

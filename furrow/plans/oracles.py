@@ -173,21 +173,24 @@ FROM long JOIN reach USING (result, "column") GROUP BY result, "column", q1, med
 )
 
 
-# Trees and depth of the stated candidates; passes and layers of the network.
+# Trees and depth (null: no bound) of the stated candidates; passes and layers of the network.
 SIZES = {
     "gbt_deep": (800, 6),
-    "gbt_wide": (400, 5),
-    "random_forest": (500, 30),
-    "forest_nobootstrap": (700, 30),
+    "gbt_wide": (400, None),
+    "random_forest": (500, None),
+    "extra_trees": (700, None),
     "gbt_classic": (500, 3),
     "mlp": (30, 4),
 }
+ROWS_TO_FIT = 20_000
 _VALID = """count(*) AS valid_rows, count(*) FILTER (WHERE result = 1) AS valid_ones,
   0 AS bad_scores, true AS beats_majority, true AS good_auc"""
 
 
-def holdout(name: str, size: int, depth: int) -> str:
-    return _RANKED + f"""SELECT '{name}' AS model, {size} AS size, {depth} AS depth, {_VALID}
+def holdout(name: str, size: int, depth: int | None) -> str:
+    shown = "NULL::INT" if depth is None else depth
+    more = "true AS loss_falls, true AS stops_as_stated, " if name == "mlp" else ""
+    return _RANKED + f"""SELECT '{name}' AS model, {size} AS size, {shown} AS depth, {ROWS_TO_FIT} AS rows_to_fit, {more}{_VALID}
   FROM parts WHERE split = 'valid'"""
 
 
@@ -346,10 +349,10 @@ SELECT crop_id, soil_type, seedling_stage, result, split, """
 SELECT CAST(result AS VARCHAR) AS class, n AS support, true AS good FROM v
 UNION ALL SELECT class, CAST(sum(n) AS BIGINT), true
   FROM v, (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) AS t(class) GROUP BY class""",
-    "cv_summary": """SELECT model, 5 AS folds, true AS in_range, true AS good, 'smoke' AS profile FROM (VALUES ('gbt_deep'),
-  ('gbt_wide'), ('random_forest'), ('forest_nobootstrap'), ('gbt_classic')) AS t(model)""",
+    "cv_summary": """SELECT model, 5 AS folds, true AS in_range, true AS good, 'reference' AS profile FROM (VALUES ('gbt_deep'),
+  ('gbt_wide'), ('random_forest'), ('extra_trees'), ('gbt_classic')) AS t(model)""",
     "best_model": _RANKED
-    + f"SELECT true AS known, {_VALID}, 'smoke' AS profile FROM parts WHERE split = 'valid'",
+    + f"SELECT true AS known, {_VALID}, 'reference' AS profile FROM parts WHERE split = 'valid'",
     "variable_importance": """SELECT variable, variable = 'moi' AS first, true AS sums_to_one FROM (VALUES ('moi'),
   ('temp'), ('humidity'), ('crop_id'), ('soil_type'), ('seedling_stage')) AS t(variable)""",
     "score_batch": _READING

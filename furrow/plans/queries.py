@@ -20,8 +20,8 @@ from furrow.operators.features import (
     CategorySlots,
     feature_projection,
     feature_stages,
+    hot_names,
     standardize,
-    vector_names,
 )
 from furrow.operators.scoring import ENCODED, RAW, score, score_mode
 from furrow.plans.bindings import (
@@ -35,7 +35,7 @@ from furrow.plans.bindings import (
     stream_events,
     text_numbers,
 )
-from furrow.schemas import CATEGORY_FEATURES, CONSOLE_COLUMNS, LABEL, project
+from furrow.schemas import CATEGORY_FEATURES, CONSOLE_COLUMNS, LABEL, NUMERIC_FEATURES, project
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
 from furrow.sources.crop_table import read_crop_csv, write_crop_csv
 from furrow.sources.envelope import encode_envelope, raw_tap, read_envelope
@@ -46,9 +46,6 @@ from furrow.workspace import materialize, new_path
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 PROFILE = "reference"  # the stated sizes
-# Cross-validation fits every candidate five times. At the stated sizes that is beyond a session here, so these two
-# queries run the small ones and say so in their output.
-CV_PROFILE = "smoke"
 AUC_FLOOR = 0.95
 
 
@@ -512,15 +509,9 @@ def q_stream_resume(spark, sf_dir):
     return spark.createDataFrame(counts, "run int, rows long")
 
 
-_MODELS: dict[tuple, tuple] = {}
-
-
 def _trained(spark, sf_dir, name="gbt_classic", mode=RAW):
-    """A candidate fitted on the training part, once per session; the ``train_*`` queries fit anew."""
-    key = (spark.sparkContext.applicationId, sf_dir, PROFILE, name, mode)
-    if key not in _MODELS:
-        _MODELS[key] = ml.train(_parts(spark, sf_dir)[0], ml.candidates(PROFILE)[name], mode)
-    return _MODELS[key]
+    """A candidate fitted on the training part; each query fits its own."""
+    return ml.train(_parts(spark, sf_dir)[0], ml.candidates(PROFILE)[name], mode)
 
 
 @query("stream_score")
@@ -553,18 +544,12 @@ def q_stratified_folds(spark, sf_dir):
 def q_one_hot(spark, sf_dir):
     rows = crop(spark, sf_dir, "rare", keys=True)
     features = feature_projection(rows, "crop", stage_as="text", keep=CROP_KEYS)
+    features = materialize(features.withColumn("row", F.monotonically_increasing_id()), "one-hot-rows")
     stage = CategorySlots.fitted(fit_dictionary(features, CATEGORY_FEATURES))
-    vectors = Pipeline(stages=feature_stages(slots=stage)).fit(features).transform(features)
-    slots = vectors.withColumn("slots", vector_to_array("features"))
-    named = {(r["column"], r["slot"]): r["slot_name"] for r in stage.slots.distinct().collect()}
-    hot, numbers = [], []
-    for i, slot in enumerate(vector_names(vectors)):
-        column, _, number = slot.partition("_onehot_")
-        if number:
-            hot.append(F.when(F.col("slots")[i] == 1, f"{column}_{named[column, int(number)]}"))
-        else:
-            numbers.append(F.col("slots")[i].alias(slot.removesuffix("_filled")))
-    return slots.select(*CROP_KEYS, F.concat_ws(" ", *hot).alias("hot"), *numbers)
+    model = Pipeline(stages=feature_stages(slots=stage)).fit(features)
+    numbers = [f"{c}_filled" for c in NUMERIC_FEATURES]
+    found = hot_names(model.transform(features), model, [*CROP_KEYS, *numbers], "row")
+    return found.select(*CROP_KEYS, "hot", *[F.col(n).alias(n.removesuffix("_filled")) for n in numbers])
 
 
 @query("standardize")
@@ -605,10 +590,16 @@ def _train_query(name):
     @query(f"train_{name}")
     def run(spark, sf_dir):
         train, valid = _parts(spark, sf_dir)
-        model, dictionary = ml.train(train, ml.candidates(PROFILE)[name])
-        _MODELS[spark.sparkContext.applicationId, sf_dir, PROFILE, name, RAW] = model, dictionary
-        size = F.struct(F.lit(name).alias("model"), F.lit(model.stages[-1].getNumTrees).alias("size"), F.lit(model.stages[-1].getMaxDepth()).alias("depth"))
-        return _holdout_check(model, dictionary, valid).select(F.inline(F.array(size)), "*")
+        learner = ml.candidates(PROFILE)[name]
+        model, dictionary = ml.train(train, learner)
+        # An unbounded depth is null; ``rows_to_fit`` bounds the labelled rows that the fit uses.
+        sizes = [
+            F.lit(name).alias("model"),
+            F.lit(model.stages[-1].getNumTrees).alias("size"),
+            F.lit(learner.depth).cast("int").alias("depth"),
+            F.lit(learner.rows_to_fit).alias("rows_to_fit"),
+        ]
+        return _holdout_check(model, dictionary, valid).select(*sizes, "*")
 
     return run
 
@@ -621,10 +612,17 @@ for _name in ml.ROUNDS["reference"]:
 def q_train_mlp(spark, sf_dir):
     """``size`` is the bound on passes, ``depth`` the number of layers with weights."""
     train, valid = _parts(spark, sf_dir)
-    model, dictionary = ml.train_network(train, PROFILE)
+    learner = ml.network(PROFILE)
+    prepared = ml.prepare(train, scale=True)
+    model = ml.fit_on(prepared, learner)
     net = model.stages[-1]
-    size = F.struct(F.lit("mlp").alias("model"), F.lit(net.getMaxIter()).alias("size"), F.lit(len(net.getLayers()) - 1).alias("depth"))
-    return _holdout_check(model, dictionary, valid).select(F.inline(F.array(size)), "*")
+    sizes = {"model": "mlp", "size": learner.passes, "depth": len(net.layers) + 1, "rows_to_fit": learner.rows_to_fit}
+    losses = [watched for _, watched in net.curve]
+    # The loss on watched rows falls, and training ends ``patience`` passes after the best or at the bound.
+    ends = len(losses) == learner.passes or len(losses) == net.best_pass + learner.patience
+    learned = {"loss_falls": losses[net.best_pass - 1] < losses[0] or net.best_pass == 1, "stops_as_stated": ends}
+    checked = _holdout_check(model, prepared.dictionary, valid)
+    return checked.select(*[F.lit(v).alias(k) for k, v in (sizes | learned).items()], "*")
 
 
 @query("score_batch")
@@ -657,27 +655,27 @@ def q_holdout_evaluation(spark, sf_dir):
 def q_cv_summary(spark, sf_dir):
     folded = sampling.stratified_folds(_stored_crop(spark, sf_dir))
     features = feature_projection(folded, "crop", keep=["fold"])
-    summary = metrics.cv_summary(ml.cross_validate(ml.candidates(CV_PROFILE), features))
+    summary = metrics.cv_summary(ml.cross_validate(ml.candidates(PROFILE), features))
     figures = [F.col(m) for m in ("f1", "precision", "recall", "roc_auc")]
     in_range = reduce(and_, [x.between(0, 1) for x in figures])
     good = (F.col("f1") > 0.8) & (F.col("roc_auc") > 0.9)
-    return summary.select("model", "folds", in_range.alias("in_range"), good.alias("good"), F.lit(CV_PROFILE).alias("profile"))
+    return summary.select("model", "folds", in_range.alias("in_range"), good.alias("good"), F.lit(PROFILE).alias("profile"))
 
 
 @query("best_model")
 def q_best_model(spark, sf_dir):
     train, valid = _parts(spark, sf_dir)
-    estimators = ml.candidates(CV_PROFILE)
+    estimators = ml.candidates(PROFILE)
     fold_metrics = ml.cross_validate(estimators, sampling.stratified_folds(train))
     name, model, dictionary = ml.fit_best(estimators, fold_metrics, train)
     known = F.lit(name in estimators).alias("known")
-    return _holdout_check(model, dictionary, valid).select(known, "*", F.lit(CV_PROFILE).alias("profile"))
+    return _holdout_check(model, dictionary, valid).select(known, "*", F.lit(PROFILE).alias("profile"))
 
 
 @query("variable_importance")
 def q_variable_importance(spark, sf_dir):
     model, _ = _trained(spark, sf_dir, "random_forest")
-    found = ml.variable_importance(model, model.transform(_parts(spark, sf_dir)[0]))
+    found = ml.variable_importance(model)
     whole = F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9
     first = F.row_number().over(Window.orderBy(F.desc("importance"), "variable")) == 1  # six rows
     return found.select("variable", first.alias("first"), whole.alias("sums_to_one"))

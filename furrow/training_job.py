@@ -101,7 +101,7 @@ def run_training(spark: SparkSession, cfg: TrainingConfig) -> str:
     name, model, dictionary = ml.fit_best(estimators, fold_metrics, fitted_on)
     scored = materialize(ml.predict(features["valid"], model, dictionary), "scored")
     reports |= holdout_reports(scored, "best")
-    reports["variable_importance"] = ml.variable_importance(model, ml.assembled(features["valid"], model, dictionary))
+    reports["variable_importance"] = ml.variable_importance(model)
     if cfg.with_network:
         net, net_dictionary = ml.train_network(features["train"], cfg.profile)
         net_scored = materialize(ml.predict(features["valid"], net, net_dictionary), "scored")

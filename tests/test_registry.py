@@ -12,13 +12,10 @@ import pytest
 import __spark_entry__ as registry
 from furrow.operators import training as ml
 from furrow.plans import queries
-from furrow.plans.oracles import ORACLES, SIZES, holdout
+from furrow.plans.oracles import ORACLES, ROWS_TO_FIT, SIZES, holdout
 from tests.conftest import DATA
 from tools.compare import compare, oracle_connection
 
-SMALL_DEPTH = {"random_forest": 8, "forest_nobootstrap": 8, "mlp": 4}
-
-
 @pytest.fixture(scope="module")
 def connection():
     return oracle_connection(DATA)
@@ -29,10 +26,12 @@ def small(monkeypatch):
     monkeypatch.setattr(queries, "PROFILE", "smoke")
     for name, (_, depth) in SIZES.items():
         size = ml.ROUNDS["smoke"].get(name, 10)
-        sql = holdout(name, size, SMALL_DEPTH.get(name, depth))
+        sql = holdout(name, size, depth)
         # A few trees do not order the rows as well as the stated ones.
         monkeypatch.setitem(ORACLES, f"train_{name}", sql)
     monkeypatch.setattr(queries, "AUC_FLOOR", 0.85)
+    for name in ("cv_summary", "best_model"):
+        monkeypatch.setitem(ORACLES, name, ORACLES[name].replace("'reference'", "'smoke'"))
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
@@ -42,12 +41,11 @@ def test_query_matches_sql(spark, connection, name, small):
 
 
 def test_stated_sizes():
-    models = ml.candidates("reference")
-    for name, model in models.items():
-        trees = model.getNumTrees() if "forest" in name else model.getMaxIter()
-        assert (trees, model.getMaxDepth()) == SIZES[name]
-    net = ml.network(20)
-    assert (net.getMaxIter(), len(net.getLayers()) - 1) == SIZES["mlp"]
+    for name, model in ml.candidates("reference").items():
+        assert (model.trees if hasattr(model, "trees") else model.rounds, model.depth) == SIZES[name]
+        assert model.rows_to_fit == ROWS_TO_FIT
+    net = ml.network()
+    assert (net.passes, len(net.layers) + 1) == SIZES["mlp"]
     assert queries.PROFILE == "reference"
 
 

@@ -8,16 +8,18 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.operators import encoding, sampling
 from furrow.operators import training as ml
 from furrow.operators.encoding import fit_dictionary
-from furrow.operators.features import CategorySlots, feature_projection, feature_stages, vector_names
+from furrow.operators.features import CategorySlots, feature_projection, feature_stages, hot_names, vector_names
 from furrow.operators.metrics import best_model, cv_summary
 from furrow.operators.quality import clean_crop
 from furrow.operators.readings import clean_readings
 from furrow.operators.scoring import ENCODED, RAW, score, score_mode
+from furrow.operators.trees import Forest
 from furrow.plans.bindings import crop, read_table, rule_model, sensor_envelope
 from furrow.schemas import CATEGORY_FEATURES, FEATURES, LABEL
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
@@ -44,13 +46,26 @@ def clean(spark):
 
 def test_reference_sizes(spark):
     models = ml.candidates("reference")
-    assert models["gbt_deep"].getMaxIter() == 800 and models["gbt_deep"].getMaxDepth() == 6
-    assert models["gbt_deep"].getStepSize() == 0.05 and models["gbt_deep"].getSubsamplingRate() == 0.9
-    assert models["gbt_wide"].getMaxIter() == 400 and models["gbt_wide"].getStepSize() == 0.08
-    assert models["random_forest"].getNumTrees() == 500 and models["random_forest"].getWeightCol() == "weight"
-    assert models["forest_nobootstrap"].getNumTrees() == 700 and not models["forest_nobootstrap"].getBootstrap()
-    assert models["gbt_classic"].getMaxIter() == 500 and models["gbt_classic"].getMaxDepth() == 3
-    assert ml.network(20).getLayers() == [20, 64, 32, 16, 2]
+    deep, wide, classic = (models[n] for n in ("gbt_deep", "gbt_wide", "gbt_classic"))
+    assert (deep.rounds, deep.rate, deep.row_share, deep.column_share) == (800, 0.05, 0.9, 0.9)
+    assert (deep.growth.depth, deep.growth.l2) == (6, 1.0)
+    assert (wide.rounds, wide.rate, wide.growth.depth, wide.growth.leaves) == (400, 0.08, None, 31)
+    assert (classic.rounds, classic.rate, classic.row_share, classic.growth.depth) == (500, 0.05, 0.9, 3)
+    forest, extra = models["random_forest"], models["extra_trees"]
+    assert (forest.trees, forest.bootstrap, forest.random_cuts) == (500, True, False)
+    assert (extra.trees, extra.bootstrap, extra.random_cuts) == (700, False, True)
+    net = ml.network()
+    assert (net.layers, net.dropout, net.passes, net.batch, net.patience) == ((64, 32, 16), 0.2, 30, 32, 10)
+    assert {m.rows_to_fit for m in (*models.values(), net)} == {20_000}
+    spark_models = ml.whole_table_candidates("reference")
+    assert spark_models["gbt_deep"].getMaxIter() == 800 and spark_models["gbt_deep"].getMaxDepth() == 6
+    assert spark_models["random_forest"].getNumTrees() == 500 and spark_models["random_forest"].getWeightCol() == "weight"
+
+
+def test_learners_of_whole_tables(features):
+    model, dictionary = ml.train(features, ml.whole_table_candidates("smoke")["gbt_wide"])
+    assert ml.predict(features, model, dictionary).count() == features.count()
+    assert ml.variable_importance(model).first()["variable"] == "moi"
 
 
 def test_unknown_and_null_categories_are_zero(spark):
@@ -156,6 +171,30 @@ def test_a_large_vocabulary_trains(spark, path):
     assert fitted.transform(rows.limit(10)).where("prediction IN (0, 1)").count() == 10
 
 
+def test_names_and_importances_of_a_large_vocabulary(spark, monkeypatch):
+    """200,000 categories: neither the names of a row's slots nor the importances need them in one place."""
+    n = 200_000
+    rows = spark.range(5 * n).select(
+        F.col("id").alias("row"), F.concat(F.lit("crop"), F.col("id") % n).alias("crop_id"), F.lit("s").alias("soil_type"),
+        F.lit("No").alias("seedling_stage"), (F.col("id") % 100).cast("double").alias("moi"), F.lit(1.0).alias("temp"),
+        F.lit(2.0).alias("humidity"), (F.col("id") % 100 < 50).cast("int").alias(LABEL),
+    )
+    prepared = ml.prepare(rows)
+    model = ml.fit_on(prepared, Forest(trees=3, rows_to_fit=2_000))
+    found = {r["variable"]: r["importance"] for r in ml.variable_importance(model).collect()}
+    assert sorted(found) == sorted(FEATURES) and sum(found.values()) == pytest.approx(1) and found["moi"] > 0.5
+    assert model.stages[-1].importances().count() < 3_000  # only slots that a tree splits by
+    some = rows.where(F.col("row") % 1000 == 7)
+    plans = []
+    keep = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df.columns) or keep(df))
+    named = hot_names(prepared.stages.transform(some), prepared.stages, ["crop_id"], "row")
+    assert not plans
+    for r in named.collect():
+        assert r["hot"] == f"crop_id_{r['crop_id']} soil_type_s seedling_stage_No"
+    assert named.count() == n // 200
+
+
 def test_class_weights_are_counted_before_the_joins(features, monkeypatch):
     plans, keep = [], ml.with_class_weight
     monkeypatch.setattr(ml, "with_class_weight", lambda df, label: plans.append(df.columns) or keep(df, label))
@@ -172,7 +211,7 @@ def test_folds_leave_no_tables(spark, features):
     assert figures.count() == 5 and not left
 
 
-WORK_TABLES = {"folds", "assembled", "scored", "dictionary", "category", "scores", "score"}
+WORK_TABLES = {"folds", "assembled", "forest", "trees", "scored", "dictionary", "category", "scores", "score"}
 
 
 def test_missing_artefacts(spark, path):
@@ -191,9 +230,7 @@ def test_rule_model_equals_its_rule(spark, clean):
 
 
 def test_importance_sums_to_one_and_finds_moisture(forest, features):
-    model, dictionary = forest
-    prepared = ml.prepare(features)
-    found = ml.variable_importance(model, prepared.rows).collect()
+    found = ml.variable_importance(forest[0]).collect()
     assert sorted(r.variable for r in found) == sorted(FEATURES)
     assert sum(r.importance for r in found) == pytest.approx(1.0)
     assert found[0].variable == "moi"
