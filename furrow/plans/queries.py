@@ -112,9 +112,9 @@ def _clean_crop(spark, sf_dir):
     return quality.clean_crop(crop(spark, sf_dir))
 
 
-def _stored_crop(spark, sf_dir):
+def _stored_crop(spark, sf_dir, variant="plain"):
     """The cleaned table written once, for operators that read it several times."""
-    return materialize(_clean_crop(spark, sf_dir), "cleaned")
+    return materialize(quality.clean_crop(crop(spark, sf_dir, variant)), "cleaned")
 
 
 # Sources and sinks
@@ -392,13 +392,13 @@ def q_crosstab_stage(spark, sf_dir):
 
 @query("iqr_bounds")
 def q_iqr_bounds(spark, sf_dir):
-    bounds = profiling.iqr_bounds(quality.clean_crop(crop(spark, sf_dir, "nulls")))
+    bounds = profiling.iqr_bounds(_stored_crop(spark, sf_dir, "nulls"))
     return bounds.select("column", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
 
 
 @query("boxplot_stats")
 def q_boxplot_stats(spark, sf_dir):
-    stats = profiling.boxplot_stats(quality.clean_crop(crop(spark, sf_dir, "nulls")))
+    stats = profiling.boxplot_stats(_stored_crop(spark, sf_dir, "nulls"))
     rounded = [F.round(c, 6).alias(c) for c in ("q1", "med", "q3", "whisker_lo", "whisker_hi")]
     return stats.select(LABEL, "column", *rounded, "fliers")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from furrow.operators import metrics, profiling, quality, sampling
+from furrow.operators import metrics, profiling, quality, quantiles, sampling
 from furrow.operators.encoding import fit_dictionary, label_encode
 from furrow.operators.readings import clean_readings, log_extract
 from furrow.operators.scoring import score
@@ -114,3 +114,20 @@ def test_auc_ranges_follow_the_rows(spark, monkeypatch):
     rows = spark.range(3000).select((F.col("id") % 1000 / 1000).alias("score"), (F.col("id") % 7 > 3).cast("int").alias("result"))
     assert metrics.roc_auc(rows).first()[0] == pytest.approx(0.5, abs=0.05)
     assert made[-1][0] == "score-ranges" and made[-1][1].select("range").distinct().count() == 10
+
+
+def test_quantiles_read_the_table_twice(spark, cleaned, monkeypatch):
+    """Once for the sketch and once for the values inside its brackets; what follows reads those."""
+    written, keep = [], quantiles.materialize
+
+    def watched(df, name):
+        written.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return keep(df, name)
+
+    monkeypatch.setattr(quantiles, "materialize", watched)
+    found = quantiles.exact_quantiles(cleaned, ["moi", "temp"], [0.25, 0.5])
+    assert [name for name, _ in written] == ["quantile-brackets", "quantile-values"]
+    reads = [sum(line.count("moi#") > 0 and "Relation" in line for line in plan.split("\n")) for _, plan in written]
+    assert reads == [1, 1]
+    last = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "moi#" not in last and "percentile(" not in last
