@@ -6,7 +6,6 @@ character n-grams of which any was seen, then to shorter ones. A text's words ar
 
 from __future__ import annotations
 
-import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from furrow.llm.sampling import sample_per_class
-from furrow.llm.tables import documents, values
+from furrow.llm.tables import documents, released, slices, values
 from furrow.schemas import require_columns
 from furrow.workspace import materialize
 
@@ -31,7 +30,8 @@ LONGEST_GRAM = 4
 LETTERS = regex.compile(r"\p{L}+")
 COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("key", pa.string()), ("n", pa.int64())])
 COUNTS_SCHEMA = "lang string, size int, key string, n long"
-PREDICTION = ["doc_id", "lang_pred", "score"]
+PREDICTION = ["doc_id", "lang_pred", "score", "familiar", "runs"]
+FAMILIAR = 3  # times a word occurs in training before it counts as familiar
 HELD_KEYS = 500_000  # distinct words a training task holds before it hands out its counts
 HELD_WORDS = 150_000  # words a scoring task remembers
 MARKS = b"!\"'()*,-.:;?[]"  # that often stand around words
@@ -97,11 +97,15 @@ class Keys(Mapping):
 
 @dataclass
 class LanguageModel:
-    """Log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams; a row of ``matrix`` has a value per language."""
+    """Log frequencies: ``tables[0]`` of words, ``tables[n]`` of n-grams; a row of ``matrix`` has a value per language.
+
+    ``familiar`` tells which words occur at least ``FAMILIAR`` times in what was learned from.
+    """
 
     languages: list[str]
     tables: list[Keys]
     matrix: np.ndarray
+    familiar: np.ndarray
 
     def word(self, word: str) -> np.ndarray:
         """Score of one lower-case word in every language."""
@@ -115,11 +119,13 @@ class LanguageModel:
         return np.zeros(len(self.languages), np.float32)
 
     def words(self, words: list[bytes]) -> np.ndarray:
-        """:meth:`word` of many words in UTF-8."""
+        """:meth:`word` of many words in UTF-8, and whether each is familiar."""
         rows = self.tables[0].rows(words)
-        out = self.matrix[rows]
+        out = np.empty((len(words), len(self.languages) + 1), np.float32)
+        out[:, :-1] = self.matrix[rows]
+        out[:, -1] = (rows >= 0) & self.familiar[rows] if len(self.familiar) else 0
         for i in np.flatnonzero(rows < 0).tolist():
-            out[i] = self.word(words[i].decode("utf-8", "replace"))
+            out[i, :-1] = self.word(words[i].decode("utf-8", "replace"))
         return out
 
 
@@ -205,17 +211,19 @@ def _model(kept: pa.Table, sums: list[tuple]) -> LanguageModel:
         parts.append(np.log((counts + 0.5) / (totals[size] + 0.5 * len(table) + 1)).astype(np.float32))
         tables.append(table)
         first += len(table)
-    return LanguageModel(languages, tables, np.concatenate(parts))
+        if size == 0:
+            familiar = counts.sum(1) >= FAMILIAR
+    return LanguageModel(languages, tables, np.concatenate(parts), familiar)
 
 
 class _Scores(dict):
-    """Row of a matrix of scores per word between blanks, as its bytes stand in a text."""
+    """Row of a matrix per word between blanks, as its bytes stand in a text: scores, familiar letter runs, letter runs."""
 
     def __init__(self, model: LanguageModel):
         super().__init__()
         self.model = model
         self.limit = max(1_000, min(HELD_WORDS, 20_000_000 // max(1, len(model.languages))))
-        self.rows = np.zeros((self.limit, len(model.languages) + 1), np.float32)
+        self.rows = np.zeros((self.limit, len(model.languages) + 2), np.float32)
 
     def learn(self, fresh: list[bytes]) -> None:
         words, owners = [], []
@@ -234,49 +242,94 @@ class _Scores(dict):
         self.rows[first : first + len(fresh)] = sums
         self.update(zip(fresh, range(first, first + len(fresh))))
 
-    def total(self, words: list[bytes]) -> np.ndarray:
-        """Sum over the words; the last value is the number of letter runs."""
-        out = np.zeros(self.rows.shape[1])
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """A row for each of some distinct words."""
+        out = np.empty((len(words), self.rows.shape[1]), np.float32)
         for at in range(0, len(words), self.limit // 2):
             part = words[at : at + self.limit // 2]
             if len(self) + len(part) > self.limit:
                 self.clear()
-            if fresh := [word for word in set(part) if word not in self]:
+            if fresh := [word for word in part if word not in self]:
                 self.learn(fresh)
-            out += self.rows[list(map(self.__getitem__, part))].sum(0, dtype=float)
+            out[at : at + len(part)] = self.rows[np.fromiter(map(self.__getitem__, part), np.int64, len(part))]
+        return out
+
+    def totals(self, texts: pa.Array) -> np.ndarray:
+        """Sums over the words of each text; the last values are the numbers of familiar and of all letter runs.
+
+        Words are cut and numbered by Arrow, so that Python sees each distinct word of the texts once.
+        """
+        if not self.model.languages:
+            return np.zeros((len(texts), self.rows.shape[1]))
+        split = pc.ascii_split_whitespace(texts)
+        numbered = split.flatten().dictionary_encode()
+        own = self.of(numbered.dictionary.view(pa.binary()).to_pylist())
+        which = numbered.indices.to_numpy()
+        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+        if len(texts) == 1:  # however long it is
+            return np.bincount(which, minlength=len(own)).astype(float)[None] @ own
+        out = np.zeros((len(texts), own.shape[1]))
+        some = np.flatnonzero(np.diff(ends))
+        if len(some):
+            out[some] = np.add.reduceat(own[which], ends[some], axis=0, dtype=float)
         return out
 
 
+def _judged(totals: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the best language of each text (``languages`` if it has none), its share, and that of familiar runs."""
+    sums, n = totals[:, :-2], totals[:, -1]
+    familiar = totals[:, -2] / np.maximum(n, 1)
+    if not languages:
+        return np.zeros(len(totals), np.int64), np.zeros(len(totals)), familiar
+    best = sums.argmax(1)
+    scale = np.minimum(n, EVIDENCE) / np.maximum(n, 1)
+    apart = scale[:, None] * (sums - sums[np.arange(len(sums)), best][:, None])
+    share = 1 / np.exp(apart).sum(1)
+    return np.where(n > 0, best, languages), np.where(n > 0, share, 0.0), familiar
+
+
 def predict(
     docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None
 ) -> DataFrame:
-    """``(doc_id, lang_pred, score)`` of every row; with a column ``keep`` also it, as ``row``, and ``text``.
+    """``(doc_id, lang_pred, score, familiar, runs)`` of every row; with a column ``keep`` also it, as ``row``, and ``text``.
 
     ``und`` with score 0 if the text is null or has no letter, or nothing was learned. The score is the share of the
     language among all, from at most ``EVIDENCE`` words' worth of the mean score; ties go to the language that sorts
-    first. Repeated rows score alike; an empty table gives an empty result; other columns take no part.
+    first. ``runs`` counts the runs of letters, and ``familiar`` is the share of them that are words of which training
+    had ``FAMILIAR`` or more. Repeated rows score alike; an empty table gives an empty result; other columns take no part.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size bounded by the parameters of fit
     whole = keep is not None
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, languages = _Scores(shared.value), shared.value.languages
+        scores, languages = _Scores(shared.value), np.array([*shared.value.languages, UNDETERMINED], object)
+        octets = max(100_000, 10_000_000 // max(5, len(languages)))
         for batch in batches:
-            found, share = [], []
-            for text in values(batch.column(1)):
-                *sums, n = scores.total((text or b"").split()).tolist() if languages else (0.0,)
-                if not n:
-                    found.append(UNDETERMINED)
-                    share.append(0.0)
-                    continue
-                best = max(range(len(sums)), key=sums.__getitem__)
-                scale = min(n, EVIDENCE) / n
-                share.append(1 / sum(math.exp(scale * (s - sums[best])) for s in sums))
-                found.append(languages[best])
-            more = batch.schema.names[1:] if whole else []
-            columns = [batch.column(0), pa.array(found, pa.string()), pa.array(share, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in more)], [*PREDICTION, *more])
+            texts = batch.column(1).view(pa.string()).fill_null("")
+            done = 0
+            for part in slices(texts, octets):
+                totals = scores.totals(part)
+                found, share, familiar = _judged(totals, len(languages) - 1)
+                columns = [pa.array(languages[found], pa.string()), pa.array(share), pa.array(familiar)]
+                columns.append(pa.array(totals[:, -1].astype(np.int64)))
+                rest = batch.slice(done, len(part))
+                more = batch.schema.names[1:] if whole else []
+                done += len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [rest.column(0), *columns, *(rest.column(c) for c in more)], [*PREDICTION, *more]
+                )
 
     texts = documents(docs, id_col, text_col, **({} if keep is None else {"row": keep}))
-    schema = T._parse_datatype_string("doc_id long, lang_pred string, score double")
+    schema = T._parse_datatype_string("doc_id long, lang_pred string, score double, familiar double, runs long")
     return texts.mapInArrow(run, T.StructType([*schema.fields, *(texts.schema.fields[1:] if whole else [])]))
+
+
+def usual_familiarity(
+    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", docs_per_language: int = 2_000
+) -> dict[str, float]:
+    """Median ``familiar`` by predicted language, over a bounded sample of the rows that name a language."""
+    known = documents(docs, id_col, text_col, lang=docs["lang"].cast("string")).where("doc_id is not null and lang is not null")
+    sample = sample_per_class(known, "lang", "doc_id", docs_per_language)
+    scored = predict(sample.select("doc_id", F.col("text").cast("string").alias("text")), model)
+    return dict(scored.groupBy("lang_pred").agg(F.percentile_approx("familiar", 0.5).alias("familiar")).collect())

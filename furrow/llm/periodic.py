@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from furrow.llm.tables import documents, mixed
+from furrow.llm.tables import documents, mixed, slices
 
 SHORT = 16  # longest period that is looked for by its lag
 PORTION = 1_000_000  # bytes of text in a portion
@@ -60,21 +60,15 @@ def collapse(docs: DataFrame, least: Least = Least(), id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.string()).fill_null("")
+            texts = batch.column(1).view(pa.string()).fill_null("")
             done = 0
-            for part in _portions(texts):
+            for part in slices(texts, PORTION):
                 yield _collapsed(batch.column(0).slice(done, len(part)), part, least)
                 done += len(part)
 
     return documents(docs, id_col, text_col).mapInArrow(run, RESULT_SCHEMA)
 
 
-def _portions(texts: pa.Array) -> Iterator[pa.Array]:
-    upto = np.cumsum(pc.binary_length(texts).to_numpy()) // PORTION
-    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
-    return (texts[a:b] for a, b in zip(cuts, cuts[1:]) if b > a)
-
-
 def _collapsed(ids: pa.Array, texts: pa.Array, least: Least) -> pa.RecordBatch:
     split = pc.ascii_split_whitespace(texts)
     flat = split.flatten()

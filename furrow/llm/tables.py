@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,3 +151,37 @@ def portions(texts: Iterable[bytes | None], octets: int = 2_000_000) -> Iterator
 def values(column: pa.Array) -> Iterator:
     """The values of an Arrow column one at a time, so that they need not all be Python objects at once."""
     return (value.as_py() for value in column)
+
+
+def slices(texts: pa.Array, octets: int) -> Iterator[pa.Array]:
+    """An array of texts in runs of about ``octets`` bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // octets
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    return (texts[a:b] for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    """The C library's call that gives free memory back, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give memory that is free back to the system: a worker that is reused would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _trim()) is not None:
+        trim(0)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a task over batches, with :func:`release` at its end."""
+
+    @wraps(run)
+    def task(batches: Iterator, *more) -> Iterator:
+        try:
+            yield from run(batches, *more)
+        finally:
+            word_hashes.cache_clear()
+            release()
+
+    return task

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,10 +75,30 @@ def test_undetermined_repeated_long_and_clashing(spark, model, docs, clashing, m
 
 
 def test_a_small_cache_gives_the_same_scores(model, monkeypatch):
-    text = " ".join(random.Random(1).choices("the of und die der zzz la les que".split(), k=5000)).encode()
-    want = language_id._Scores(model).total(text.split())
+    text = " ".join(random.Random(1).choices("the of und die der zzz la les que".split(), k=5000))
+    want = language_id._Scores(model).totals(pa.array([text, "", "der"]))
     monkeypatch.setattr(language_id, "HELD_WORDS", 1)
-    assert np.allclose(language_id._Scores(model).total(text.split() + [b"%d" % i for i in range(3000)]), want, rtol=1e-4)
+    more = text + " " + " ".join(map(str, range(3000)))
+    small = language_id._Scores(model)
+    assert np.allclose(small.totals(pa.array([more, "", "der"])), want, rtol=1e-4)
+    assert np.allclose(small.totals(pa.array([more])), want[:1], rtol=1e-4) and small.limit == 1_000
+
+
+def test_whole_texts_like_word_by_word(spark, model):
+    """Every text of the smallest table, in plain Python over the model's words."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in table.collect()}
+    for r in language_id.predict(table, model).collect():
+        words = language_id.words_of(texts[r["doc_id"]] or "")
+        if not words:
+            assert (r["lang_pred"], r["score"], r["runs"]) == ("und", 0.0, 0)
+            continue
+        sums = np.sum([model.word(w).astype(float) for w in words], axis=0)
+        known = [at for w in words if (at := model.tables[0].get(w)) is not None]
+        shares = np.exp(min(len(words), language_id.EVIDENCE) / len(words) * (sums - sums.max()))
+        assert r["lang_pred"] == model.languages[int(sums.argmax())] and r["runs"] == len(words)
+        assert r["score"] == pytest.approx(1 / shares.sum(), rel=1e-4)
+        assert r["familiar"] == pytest.approx(sum(model.familiar[at] for at in known) / len(words), abs=1e-6)
 
 
 def test_rare_words_and_grams_of_a_large_vocabulary_are_kept(docs):
