@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ from furrow.llm.tables import (
     documents,
     mixed,
     prime_from,
+    release,
+    released,
     total_words,
     values,
     window_hashes,
@@ -34,7 +37,8 @@ from furrow.llm.tables import (
 WIDTH = 20
 BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 BLOCK = 1_000_000  # windows that a task settles at once
-BUCKET = 2_000_000  # windows per bucket
+BUCKET = 1_000_000  # windows per bucket
+PIECES = 8  # in which a block's settled windows are passed on
 PART = 1_500_000  # words of the documents that a task finishes at once
 
 SENT, SETTLED = 0, 1
@@ -86,8 +90,9 @@ def remove_repeats(
     )
 
 
+@released
 def _requests(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    words = word_hashes()
+    words, task = word_hashes(), TaskContext.get().partitionId()
     ids, hashes, places, held, block = [], [], [], 0, 0
     for batch in batches:
         for name, text in zip(values(batch.column(0)), values(batch.column(1))):
@@ -99,10 +104,10 @@ def _requests(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> It
             places.append(_bucket(window_hashes(own, width, BUCKET_BASE), buckets))
             held += len(hashes[-1])
             if held >= BLOCK:
-                yield from _settled(ids, hashes, places, buckets, block)
+                yield from _settled(ids, hashes, places, buckets, task, block)
                 ids, hashes, places, held, block = [], [], [], 0, block + 1
     if ids:
-        yield from _settled(ids, hashes, places, buckets, block)
+        yield from _settled(ids, hashes, places, buckets, task, block)
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -110,7 +115,14 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed(hashes) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
 
-def _settled(ids, hashes, places, buckets, block) -> Iterator[pa.RecordBatch]:
+def settled_places(task: int, block: int, buckets: int) -> np.ndarray:
+    """The buckets that pass on what a block has settled, which needs no bucket of its own: some neighbours, as even
+    over tasks and blocks as a hash makes them."""
+    start = int(mixed(np.array([task << 32 | block], np.uint64))[0] % np.uint64(buckets))
+    return (start + np.arange(min(PIECES, buckets))) % buckets
+
+
+def _settled(ids, hashes, places, buckets, task, block) -> Iterator[pa.RecordBatch]:
     """The requests of one block: a hash goes out once, for its first document; the block's others are settled."""
     names, owner_of = np.unique(np.array(ids, np.int64), return_inverse=True)
     order = np.argsort(owner_of, kind="stable").tolist()
@@ -123,7 +135,9 @@ def _settled(ids, hashes, places, buckets, block) -> Iterator[pa.RecordBatch]:
     lead = owner[np.flatnonzero(first)[np.cumsum(first) - 1]]
     again = owner != lead
     if again.any():
-        yield _request([block % buckets], SETTLED, names, [owner[again]], [value[again]])
+        places = settled_places(task, block, buckets)
+        pieces = (np.array_split(x[again], len(places)) for x in (owner, value))
+        yield _request(places, SETTLED, names, *pieces)
     value, owner, place = value[first], owner[first], place[first]
     by_place = np.lexsort((owner, place))
     value, owner, place = value[by_place], owner[by_place], place[by_place]
@@ -148,6 +162,7 @@ def _request(places, kind, names, owners, hashes) -> pa.RecordBatch:
 
 def _answers(table: pa.Table, parts: int) -> pa.Table:
     """Of one bucket, the hashes that each document shares with an earlier one."""
+    release()  # what the bucket before took
     kind = table.column("kind").to_numpy()
     owners, hashes = [], []
     for ids, index, value in zip(*(values(table.column(c)) for c in ("ids", "owners", "hashes"))):
@@ -191,6 +206,7 @@ def intervals(starts: np.ndarray, width: int) -> np.ndarray:
 
 def _removals(docs: pa.Table, answers: pa.Table, width: int) -> pa.Table:
     """The documents of one part without the words that its answers and their own repeats cover."""
+    release()  # what the part before took
     owner = np.frombuffer(b"".join(values(answers.column("ids"))), np.int64)
     order = np.argsort(owner, kind="stable")
     owner, shared = owner[order], np.frombuffer(b"".join(values(answers.column("hashes"))), np.uint64)[order]

@@ -69,3 +69,15 @@ def test_extreme_ids_empty_table_and_clashing_columns(docs, clashing):
     got = found(clashing([(2**63 - 1, text), (-(2**63), text), (0, text)]))
     assert {i: r["n_removed"] for i, r in got.items()} == {-(2**63): 0, 0: 26, 2**63 - 1: 26}
     assert substring_dedup.remove_repeats(docs([])).count() == 0
+
+
+def test_settled_windows_spread_over_the_buckets():
+    """Twenty tasks of three blocks each: no bucket gets much more of what blocks have settled than others."""
+    counts = np.zeros(64, int)
+    for task in range(20):
+        for block in range(3):
+            places = substring_dedup.settled_places(task, block, 64)
+            assert len(set(places.tolist())) == substring_dedup.PIECES
+            counts[places] += 1
+    assert counts.max() <= 4 * counts.mean() and (counts > 0).mean() > 0.9
+    assert substring_dedup.settled_places(7, 3, 1).tolist() == [0]
