@@ -218,6 +218,16 @@ ORACLES: dict[str, str] = {
     humidity, NULL AS "needsIrrigation", strftime(ts, '%Y-%m-%d') AS date FROM clean
   UNION ALL SELECT 'predictions', "deviceId", ts, "cropId", NULL, stage, NULL, "moisturePct", "tempC", humidity,
     "needsIrrigation", strftime(ts, '%Y-%m-%d') FROM scored""",
+    "compact_dates": _READING
+    + """, dated AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date FROM scored),
+parts AS (
+  SELECT date, CASE WHEN date < (SELECT max(date) FROM dated) THEN 1 ELSE count(DISTINCT event_id % 4) END AS parts
+  FROM dated GROUP BY date)
+SELECT 'readings' AS "table", "deviceId", ts, "cropId", "soilType", stage, moisture01, "moisturePct", "tempC",
+    humidity, NULL AS "needsIrrigation", dated.date AS date, parts
+  FROM dated JOIN parts ON dated.date IS NOT DISTINCT FROM parts.date
+  UNION ALL SELECT 'predictions', "deviceId", ts, "cropId", NULL, stage, NULL, "moisturePct", "tempC", humidity,
+    "needsIrrigation", dated.date, parts FROM dated JOIN parts ON dated.date IS NOT DISTINCT FROM parts.date""",
     "model_roundtrip": _CROP_RARE
     + """SELECT count(*) AS "rows", count(*) FILTER (WHERE soil_type LIKE 'rare%') AS rare_rows, 0 AS differing
 FROM cleaned""",

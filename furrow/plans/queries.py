@@ -39,7 +39,7 @@ from furrow.schemas import CATEGORY_FEATURES, CONSOLE_COLUMNS, LABEL, NUMERIC_FE
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
 from furrow.sources.crop_table import read_crop_csv, write_crop_csv
 from furrow.sources.envelope import encode_envelope, raw_tap, read_envelope
-from furrow.sources.tables import read_predictions, read_readings, with_date
+from furrow.sources.tables import compact_dates, live_rows, read_predictions, read_readings, with_date
 from furrow.streaming import jobs
 from furrow.workspace import materialize, new_path
 
@@ -181,6 +181,38 @@ def q_foreach_batch_fanout(spark, sf_dir):
     return readings_rows.unionByName(predicted, allowMissingColumns=True)
 
 
+@query("compact_dates")
+def q_compact_dates(spark, sf_dir):
+    """Rows of both tables after four batches, a compaction of all dates but the last, and a replay of two batches.
+
+    ``parts`` is the number of partitions in which the rows of a date stand.
+    """
+    cfg = _job(spark, "compaction")
+    events = _events(spark, sf_dir).withColumn("batch", F.col("event_id") % 4)
+    dictionary = _crop_dictionary(spark, sf_dir)
+
+    def deliver(batch):
+        clean = readings.clean_readings(sensor_envelope(events.where(F.col("batch") == batch).drop("batch")))
+        jobs.fanout_batch(clean, batch, rule_model(), cfg, dictionary, show=None)
+
+    for batch in range(4):
+        deliver(batch)
+    last = read_readings(spark, cfg.readings_path).agg(F.max("date").cast("string")).first()[0]
+    for path in (cfg.readings_path, cfg.predictions_path):
+        compact_dates(spark, path, last)
+    for batch in (1, 3):
+        deliver(batch)
+    found = []
+    for name, path, read in (
+        ("readings", cfg.readings_path, read_readings),
+        ("predictions", cfg.predictions_path, read_predictions),
+    ):
+        parts = live_rows(spark, path).groupBy(F.col("date").alias("_date")).agg(F.countDistinct("run_id", "batch_id").alias("parts"))
+        rows = read(spark, path).join(parts, F.col("date").eqNullSafe(F.col("_date"))).drop("_date")
+        found.append(rows.select(F.lit(name).alias("table"), "*"))
+    return found[0].unionByName(found[1], allowMissingColumns=True)
+
+
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """A saved model without its dictionary sees each crop row, rare soil types among them, as the fitted one does."""

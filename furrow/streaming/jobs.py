@@ -129,7 +129,8 @@ def start_fanout(
     """One query that feeds both tables from a single read of the source and shows the earliest rows of each batch.
 
     A run resumes from its checkpoint. Every batch makes a partition of its own below each date, so choose an interval
-    that keeps them few, and compact old dates now and then by rewriting them in a batch job.
+    that keeps them few, and bring old dates together now and then
+    (:func:`furrow.sources.tables.compact_dates`), which may run beside the stream.
     """
     for path in (cfg.readings_path, cfg.predictions_path):
         require_plain(clean.sparkSession, path)
