@@ -1,14 +1,17 @@
 """Exact search for the highest inner products by an impact-ordered index, a band of scores at a time.
 
-Components are integers. A block of vectors has posting segments by impact: all components whose magnitude lies
-between two levels, over all dimensions. Segments are processed in the order of falling impact and add to the scores of
-a block of queries. After each, what the segments to come can still add is bounded; once few enough vectors can be
-among a query's best, the rest is dropped on that proof and the possible members are scored exactly.
+Components are integers. A block of vectors is stored as posting segments by impact: the components whose magnitude lies
+between two levels, as postings (vector, value) by dimension; zeros have none. Segments are processed in the order of
+falling impact and add to the scores of a block of queries. After each, what the segments to come can still add is
+bounded: a vector that can be among no query's best is dropped on that proof, and its later postings are skipped. Once
+few enough vectors can be among a query's best, the possible members are scored exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +25,17 @@ from furrow.workspace import materialize
 
 SCALE = 256
 VECTORS = 4_096  # per block of the index
-QUERIES = 512  # per block of queries
-CELL_BLOCKS, CELL_QUERIES = 4, 16  # blocks of the index and of queries that meet in a task
+QUERIES = 64  # per block of queries: few enough that a vector may be out of question for all of them
+CELL_BLOCKS, CELL_QUERIES = 4, 64  # blocks of the index and of queries that meet in a task
 LEVELS = 6  # segments of a block: halving impacts, then the rest
 POSSIBLE = 64  # possible members of a query that are scored one by one
-BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("matrix", pa.binary()), ("width", pa.int32())])
-BLOCK_SCHEMA = "block long, ids binary, matrix binary, width int"
+QUERY = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("matrix", pa.binary()), ("width", pa.int32())])
+QUERY_SCHEMA = "block long, ids binary, matrix binary, width int"
+# Of every segment: where its dimensions begin, its postings, and what each vector has left after it.
+PARTS = ["offsets", "places", "values", "rests"]
+BLOCK = pa.schema([*QUERY, *[(part, pa.list_(pa.binary())) for part in PARTS]])
+BLOCK_SCHEMA = QUERY_SCHEMA + "".join(f", {part} array<binary>" for part in PARTS)
+KINDS = {"offsets": np.int32, "places": np.int32, "values": np.int64, "rests": np.float64}
 HIT_SCHEMA = "query_id long, vec_id long, score long"
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -45,15 +53,44 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return rows.select("vec_id", F.transform("x", lambda v: F.floor(v * SCALE).cast("long")).alias("x"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows of equal width in blocks: ids, and a matrix of 64-bit integers."""
+@dataclass
+class Segment:
+    """Postings of one band of impacts: those of dimension ``d`` lie from ``offsets[d]`` to ``offsets[d + 1]``.
+
+    ``rests`` are the lengths of the vectors without this and earlier segments.
+    """
+
+    offsets: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+    rests: np.ndarray
+
+
+def segments(matrix: np.ndarray) -> list[Segment]:
+    """The posting segments of a block of vectors, highest impacts first."""
+    impact, above, out = np.abs(matrix), np.inf, []
+    for level in [*(impact.max(initial=0) / 2.0 ** np.arange(1, LEVELS)), 0.0]:
+        dimension, place = np.nonzero(((impact > level) & (impact <= above)).T)
+        offsets = np.searchsorted(dimension, np.arange(matrix.shape[1] + 1))
+        rests = np.linalg.norm(np.where(impact <= level, matrix, 0).astype(float), axis=1)
+        out.append(Segment(offsets, place, matrix[place, dimension], rests))
+        above = level
+    return out
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], size: int, indexed: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of equal width in blocks: ids, a matrix of 64-bit integers, and the segments of ``indexed`` ones."""
     number = TaskContext.get().partitionId() << 32
     held: dict[int, list[tuple[int, list[int]]]] = {}
+    schema = BLOCK if indexed else QUERY
 
     def block(rows: list[tuple[int, list[int]]], number: int) -> pa.RecordBatch:
         ids, matrix = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
         columns = [[number], [ids.tobytes()], [matrix.tobytes()], [matrix.shape[1]]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCK)], schema=BLOCK)
+        if indexed:
+            found = segments(matrix)
+            columns += [[[getattr(s, part).astype(KINDS[part]).tobytes() for s in found]] for part in PARTS]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     for batch in batches:
         for name, x in zip(*map(values, batch.columns)):
@@ -77,8 +114,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     Queries and vectors meet in the cells of a grid, a few blocks of each to a cell.
     """
     queries = queries.groupBy("vec_id").agg(F.min("x").alias("x"))
-    index = materialize(vectors.select("vec_id", "x").mapInArrow(lambda b: _blocks(b, VECTORS), BLOCK_SCHEMA), "index")
-    asked = materialize(queries.mapInArrow(lambda b: _blocks(b, QUERIES), BLOCK_SCHEMA), "queries")
+    index = vectors.select("vec_id", "x").mapInArrow(lambda b: _blocks(b, VECTORS, True), BLOCK_SCHEMA)
+    asked = queries.mapInArrow(lambda b: _blocks(b, QUERIES, False), QUERY_SCHEMA)
+    index, asked = materialize(index, "index"), materialize(asked, "queries")
     rows, columns = (-(-table.count() // per) or 1 for table, per in ((index, CELL_BLOCKS), (asked, CELL_QUERIES)))
 
     def placed(table: DataFrame, own: str, of: int, other: str, others: int) -> DataFrame:
@@ -94,51 +132,63 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _unpacked(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    ids, matrices, widths = (values(table.column(c)) for c in ("ids", "matrix", "width"))
-    return [
-        (np.frombuffer(i, np.int64), np.frombuffer(m, np.int64).reshape(-1, w)) for i, m, w in zip(ids, matrices, widths)
-    ]
+def _unpacked(table: pa.Table) -> Iterator[tuple]:
+    """Ids, matrix and, of blocks of the index, segments."""
+    ids, matrices, widths = (values(table.column(c)) for c in QUERY.names[1:])
+    stored = zip(*(values(table.column(part)) for part in PARTS)) if PARTS[0] in table.column_names else repeat(None)
+    for own, matrix, width, parts in zip(ids, matrices, widths, stored):
+        found = [Segment(*(np.frombuffer(b, KINDS[part]) for part, b in zip(PARTS, s))) for s in zip(*parts)] if parts else []
+        yield np.frombuffer(own, np.int64), np.frombuffer(matrix, np.int64).reshape(-1, width), found
 
 
 def _cell(index: pa.Table, asked: pa.Table, k: int) -> pa.Table:
     found: list[tuple[int, int, int]] = []
-    asked_blocks = _unpacked(asked)
-    for ids, matrix in _unpacked(index):
+    asked_blocks = [(ids, matrix) for ids, matrix, _ in _unpacked(asked)]
+    for ids, matrix, postings in _unpacked(index):
         for query_ids, queries in asked_blocks:
             if queries.shape[1] == matrix.shape[1]:
-                found.extend(search_block(ids, matrix, query_ids, queries, k))
+                found.extend(search_block(ids, matrix, postings, query_ids, queries, k)[0])
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[], [], []])], schema=HITS)
 
 
 def search_block(
-    ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int
-) -> Iterator[tuple[int, int, int]]:
-    """``(query id, id, score)`` of the ``k`` best of one block of vectors for each of a block of queries."""
-    impact = np.abs(matrix)
-    levels = [*(impact.max() / 2.0 ** np.arange(1, LEVELS)), -1.0]
-    weight = np.linalg.norm(queries.astype(float), axis=1)[:, None]
-    scores = np.zeros((len(queries), len(ids)))
-    own = query_ids[:, None] == ids[None, :]
+    ids: np.ndarray, matrix: np.ndarray, postings: list[Segment], query_ids: np.ndarray, queries: np.ndarray, k: int
+) -> tuple[list[tuple[int, int, int]], int]:
+    """``(query id, id, score)`` of the ``k`` best of one block of vectors for each of a block of queries.
+
+    Beside them, the number of postings that were processed.
+    """
+    weight, touched = np.linalg.norm(queries.astype(float), axis=1), 0
+    by_dimension = queries.astype(float).T.copy()
+    scores = np.zeros((len(ids), len(queries)))  # of the vectors that still are in question
+    own = ids[:, None] == query_ids[None, :]
     # Doubles add such integers without error; beyond, sums may be off by as much as this.
-    size = float(np.abs(queries).max()) * float(impact.max()) * matrix.shape[1]
+    size = float(np.abs(queries).max(initial=0)) * float(np.abs(matrix).max(initial=0)) * matrix.shape[1]
     slack = 0.0 if size < 2**53 else size * 1e-12
-    above = np.inf
-    for level in levels:
-        segment = (impact > level) & (impact <= above)
-        above = level
-        if segment.any():
-            scores += queries.astype(float) @ np.where(segment, matrix, 0).T.astype(float)
-        left = np.linalg.norm(np.where(impact <= level, matrix, 0).astype(float), axis=1)[None, :]
-        still = weight * left * (1 + 1e-9) + slack  # Cauchy and Schwarz: the segments to come add no more
-        least = np.where(own, -np.inf, scores - still)
-        bar = np.partition(least, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(queries), -np.inf)
-        possible = (scores + still >= bar[:, None]) & ~own
+    active, possible = np.arange(len(ids)), ~own
+    row = np.arange(len(ids))  # of a vector among the active ones, or -1
+    for segment in postings:
+        for dimension in np.flatnonzero(np.diff(segment.offsets)).tolist():
+            part = slice(segment.offsets[dimension], segment.offsets[dimension + 1])
+            at = row[segment.places[part]]
+            value, at = segment.values[part][at >= 0], at[at >= 0]  # postings of dropped vectors are skipped
+            touched += len(at)
+            scores[at] += value[:, None] * by_dimension[dimension]
+        # Cauchy and Schwarz: the segments to come add no more.
+        still = segment.rests[active][:, None] * weight * (1 + 1e-9) + slack
+        least = np.where(own[active], -np.inf, scores - still)
+        bar = np.partition(least, -k, axis=0)[-k] if len(active) > k else np.full(len(queries), -np.inf)
+        possible = (scores + still >= bar) & ~own[active]
+        stay = possible.any(1)
+        active, scores, possible = active[stay], scores[stay], possible[stay]
+        row = np.full(len(ids), -1)
+        row[active] = np.arange(len(active))
         if possible.sum() <= POSSIBLE * len(queries):
             break
-    exact = np.int64 if size < 2**62 else object
+    exact, out = np.int64 if size < 2**62 else object, []
     for q, query_id in enumerate(query_ids.tolist()):
-        at = np.flatnonzero(possible[q])
+        at = active[possible[:, q]]
         score = matrix[at].astype(exact) @ queries[q].astype(exact)
         for i in sorted(range(len(at)), key=lambda i: (-score[i], ids[at[i]]))[:k]:
-            yield query_id, int(ids[at[i]]), int(score[i])
+            out.append((query_id, int(ids[at[i]]), int(score[i])))
+    return out, touched

@@ -63,22 +63,47 @@ def test_repeated_rows_and_empty_tables(spark):
 def test_large_numbers_are_exact():
     ids, matrix = np.arange(4), np.array([[2**31, 2**31 - 1], [2**31, 2**31], [1, 0], [-(2**31), 5]])
     query = np.array([[2**31, 2**31 - 1]])
-    got = list(topk.search_block(ids, matrix, np.array([9]), query, 2))
+    got, _ = topk.search_block(ids, matrix, topk.segments(matrix), np.array([9]), query, 2)
     assert got == [(9, 1, 2**62 + (2**31 - 1) * 2**31), (9, 0, 2**62 + (2**31 - 1) ** 2)]
 
 
-def test_it_stops_on_proof(monkeypatch):
+def test_it_stops_on_proof():
     """Vectors apart from the rest are found from the first segments; the scores are exact all the same."""
     random.seed(1)
     matrix = np.array([[random.randint(-9, 9) for _ in range(16)] for _ in range(500)])
     matrix[::100] += 200
-    queries, taken = matrix[::100].copy(), []
-    where = np.where
-    monkeypatch.setattr(topk.np, "where", lambda *a: taken.append(a[0].shape) or where(*a))
-    got = list(topk.search_block(np.arange(500), matrix, np.arange(5) + 1000, queries, 3))
-    monkeypatch.undo()
-    assert sum(shape == matrix.shape for shape in taken) < 2 * topk.LEVELS
+    queries, postings = matrix[::100].copy(), topk.segments(matrix)
+    got, touched = topk.search_block(np.arange(500), matrix, postings, np.arange(5) + 1000, queries, 3)
+    assert touched < (matrix != 0).sum() / 20
     for q in range(5):
         scores = matrix @ queries[q]
         want = sorted(range(500), key=lambda i: (-scores[i], i))[:3]
         assert [(i, s) for query, i, s in got if query == 1000 + q] == [(i, scores[i]) for i in want]
+
+
+def test_segments_hold_every_component_once_by_impact():
+    matrix = np.random.default_rng(6).integers(-100, 100, (50, 7))
+    found, whole, least = topk.segments(matrix), np.zeros_like(matrix), np.inf
+    for s in found:
+        for d in range(7):
+            part = slice(s.offsets[d], s.offsets[d + 1])
+            whole[s.places[part], d] += s.values[part]
+        if len(s.values):
+            assert np.abs(s.values).max() < least
+            least = np.abs(s.values).min()
+        assert np.allclose(s.rests, np.linalg.norm(matrix - whole, axis=1))
+    assert (whole == matrix).all() and sum(len(s.values) for s in found) == (matrix != 0).sum()
+
+
+def test_postings_of_the_given_table_are_skipped(spark):
+    """On real vectors a part of the postings is never looked at, and what is stored is what is processed."""
+    table = topk.quantised(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"))
+    vectors = [tuple(r) for r in table.collect()]
+    ids, matrix = np.array([i for i, _ in vectors]), np.array([x for _, x in vectors])
+    asked = np.flatnonzero(ids % 50 == 0)
+    postings, touched, held = topk.segments(matrix), 0, 0
+    for at in range(0, len(asked), topk.QUERIES):
+        part = asked[at : at + topk.QUERIES]
+        touched += topk.search_block(ids, matrix, postings, ids[part], matrix[part], 5)[1]
+        held += int((matrix != 0).sum())
+    assert 0 < touched < 0.95 * held
