@@ -21,11 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.tables import Remembered, documents, values
+from furrow.llm.tables import Remembered, documents, released, slices, values
 from furrow.schemas import require_columns
 
 WINDOW = 1024  # examples that wait for a place
-REMEMBERED = 150_000  # words per generation of the cache
+REMEMBERED = 300_000  # words per generation of the cache
 WORDS_TO_A_TEXT, FRESH_AT_ONCE = 50, 10_000
 MARK = " \0 "  # between words that are encoded together; words that hold it are encoded alone
 TEXT_AT_ONCE = 6_000_000  # bytes
@@ -160,12 +160,14 @@ class WordTokens:
         self.known = Remembered(REMEMBERED)
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         added = self.tokenizer.get_added_tokens_decoder().values() if specials else ()
-        self.specials = "|".join(re.escape(token.content) for token in added if token.special)
+        names = [token.content for token in added if token.special]
+        self.specials, self.sign = "|".join(map(re.escape, names)), os.path.commonprefix(names)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text. Words are cut and numbered by Arrow, so that Python sees each of a portion's words once."""
         texts = texts.cast(pa.string()).fill_null("")
-        if self.specials:
+        # A look for the sign that all names begin with is much cheaper than one for the names.
+        if self.specials and pc.any(pc.match_substring(texts, self.sign)).as_py():
             named = pc.match_substring_regex(texts, self.specials)
             if pc.any(named).as_py():
                 out = self._words(pc.if_else(named, "", texts))
@@ -216,13 +218,6 @@ class WordTokens:
                 self.known[word] = np.array(coded.ids, "<u4").tobytes()
 
 
-def slices(texts: pa.Array, octets: int = TEXT_AT_ONCE) -> Iterator[pa.Array]:
-    """An array of texts in runs of about ``octets`` bytes."""
-    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // octets
-    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
-    return (texts[a:b] for a, b in zip(cuts, cuts[1:]) if b > a)
-
-
 @lru_cache(maxsize=2)
 def word_tokens(path: str, specials: bool = False) -> WordTokens:
     """The process's encoder, so that batches share its cache."""
@@ -248,6 +243,7 @@ def pack_documents(
     """
     end = np.array([] if end_id is None else [end_id], "<u4")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, own = Packer(limits, cut=True), word_tokens(path, specials)
         held: dict[int, tuple[int | None, np.ndarray, int]] = {}  # example -> id, token ids, tokens not yet handed out
@@ -255,7 +251,7 @@ def pack_documents(
         def sequences() -> Iterator[list[Piece]]:
             example = 0
             for batch in batches:
-                coded = chain.from_iterable(map(own.encode, slices(batch.column(1))))
+                coded = chain.from_iterable(map(own.encode, slices(batch.column(1), TEXT_AT_ONCE)))
                 for name, ids in zip(values(batch.column(0)), coded):
                     ids = np.concatenate([ids, end])
                     if len(ids):

@@ -40,7 +40,6 @@ def test_op2(spark, texts):
 
 def test_op4(spark, texts):
     own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    own.encode_special_tokens = True
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows(spark, "op4_packing"):
         pieces[r["doc_id"]].append(r)
