@@ -146,14 +146,14 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     docs_per_language: int = 5_000,
-    words_per_language: int = 50_000,
-    grams_per_language: int = 20_000,
+    words_per_language: int | None = 50_000,
+    grams_per_language: int | None = 20_000,
 ) -> LanguageModel:
     """Learn from rows with a language.
 
     The fit uses about ``docs_per_language`` rows of each language, chosen by a hash of the id, and the model holds
-    the most frequent words and n-grams of each size up to the given numbers per language; so the model's size depends
-    on the number of languages only. Texts without letters and rows without id, text or language teach nothing.
+    the most frequent words and n-grams of each size up to the given numbers per language, or all with ``None``; so the
+    model's size depends on the numbers given and on that of languages only. Texts without letters and rows without id, text or language teach nothing.
     """
     require_columns(docs, [id_col, text_col, lang_col])
     rows = documents(docs, id_col, text_col, lang=docs[lang_col].cast("string"))
@@ -162,8 +162,12 @@ def fit(
     counts = sample.select("lang", "text").mapInArrow(_count, COUNTS_SCHEMA)
     counts = materialize(counts.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")), "language-counts")
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key"))
-    words = counts.where("size = 0").withColumn("place", place).where(F.col("place") <= words_per_language)
-    parts = counts.where("size > 0").withColumn("place", place).where(F.col("place") <= grams_per_language)
+    words = counts.where("size = 0").withColumn("place", place)
+    parts = counts.where("size > 0").withColumn("place", place)
+    if words_per_language is not None:
+        words = words.where(F.col("place") <= words_per_language)
+    if grams_per_language is not None:
+        parts = parts.where(F.col("place") <= grams_per_language)
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
     kept = words.unionByName(parts).select("lang", "size", "key", "n").toArrow()
     return _model(kept, [tuple(r) for r in totals])

@@ -103,24 +103,25 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     docs_per_label: int = 8_000,
-    words: int = 20_000,
+    words: int | None = 20_000,
 ) -> QualityModel:
     """Learn from the labelled rows of ``docs``.
 
     About ``docs_per_label`` documents of each label, chosen by a hash of the id, teach word vectors and network; a
-    label's share among all labelled rows is kept by weights. The vocabulary has at most ``words`` tokens. The last
-    fifth of the sample, by the hash, sets the temperature. Rows without id, text or label teach nothing; without any
-    row the model scores 0.5.
+    label's share among all labelled rows is kept by weights. The vocabulary has at most ``words`` tokens, or all with ``None``. The last
+    fifth of the sample, by the hash, sets the temperature. Of several labels of one id the smallest counts. Rows
+    without id, text or label teach nothing; without any row the model scores 0.5.
     """
     require_columns(labels, [id_col, label_col])
     known = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))
-    known = known.where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
+    known = known.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = materialize(sample_per_class(known, "label", "doc_id", docs_per_label), "quality-labels")
     texts = documents(docs, id_col, text_col).where("text is not null")
     sample = materialize(texts.join(F.broadcast(chosen), "doc_id").repartition(SAMPLE_PARTS), "quality-sample")
 
     counted = sample.select("text").mapInArrow(_count, "token string, n long")
-    common = counted.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(words)
+    common = counted.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token")
+    common = common if words is None else common.limit(words)
     tokens = FIXED_TOKENS + [r["token"] for r in common.collect()]
     vocabulary = {token: i for i, token in enumerate(dict.fromkeys(tokens))}
     index = np.stack([index_vector(t) for t in vocabulary])

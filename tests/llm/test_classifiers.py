@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -176,6 +177,29 @@ def test_pooled_text_is_the_mean_of_its_tokens(judge, monkeypatch):
     assert (quality._Vectors(judge).pooled(None) == 0).all()
 
 
+def test_whole_texts_like_token_by_token(spark, judge):
+    """Every text of the smallest table: vectors of its tokens, their mean, and the two layers, in plain Python."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in table.collect()}
+    for r in quality.score(table, judge).collect():
+        ids = judge.ids(quality.tokens_of(texts[r["doc_id"]].encode()))
+        pooled = np.sum([judge.vectors[i].astype(float) for i in ids], axis=0) / len(ids) if ids else np.zeros(quality.DIMENSIONS)
+        x = (pooled - judge.mean) / judge.spread
+        hidden = [math.tanh(float(x @ w) + o) for w, o in zip(judge.hidden[0].T, judge.hidden[1])]
+        logit = sum(h * w for h, w in zip(hidden, judge.output[0])) + judge.output[1]
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-logit / judge.temperature)), abs=1e-4)
+
+
+def test_of_several_labels_of_one_id_the_smallest_counts(docs, spark):
+    rows = docs([(i, f"word{i % 3} text") for i in range(30)])
+    labels = [(i, i % 2) for i in range(30)]
+    one, two = (
+        quality.fit(rows, spark.createDataFrame(own, "doc_id long, quality int").repartition(parts))
+        for own, parts in ((labels, 1), (labels + [(0, 1), (2, 1), (0, 0), (3, None)], 4))
+    )
+    assert np.allclose(one.hidden[0], two.hidden[0], atol=1e-4) and one.output[1] == pytest.approx(two.output[1], abs=1e-4)
+
+
 def test_training_learns_and_the_temperature_calms():
     random_ = np.random.default_rng(5)
     x = random_.normal(0, 1, (3000, quality.DIMENSIONS))
