@@ -96,7 +96,38 @@ def test_rows_without_id_or_text(docs):
     assert sorted(map(str, pairs(stages.cut_repeats(docs(rows[1:]))))) == ["(1, None)", "(2, '')"]
 
 
-SQL = ["op1_substring_dedup", "op3_warc", "op5_ngram_join", "op8_exact_dedup", "op10_topk"]
+def noise(rng, n):
+    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))
+
+
+def test_the_language_stage_rejects_letter_noise_and_keeps_short_texts(spark):
+    table = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rng, rows = random.Random(3), []
+    for k, r in enumerate(table.collect()):
+        words = (r["text"] or "").split()
+        rows.append((20_000_000 + k, " ".join(words[:2]), r["lang"], "s", 9))
+        if len(words) > 12:
+            rows.append((10_000_000 + k, " ".join(words[3 : 3 + rng.randint(5, 9)]), r["lang"], "s", 9))
+    bad = [(30_000_000 + k, noise(rng, rng.randint(8, 60)), rng.choice(["en", "de", None]), "s", 9) for k in range(60)]
+    more = spark.createDataFrame(rows + bad, table.schema)
+    kept = {r["doc_id"] for r in stages.keep_languages(table.union(more)).collect()}
+    assert {r["doc_id"] for r in table.collect() if plain.has_letter(r["text"])} <= kept
+    short = [i for i, *_ in rows if 10_000_000 <= i < 20_000_000]
+    assert len(short) > 100 and sum(i in kept for i in short) >= 0.99 * len(short)
+    assert sum(i in kept for i, *_ in bad) <= 3
+
+
+def test_the_evidence_of_the_language_stage(docs):
+    """By hand: a text of eight runs or more goes if too few of them are words that training has three times."""
+    rows = [(i, "one two three four five six seven eight", "en") for i in range(8)]
+    rows += [(20, "one bb cc dd ee ff gg bc", "en"), (21, "bb cc dd ee ff gg bc", "en"), (23, "mm nn oo pp qq rr ss tt", "en")]
+    rows += [(22, "hh ii jj kk ll ab one one", "en")]
+    kept = {r["doc_id"] for r in stages.keep_languages(docs(rows)).collect()}
+    # Familiar: 1 of 8 (least: 0.2), too short to tell, none, 2 of 8.
+    assert kept == {*range(8), 21, 22}
+
+
+SQL = ["op1_substring_dedup", "op3_warc", "op5_ngram_join", "op8_exact_dedup", "op10_topk", "op11_spelling", "op13_periodic_runs"]
 
 
 @pytest.mark.parametrize("name", SQL)
