@@ -25,7 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm.components import connected
-from furrow.llm.tables import WordHashes, buckets_for, documents, mixed, total_words, values, window_hashes, word_hashes
+from furrow.llm.tables import (
+    WordHashes,
+    buckets_for,
+    documents,
+    mixed,
+    released,
+    total_words,
+    values,
+    window_hashes,
+    word_hashes,
+)
 from furrow.workspace import materialize
 
 BASE = 0x9E3779B97F4A7C15
@@ -139,6 +149,7 @@ def similar_documents(
     )
 
 
+@released
 def _members(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     hashes = word_hashes()
     for batch in batches:
@@ -156,6 +167,7 @@ def _rows(columns, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+@released
 def _requests(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterator[pa.RecordBatch]:
     hashes, number = word_hashes(), TaskContext.get().partitionId() << 32
     sets: dict[bytes, np.ndarray] = {}
@@ -223,6 +235,7 @@ def _possible(table: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"set_key": pa.array([keys[16 * i : 16 * i + 16] for i in enough], pa.binary())})
 
 
+@released
 def _arrays(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """The sorted shingles of the rows whose set is wanted."""
     hashes = word_hashes()

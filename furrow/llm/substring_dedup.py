@@ -37,8 +37,8 @@ from furrow.llm.tables import (
 WIDTH = 20
 BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 BLOCK = 1_000_000  # windows that a task settles at once
-BUCKET = 1_000_000  # windows per bucket
-PIECES = 8  # in which a block's settled windows are passed on
+BUCKET = 2_000_000  # windows per bucket
+PIECES = 4  # in which a block's settled windows are passed on
 PART = 1_500_000  # words of the documents that a task finishes at once
 
 SENT, SETTLED = 0, 1
