@@ -272,3 +272,20 @@ def test_a_forest_too_large_to_send_is_refused(table, monkeypatch):
     monkeypatch.setattr(ForestModel, "MOST_NODES", 5)
     with pytest.raises(ValueError, match="too large"):
         model.transform(table[0])
+
+
+def test_a_large_forest_meets_its_rows_without_the_driver(table, monkeypatch):
+    """Same scores and columns by the shuffle, whose driver sees a row per tree and no node."""
+    df, rows = table
+    df = df.withColumn("key", F.monotonically_increasing_id())
+    model = Forest(trees=11, seed=3).fit(df)
+    want = model.transform(df)
+    monkeypatch.setattr(ForestModel, "NODES_AT_ONCE", 300)
+    monkeypatch.setattr(ForestModel, "ROWS_AT_ONCE", 150)
+    monkeypatch.setattr(ForestModel, "_packed", lambda self: pytest.fail("the nodes went to the driver"))
+    got = model.transform(df)
+    assert got.columns == want.columns and got.schema["features"].metadata == df.schema["features"].metadata
+    read = lambda t: sorted((r["key"], r["p"][1], r["prediction"]) for r in t.select("key", vector_to_array("probability").alias("p"), "prediction").collect())
+    assert np.allclose(read(got), read(want), atol=1e-12) and len(read(got)) == 600
+    twice = df.union(df)
+    assert model.transform(twice).count() == 1200 and model.transform(df.limit(0)).count() == 0
