@@ -187,21 +187,23 @@ def vector_blocks(model: PipelineModel) -> list[tuple[str, int, int]]:
 def hot_names(vectors: DataFrame, model: PipelineModel, keep: Sequence[str], row: str) -> DataFrame:
     """``row, keep..., hot`` of assembled vectors: ``<feature>_<category>`` of the slots that are 1, in vector order.
 
-    The sparse vectors' places are joined with the stored slots, so the vocabulary is not listed anywhere. ``row`` is a
-    column that tells rows apart; a row without such slots has an empty ``hot``.
+    A feature has at most one such slot, so its place in the vector is joined with the feature's stored slots: rows keep
+    their place if those are few, and no place lists a vocabulary if they are not. ``row`` is a column that tells rows
+    apart; a row without such slots has an empty ``hot``.
     """
     slots = next(stage for stage in model.stages if isinstance(stage, CategorySlots))
-    first = {variable: first for variable, first, _ in vector_blocks(model)}
-    begins = F.coalesce(*[F.when(F.col("column") == c, first[c]) for c in slots.sizes])
-    names = slots.slots.select((begins + F.col("slot")).alias("_slot"), F.concat_ws("_", "column", "slot_name").alias("_name"))
+    blocks = {variable: (first, size) for variable, first, size in vector_blocks(model) if variable in slots.sizes}
     vector = F.unwrap_udt("features")
     places = F.when(vector["type"] == 0, vector["indices"]).otherwise(F.sequence(F.lit(0), F.size(vector["values"]) - 1))
     held = F.filter(F.arrays_zip(places.alias("place"), vector["values"].alias("value")), lambda e: e["value"] != 0)
-    entries = vectors.select(row, F.explode(F.transform(held, lambda e: e["place"])).alias("_slot"))
-    found = entries.join(names.distinct(), "_slot").groupBy(row)
-    found = found.agg(F.array_sort(F.collect_list(F.struct("_slot", "_name"))).alias("_found"))
-    joined = vectors.select(row, *keep).join(found, row, "left")
-    return joined.select(row, *keep, F.concat_ws(" ", F.col("_found")["_name"]).alias("hot"))
+    out = vectors.select(row, *keep, F.transform(held, lambda e: e["place"]).alias("_places"))
+    for c, (first, size) in blocks.items():
+        own = F.filter("_places", lambda p: (p >= first) & (p < first + size))  # noqa: B023
+        names = slots.slots.where(F.col("column") == c)
+        names = names.select(F.col("slot").alias("_slot"), F.concat_ws("_", "column", "slot_name").alias(f"_{c}_name")).distinct()
+        placed = out.withColumn("_at", (F.get(own, 0) - first).cast("long"))
+        out = placed.join(names, F.col("_at") == F.col("_slot"), "left").drop("_at", "_slot")
+    return out.select(row, *keep, F.concat_ws(" ", *[f"_{c}_name" for c in blocks]).alias("hot"))
 
 
 def standardize(df: DataFrame, fit_on: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from furrow.operators import metrics, profiling, quality, quantiles, sampling
 from furrow.operators.encoding import fit_dictionary, label_encode
+from furrow.operators.features import CategorySlots, feature_projection, feature_stages, hot_names
 from furrow.operators.readings import clean_readings, log_extract
 from furrow.operators.scoring import score
 from furrow.plans.bindings import crop, read_table, rule_model, sensor_envelope
@@ -131,3 +133,13 @@ def test_quantiles_read_the_table_twice(spark, cleaned, monkeypatch):
     assert reads == [1, 1]
     last = found._jdf.queryExecution().optimizedPlan().toString()
     assert "moi#" not in last and "percentile(" not in last
+
+
+def test_names_of_hot_slots_leave_rows_in_place(plan, cleaned):
+    rows = feature_projection(cleaned, "crop").withColumn("row", F.monotonically_increasing_id())
+    model = Pipeline(stages=feature_stages(slots=CategorySlots.fitted(fit_dictionary(rows, CATEGORY_FEATURES)))).fit(rows)
+    named = hot_names(model.transform(rows), model, ["crop_id"], "row")
+    text = plan(named)
+    assert "Generate" not in text and "collect_list" not in text and "SortMergeJoin" not in text
+    first = named.orderBy("row").first()
+    assert first["hot"].startswith(f"crop_id_{first['crop_id']} soil_type_") and named.count() == cleaned.count()
