@@ -217,20 +217,23 @@ def q_compact_dates(spark, sf_dir):
 def q_model_roundtrip(spark, sf_dir):
     """A saved model without its dictionary sees each crop row, rare soil types among them, as the fitted one does."""
     cfg = _job(spark, "roundtrip")
-    features = feature_projection(quality.clean_crop(crop(spark, sf_dir, "rare")), "crop")
+    # Written once, for training and both models read it.
+    cleaned = feature_projection(quality.clean_crop(crop(spark, sf_dir, "rare")), "crop")
+    features = materialize(cleaned, "roundtrip-rows")
     model, dictionary = ml.train(features, ml.candidates(PROFILE)["gbt_classic"])
     save_model(model, cfg.model_path)
     save_dictionary(dictionary, cfg.dictionary_path)
     seen = F.to_json(vector_to_array("features"))
     before, after = (
-        m.transform(features).select(*features.columns, seen.alias("seen"), "prediction")
-        for m in (model, load_model(cfg.model_path))
-    )
-    rare = F.count_if(F.col("soil_type").startswith("rare"))
-    lost, found = before.exceptAll(after), after.exceptAll(before)
-    return before.agg(F.count(F.lit(1)).alias("rows"), rare.alias("rare_rows")).crossJoin(
-        lost.unionAll(found).agg(F.count(F.lit(1)).alias("differing"))
+        m.transform(features).select(*features.columns, seen.alias("seen"), "prediction", F.lit(side).alias("side"))
+        for m, side in ((model, 1), (load_model(cfg.model_path), -1))
     )
+    # Rows that only one side has, as many times as it has them more often: those of exceptAll both ways, in one pass.
+    both = before.unionAll(after).groupBy(*[c for c in before.columns if c != "side"])
+    counted = both.agg(F.sum("side").alias("more"), F.count_if(F.col("side") == 1).alias("copies"))
+    rare = F.when(F.col("soil_type").startswith("rare"), F.col("copies")).otherwise(0)
+    sums = {"rows": F.col("copies"), "rare_rows": rare, "differing": F.abs("more")}
+    return counted.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in sums.items()])
 
 
 @query("category_dictionary")

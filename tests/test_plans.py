@@ -11,6 +11,7 @@ from furrow.operators.encoding import fit_dictionary, label_encode
 from furrow.operators.features import CategorySlots, feature_projection, feature_stages, hot_names
 from furrow.operators.readings import clean_readings, log_extract
 from furrow.operators.scoring import score
+from furrow.plans import queries
 from furrow.plans.bindings import crop, read_table, rule_model, sensor_envelope
 from furrow.schemas import CATEGORY_FEATURES
 from furrow.sources.tables import readings_table, write_readings
@@ -143,3 +144,10 @@ def test_names_of_hot_slots_leave_rows_in_place(plan, cleaned):
     assert "Generate" not in text and "collect_list" not in text and "SortMergeJoin" not in text
     first = named.orderBy("row").first()
     assert first["hot"].startswith(f"crop_id_{first['crop_id']} soil_type_") and named.count() == cleaned.count()
+
+
+def test_the_round_trip_cleans_its_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(queries, "PROFILE", "smoke")
+    found = queries.QUERIES["model_roundtrip"](spark, DATA)
+    assert not [file for file in found.inputFiles() if "lineitem" in file]
+    assert found.count() == 1
