@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from furrow.config import JobConfig
-from furrow.operators.readings import clean_readings, earliest, is_empty, log_extract
+from furrow.operators.readings import clean_readings, earliest, log_extract
 from furrow.operators.scoring import ENCODED, score, score_mode
 from furrow.schemas import CONSOLE_COLUMNS, project
 from furrow.sources.artefacts import load_dictionary, load_model
@@ -106,7 +106,8 @@ def fanout_batch(
     """
     clean.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if is_empty(clean):
+        # All tasks fill their part of the cache at once; a look for one row would fill one part while the others wait.
+        if not clean.count():
             return
         replace_batch(readings_table(clean), cfg.readings_path, batch_id, cfg.gather_dates, cfg.run_id)
         scored = score(clean, model, dictionary)

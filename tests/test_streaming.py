@@ -267,3 +267,16 @@ def test_the_program_waits_until_a_query_ends(spark, cfg, envelope, dictionary,
     assert any(not q.isActive for q in started)
     run(*started)
     assert spark.read.parquet(cfg.readings_path).count() == envelope.count()
+
+
+def test_a_batch_fills_its_cache_in_all_tasks_at_once(spark, cfg, envelope, dictionary, monkeypatch):
+    """Every part is cached by one job before the first write, not one part by a look for a row."""
+    seen, keep = [], jobs.replace_batch
+
+    def watched(*args):
+        seen.append([(info.numCachedPartitions(), info.numPartitions()) for info in spark.sparkContext._jsc.sc().getRDDStorageInfo()])
+        return keep(*args)
+
+    monkeypatch.setattr(jobs, "replace_batch", watched)
+    jobs.fanout_batch(clean_readings(envelope.repartition(7)), 0, rule_model(), cfg, dictionary, show=None)
+    assert (7, 7) in seen[0]
