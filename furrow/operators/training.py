@@ -56,12 +56,12 @@ ROUNDS = {
 }
 
 
-def candidates(profile: str = "reference", rows_to_fit: int = ROWS_TO_FIT) -> dict[str, Estimator]:
-    """The five tree ensembles by name, each fitted on at most about ``rows_to_fit`` labelled rows.
+def candidates(profile: str = "reference", rows_to_fit: int | None = ROWS_TO_FIT) -> dict[str, Estimator]:
+    """The five tree ensembles by name, each fitted on at most about ``rows_to_fit`` labelled rows, or on all with ``None``.
 
     ``gbt_deep`` has gains of second order with an L2 term and draws features per tree; ``gbt_wide`` grows its best leaf
     first up to a number of leaves; ``gbt_classic`` splits by residuals. Forests weight the classes alike and grow to the
-    end. For fits that read every row of a large table see :func:`whole_table_candidates`.
+    end. Spark ML's own learners are in :func:`whole_table_candidates`.
     """
     rounds, common = ROUNDS[profile], {"rows_to_fit": rows_to_fit, "seed": SEED}
     return {

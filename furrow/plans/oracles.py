@@ -182,7 +182,8 @@ SIZES = {
     "gbt_classic": (500, 3),
     "mlp": (30, 4),
 }
-ROWS_TO_FIT = 20_000
+ROWS_TO_FIT = 20_000  # of the candidates that are not fitted on all
+SAMPLED = ("gbt_wide", "random_forest", "extra_trees", "gbt_classic", "mlp")
 _VALID = """count(*) AS valid_rows, count(*) FILTER (WHERE result = 1) AS valid_ones,
   0 AS bad_scores, true AS beats_majority, true AS good_auc"""
 
@@ -190,7 +191,8 @@ _VALID = """count(*) AS valid_rows, count(*) FILTER (WHERE result = 1) AS valid_
 def holdout(name: str, size: int, depth: int | None) -> str:
     shown = "NULL::INT" if depth is None else depth
     more = "true AS loss_falls, true AS stops_as_stated, " if name == "mlp" else ""
-    return _RANKED + f"""SELECT '{name}' AS model, {size} AS size, {shown} AS depth, {ROWS_TO_FIT} AS rows_to_fit, {more}{_VALID}
+    fitted = f"{ROWS_TO_FIT} AS rows_to_fit, " if name in SAMPLED else ""
+    return _RANKED + f"""SELECT '{name}' AS model, {size} AS size, {shown} AS depth, {fitted}{more}{_VALID}
   FROM parts WHERE split = 'valid'"""
 
 

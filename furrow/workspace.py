@@ -70,8 +70,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint; keeps the partitioning and the row order of ``df``."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(workspace_root(spark))
+    prepare_checkpoints(df.sparkSession)
     return df.checkpoint()
+
+
+def prepare_checkpoints(spark: SparkSession) -> None:
+    """Set the folder of reliable checkpoints, if there is none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(workspace_root(spark))

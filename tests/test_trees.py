@@ -10,6 +10,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.operators import trees
@@ -289,3 +290,78 @@ def test_a_large_forest_meets_its_rows_without_the_driver(table, monkeypatch):
     assert np.allclose(read(got), read(want), atol=1e-12) and len(read(got)) == 600
     twice = df.union(df)
     assert model.transform(twice).count() == 1200 and model.transform(df.limit(0)).count() == 0
+
+
+# All rows
+
+
+@pytest.mark.parametrize(
+    "how",
+    [
+        {"growth": Growth(depth=3, l2=1.0, least_hessian=1.0)},
+        {"growth": Growth(leaves=6, least_rows=10), "from_prior": False},
+        {"growth": Growth(depth=2, by_residuals=True)},
+        {"growth": Growth(depth=4, leaves=6, l2=0.5), "column_share": 0.6},
+    ],
+)
+def test_boosting_on_all_rows_is_that_of_one_task(table, monkeypatch, how):
+    """Twenty-odd blocks, whose sums meet, give the trees of one task that has all rows; nothing is sampled."""
+    df, _ = table
+    want = Boosting(rounds=4, rate=0.3, **how).fit(df)
+    monkeypatch.setattr(trees, "ROWS_TO_A_BLOCK", 50)
+    monkeypatch.setattr(trees, "ROUNDS_KEPT", 2)
+    monkeypatch.setattr(DataFrame, "sample", lambda *a, **k: pytest.fail("sampled"))
+    got = Boosting(rounds=4, rate=0.3, rows_to_fit=None, **how).fit(df)
+    p = [[r[0][1] for r in m.transform(df).select(vector_to_array("probability")).collect()] for m in (got, want)]
+    assert np.allclose(*p) and got.getNumTrees == 4
+
+
+def test_boosting_on_all_rows_draws_shares(table, monkeypatch):
+    df, rows = table
+    monkeypatch.setattr(trees, "ROWS_TO_A_BLOCK", 100)
+    fits = [Boosting(rounds=12, rate=0.3, rows_to_fit=None, row_share=0.7, most_bins=8, growth=Growth(depth=3)).fit(df) for _ in range(2)]
+    p = [[r[0][1] for r in m.transform(df).select(vector_to_array("probability")).collect()] for m in fits]
+    assert p[0] == p[1] and ((np.array(p[0]) > 0.5) == rows.label).mean() > 0.75
+
+
+def wins(nodes, x, y, w, at=0):
+    """As :func:`follow`, but for where between two of a node's values a cut stands."""
+    node, want = nodes[at], plain_tree(x, y, w, middles)
+    assert node["share"] == pytest.approx(w[y == 1].sum() / w.sum())
+    if not isinstance(want, tuple):
+        assert node["left"] == -1
+        return 1
+    assert node["won"] == pytest.approx(want[0] - purity(y, w), abs=1e-9)
+    right = x[:, node["feature"]] > node["threshold"]
+    return sum(wins(nodes, x[side], y[side], w[side], node["left"] + i) for i, side in enumerate((~right, right)))
+
+
+@pytest.mark.parametrize("random_cuts", [False, True])
+def test_a_forest_on_more_rows_than_a_task_takes(table, monkeypatch, random_cuts):
+    """Upper nodes by passes over the rows, subtrees in tasks: whole trees of one numbering, which every row has part in."""
+    df, rows = table
+    monkeypatch.setattr(trees, "ROWS_TO_A_TASK", 100)
+    monkeypatch.setattr(trees, "ROWS_TO_A_BLOCK", 150)
+    monkeypatch.setattr(trees, "ROWS_HANDED_OVER", 1_300)
+    model = Forest(trees=3, bootstrap=False, random_cuts=random_cuts, per_node=7, rows_to_fit=None).fit(df)
+    x = matrix(rows)
+    for tree in range(3):
+        nodes = {r["id"]: r.asDict() for r in model.nodes.where(F.col("tree") == tree).collect()}
+        assert sorted(nodes) == list(range(len(nodes))) and len(nodes) > 100
+        if not random_cuts:
+            assert wins(nodes, x, rows.label, rows.weight) > 50
+    # The leaves have the labels of the rows in them, but for rows that agree in all features.
+    got = [r["prediction"] for r in model.transform(df).collect()]
+    assert (np.array(got) == rows.label).mean() > 0.97
+
+
+def test_a_drawn_forest_on_more_rows_than_a_task_takes(table, monkeypatch):
+    df, rows = table
+    monkeypatch.setattr(trees, "ROWS_TO_A_TASK", 100)
+    one, two = (Forest(trees=5, rows_to_fit=None).fit(df) for _ in range(2))
+    assert sorted(map(tuple, one.nodes.collect())) == sorted(map(tuple, two.nodes.collect()))
+    assert (np.array([r["prediction"] for r in one.transform(df).collect()]) == rows.label).mean() > 0.8
+    place = np.arange(100_000)
+    counts = np.bincount(trees.drawn(place, 1, 42), minlength=4)[:4] / 100_000
+    assert np.allclose(counts, [0.3679, 0.3679, 0.1839, 0.0613], atol=0.006)
+    assert (trees.drawn(place, 2, 42) != trees.drawn(place, 1, 42)).mean() > 0.5
