@@ -20,7 +20,9 @@ from furrow.operators.quality import clean_crop
 from furrow.operators.readings import clean_readings
 from furrow.operators.scoring import ENCODED, RAW, score, score_mode
 from furrow.operators.trees import Forest
+from furrow.plans import queries
 from furrow.plans.bindings import crop, read_table, rule_model, sensor_envelope
+from furrow.plans.oracles import ORACLES
 from furrow.schemas import CATEGORY_FEATURES, FEATURES, LABEL
 from furrow.sources.artefacts import load_dictionary, load_model, save_dictionary, save_model
 from furrow.sources.crop_table import write_crop_csv
@@ -292,3 +294,19 @@ def test_training_job(spark, path):
 def test_training_refit_choice():
     with pytest.raises(ValueError, match="refit_on"):
         TrainingConfig(csv_path="x", refit_on="some")
+
+
+def test_four_candidates_are_fitted_on_every_row(spark, monkeypatch):
+    seen = {}
+    keep = ml.train
+
+    def watched(rows, learner, *more):
+        seen[name] = learner.rows_to_fit
+        return keep(rows, learner, *more)
+
+    monkeypatch.setattr(queries, "PROFILE", "smoke")
+    monkeypatch.setattr(ml, "train", watched)
+    for name in ("gbt_deep", "gbt_wide", "random_forest", "gbt_classic"):
+        assert "rows_to_fit" not in ORACLES[f"train_{name}"]
+    for name in ("gbt_classic", "random_forest"):
+        assert "rows_to_fit" not in queries.QUERIES[f"train_{name}"](spark, DATA).columns and seen[name] is None
