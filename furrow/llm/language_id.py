@@ -32,7 +32,8 @@ COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("key", pa.stri
 COUNTS_SCHEMA = "lang string, size int, key string, n long"
 PREDICTION = ["doc_id", "lang_pred", "score", "familiar", "runs"]
 FAMILIAR = 3  # times a word occurs in training before it counts as familiar
-HELD_KEYS = 500_000  # distinct words a training task holds before it hands out its counts
+HELD_KEYS = 200_000  # distinct words a training task holds before it hands out its counts
+TEXT_AT_ONCE = 2_000_000  # bytes whose words it counts at once
 HELD_WORDS = 150_000  # words a scoring task remembers
 MARKS = b"!\"'()*,-.:;?[]"  # that often stand around words
 EVIDENCE = 25.0  # words' worth of evidence at most in a score
@@ -145,21 +146,22 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    docs_per_language: int = 5_000,
+    docs_per_language: int | None = 5_000,
     words_per_language: int | None = 50_000,
     grams_per_language: int | None = 20_000,
 ) -> LanguageModel:
     """Learn from rows with a language.
 
-    The fit uses about ``docs_per_language`` rows of each language, chosen by a hash of the id, and the model holds
+    The fit uses about ``docs_per_language`` rows of each language, chosen by a hash of the id, or all with ``None``; the model holds
     the most frequent words and n-grams of each size up to the given numbers per language, or all with ``None``; so the
     model's size depends on the numbers given and on that of languages only. Texts without letters and rows without id, text or language teach nothing.
     """
     require_columns(docs, [id_col, text_col, lang_col])
     rows = documents(docs, id_col, text_col, lang=docs[lang_col].cast("string"))
     rows = rows.where("doc_id is not null and text is not null and lang is not null")
-    sample = sample_per_class(rows, "lang", "doc_id", docs_per_language)
-    counts = sample.select("lang", "text").mapInArrow(_count, COUNTS_SCHEMA)
+    if docs_per_language is not None:
+        rows = sample_per_class(rows, "lang", "doc_id", docs_per_language)
+    counts = rows.select("lang", "text").mapInArrow(_count, COUNTS_SCHEMA)
     counts = materialize(counts.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")), "language-counts")
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key"))
     words = counts.where("size = 0").withColumn("place", place)
@@ -173,25 +175,38 @@ def fit(
     return _model(kept, [tuple(r) for r in totals])
 
 
+@released
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each language, cut and counted between blanks by Arrow: Python sees each that a portion has once."""
     held: dict[str, Counter] = {}
     for batch in batches:
-        for lang, text in zip(*map(values, batch.columns)):
-            held.setdefault(lang, Counter()).update(words_of(text.decode("utf-8", "replace")))
-            if sum(map(len, held.values())) > HELD_KEYS:
-                yield from _counted(held)
-                held = {}
+        named = batch.column(0).dictionary_encode()
+        for at, lang in enumerate(named.dictionary.to_pylist()):
+            texts, own = batch.column(1).filter(pc.equal(named.indices, at)), held.setdefault(lang, Counter())
+            for part in slices(texts.view(pa.string()), TEXT_AT_ONCE):
+                counted = pc.ascii_split_whitespace(part).flatten().view(pa.binary()).value_counts()
+                for word, n in zip(counted.field(0).to_pylist(), counted.field(1).to_pylist()):
+                    own[word] += n
+                if sum(map(len, held.values())) > HELD_KEYS:
+                    yield from _counted(held)
+                    held = {lang: (own := Counter())}
     yield from _counted(held)
 
 
 def _counted(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, words in held.items():
-        keys = {0: words} | {size: Counter() for size in range(1, LONGEST_GRAM + 1)}
-        for word, n in words.items():
-            for size in range(1, LONGEST_GRAM + 1):
-                for gram in grams(word, size):
-                    keys[size][gram] += n
-        for size, counted in keys.items():
+    for lang, raw in held.items():
+        words: Counter = Counter()
+        for part, n in raw.items():
+            for word in words_of(part.decode("utf-8", "replace")):
+                words[word] += n
+        for size in range(LONGEST_GRAM + 1):
+            if size:
+                counted = Counter()
+                for word, n in words.items():
+                    for gram in grams(word, size):
+                        counted[gram] += n
+            else:
+                counted = words
             columns = [[lang] * len(counted), [size] * len(counted), list(counted), list(counted.values())]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTS)], schema=COUNTS)
 
@@ -329,11 +344,7 @@ def predict(
     return texts.mapInArrow(run, T.StructType([*schema.fields, *(texts.schema.fields[1:] if whole else [])]))
 
 
-def usual_familiarity(
-    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", docs_per_language: int = 2_000
-) -> dict[str, float]:
-    """Median ``familiar`` by predicted language, over a bounded sample of the rows that name a language."""
-    known = documents(docs, id_col, text_col, lang=docs["lang"].cast("string")).where("doc_id is not null and lang is not null")
-    sample = sample_per_class(known, "lang", "doc_id", docs_per_language)
-    scored = predict(sample.select("doc_id", F.col("text").cast("string").alias("text")), model)
-    return dict(scored.groupBy("lang_pred").agg(F.percentile_approx("familiar", 0.5).alias("familiar")).collect())
+def usual_familiarity(scored: DataFrame, known: Column) -> dict[str, float]:
+    """Median ``familiar`` by predicted language, of the rows of :func:`predict` that are ``known``."""
+    usual = scored.where(known).groupBy("lang_pred").agg(F.percentile_approx("familiar", 0.5).alias("familiar"))
+    return dict(usual.collect())  # a row per language

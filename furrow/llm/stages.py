@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
+from furrow.workspace import materialize
 
 ABOVE_CHANCE = 1e-3
 # A text that has fewer familiar words than this share of its letter runs, and than this part of what is usual in its
@@ -19,14 +20,16 @@ def keep_languages(docs: DataFrame) -> DataFrame:
 
     Those without letters go, those that fit all languages alike, and those of eight letter runs or more of which
     hardly any is a word that the training rows use repeatedly, against what is usual for texts of the predicted
-    language. The languages are learned from the rows that name one. With none to learn from, letters are all that is
-    asked for.
+    language. The languages are learned from all rows that name one, and what is usual is the median of them all. With
+    none to learn from, letters are all that is asked for.
     """
-    model = language_id.fit(docs)
+    model = language_id.fit(docs, docs_per_language=None)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    usual = language_id.usual_familiarity(docs, model)
-    scored = language_id.predict(docs, model, keep=_rest(docs))
+    # Written once, for the median and the decision both read it.
+    scored = materialize(language_id.predict(docs, model, keep=_rest(docs)), "languages")
+    named = F.col("doc_id").isNotNull() & F.col("row")["lang"].isNotNull()
+    usual = language_id.usual_familiarity(scored, named)
     good = F.col("lang_pred") != language_id.UNDETERMINED
     if len(model.languages) > 1:
         good &= F.col("score") * len(model.languages) > 1 + ABOVE_CHANCE

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from furrow.llm import stages
+from furrow.llm import language_id, stages
 from tests.llm import plain
 from tools.compare import compare, oracle_connection
 
@@ -134,3 +135,15 @@ SQL = ["op1_substring_dedup", "op3_warc", "op5_ngram_join", "op8_exact_dedup", "
 def test_queries_match_their_sql(spark, name):
     good, note = compare(spark, oracle_connection(DATA), name, DATA)
     assert good, note
+
+
+def test_the_language_stage_learns_from_all_rows(docs, monkeypatch):
+    """More rows of a language than the sample of a bounded fit has: every word is counted, and no sample is drawn."""
+    rows = [(i, f"the word number w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}", "en") for i in range(6_000)]
+    seen, keep = [], language_id.predict
+    monkeypatch.setattr(language_id, "predict", lambda docs, model, *a, **k: seen.append(model) or keep(docs, model, *a, **k))
+    monkeypatch.setattr(language_id, "sample_per_class", lambda *a: pytest.fail("a sample"))
+    assert stages.keep_languages(docs(rows)).count() == 6_000
+    (model,) = seen
+    want = np.log((6_000 + 0.5) / (4 * 6_000 + 0.5 * 103 + 1))
+    assert len(model.tables[0]) == 103 and np.allclose(model.word("the"), want)
