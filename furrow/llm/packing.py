@@ -28,7 +28,7 @@ WINDOW = 1024  # examples that wait for a place
 REMEMBERED = 300_000  # words per generation of the cache
 WORDS_TO_A_TEXT, FRESH_AT_ONCE = 50, 10_000
 MARK = " \0 "  # between words that are encoded together; words that hold it are encoded alone
-TEXT_AT_ONCE = 6_000_000  # bytes
+TEXT_AT_ONCE = 2_000_000  # bytes
 ROWS_AT_ONCE = 2_000
 TASK_SHIFT = 40  # sequence ids: the task's number above this bit, its sequences below
 PIECES_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

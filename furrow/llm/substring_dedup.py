@@ -24,9 +24,9 @@ from pyspark.sql import types as T
 from furrow.llm.tables import (
     buckets_for,
     documents,
+    freed,
     mixed,
     prime_from,
-    release,
     released,
     total_words,
     values,
@@ -160,9 +160,9 @@ def _request(places, kind, names, owners, hashes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=REQUEST)
 
 
+@freed
 def _answers(table: pa.Table, parts: int) -> pa.Table:
     """Of one bucket, the hashes that each document shares with an earlier one."""
-    release()  # what the bucket before took
     kind = table.column("kind").to_numpy()
     owners, hashes = [], []
     for ids, index, value in zip(*(values(table.column(c)) for c in ("ids", "owners", "hashes"))):
@@ -204,9 +204,9 @@ def intervals(starts: np.ndarray, width: int) -> np.ndarray:
     return np.stack([starts[np.append(0, cut + 1)], starts[np.append(cut, len(starts) - 1)] + width], 1)
 
 
+@freed
 def _removals(docs: pa.Table, answers: pa.Table, width: int) -> pa.Table:
     """The documents of one part without the words that its answers and their own repeats cover."""
-    release()  # what the part before took
     owner = np.frombuffer(b"".join(values(answers.column("ids"))), np.int64)
     order = np.argsort(owner, kind="stable")
     owner, shared = owner[order], np.frombuffer(b"".join(values(answers.column("hashes"))), np.uint64)[order]

@@ -174,10 +174,12 @@ def release() -> None:
 
 
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run``, a task over batches, with :func:`release` at its end."""
+    """``run``, a task over batches, with :func:`release` at its end, and before it, for what tasks of groups have left."""
 
     @wraps(run)
     def task(batches: Iterator, *more) -> Iterator:
+        word_hashes.cache_clear()
+        release()
         try:
             yield from run(batches, *more)
         finally:
@@ -185,3 +187,16 @@ def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterat
             release()
 
     return task
+
+
+def freed(run: Callable) -> Callable:
+    """``run``, a task over a group, that leaves no free memory behind: its worker may idle through the next stage."""
+
+    @wraps(run)
+    def task(*tables):
+        try:
+            return run(*tables)
+        finally:
+            release()
+
+    return task

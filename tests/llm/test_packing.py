@@ -120,3 +120,13 @@ def test_uncut_examples_keep_three_limits(spark, monkeypatch):
         assert fits or alone
     least = max(sum(r[1] or 0 for r in rows[:300]) / 100, 300 / 4, sum(min(r[2] or 0, 50) for r in rows[:300]) / 50)
     assert len(bins) <= 1.3 * least + 3
+
+
+def test_a_task_gives_back_what_groups_before_it_left():
+    """A worker that has run a task over groups keeps their words and free memory; the next stage starts without."""
+    from furrow.llm import tables
+
+    tables.word_hashes().of([b"a", b"b"])
+    held = [len(tables.word_hashes())]
+    list(tables.released(lambda batches: (held.append(len(tables.word_hashes())) for _ in batches))([1]))
+    assert held == [2, 0]
