@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -29,7 +29,9 @@ BLANK = "▁"  # stands for a space inside pieces
 REMEMBERED = 250_000  # parts of texts per generation of the cache
 REMEMBERED_PAIRS = 1_000_000
 LONGEST_REMEMBERED = 200  # characters
+CLASSES = 3  # sets of characters between which texts are cut
 UNKNOWN = -1
+BYTES, END_OF_RUN = re.compile("[\udc80-\udcff]+"), "\udc00"
 # Kinds of pieces and the kind of model, as the format numbers them.
 NORMAL, UNKNOWN_KIND, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGE_TYPE = 2
@@ -96,6 +98,22 @@ class _Pairs(dict):
         return known
 
 
+class _Parts(Remembered):
+    """Ids of parts of texts, as :meth:`Coder.coded` gives them; long parts are not remembered."""
+
+    def __init__(self, coder: Coder):
+        super().__init__(REMEMBERED)
+        self.coder = coder
+
+    def __missing__(self, part: str) -> str:
+        if len(part) > LONGEST_REMEMBERED:
+            return self.coder.coded(part)
+        self.turn()
+        found = self.old.get(part)
+        known = self[part] = self.coder.coded(part) if found is None else found
+        return known
+
+
 class Coder:
     """Encodes and decodes with the model file at ``path``."""
 
@@ -129,47 +147,40 @@ class Coder:
             self.automaton.add_word(model.pieces[i], i)
         self.automaton.make_automaton()
         self.sizes = list(map(len, model.pieces))
+        self.names = list(map(str, range(len(model.pieces))))
         self.beside = _Pairs(self)
-        self.known = Remembered(REMEMBERED)
+        self.known = _Parts(self)
         # Parts that no merge crosses the ends of: a run of blanks and what follows, a character that no piece holds.
         apart = not any(BLANK in piece.lstrip(BLANK) for piece in self.ids)
-        held = sorted(set(chain.from_iterable(self.ids)) - {BLANK})
-        letters = "[" + "".join(map(re.escape, held)) + "]"
-        cut = f"{BLANK}*{letters}+|{BLANK}+|." if apart else f"(?:{BLANK}|{letters})+|."
+        classes = ["[" + "".join(map(re.escape, sorted(held))) + "]" for held in _classes(self.ids)]
+        runs = "|".join(f"{letters}+" for letters in classes)
+        cut = f"{BLANK}*(?:{runs})|{BLANK}+|." if apart else f"(?:{BLANK}|{'|'.join(classes)})+|."
         self.find = re.compile(cut, re.DOTALL).findall
         self.surface = {str(i): piece.replace(BLANK, " ") for i, piece in enumerate(model.pieces) if model.kinds[i] == NORMAL}
         self.surface.update((str(i), "") for i in self.ends)
         self.surface.update((str(i), " ⁇ ") for i, kind in enumerate(model.kinds) if kind == UNKNOWN_KIND)
-        self.byte_of = {str(i): value for value, i in self.bytes.items()}
+        # Byte tokens of ASCII are their character whatever is beside them; the others wait as lone surrogates.
+        self.surface.update((str(i), bytes([value]).decode("ascii", "surrogateescape")) for value, i in self.bytes.items())
+        self.parted = self.surface | dict.fromkeys(map(str, self.ends), END_OF_RUN)  # bytes do not join across a control piece
 
     # Texts
 
     def encode(self, texts: list[str], end: int | None = None) -> list[str]:
         """Token ids of each text as decimals joined by one space, with the id ``end`` after them."""
         front = BLANK if self.model.blank_in_front else ""
-        parts = [self.find(front + text.replace(" ", BLANK)) if text else [] for text in texts]
-        self.known.update((part, self._coded(part)) for part in self.known.unknown(self._short(parts)))
-        tail = "" if end is None else str(end)
-        return [" ".join(filter(None, (self._joined(found), tail))) for found in parts]
-
-    def _joined(self, parts: list[str]) -> str:
-        try:
-            return " ".join(map(self.known.__getitem__, parts))
-        except KeyError:  # a long part
-            return " ".join([self.known.get(part) or self._coded(part) for part in parts])
-
-    @staticmethod
-    def _short(parts: list[list[str]]) -> set[str]:
-        return {part for part in set(chain.from_iterable(parts)) if len(part) <= LONGEST_REMEMBERED}
-
-    def _coded(self, part: str) -> str:
-        return " ".join(map(str, self.encode_part(part)))
+        tail = [] if end is None else [str(end)]
+        known = self.known.__getitem__
+        return [" ".join([*map(known, self.find(front + text.replace(" ", BLANK)) if text else ()), *tail]) for text in texts]
 
     def encode_part(self, part: str) -> list[int]:
-        """Ids of a text with ``BLANK`` for spaces, by the table of last tokens."""
-        whole = self.ids.get(part)
+        """Ids of a text with ``BLANK`` for spaces."""
+        return list(map(int, self.coded(part).split()))
+
+    def coded(self, part: str) -> str:
+        """Ids of a text with ``BLANK`` for spaces, by the table of last tokens, as decimals joined by one space."""
+        whole, names = self.ids.get(part), self.names
         if whole in self.made:
-            return [whole]
+            return names[whole]
         # Last tokens by their last characters; None at characters that no piece holds, and before the first: the place
         # in front of the text is read as the text's end, whose token is found last of all.
         last: list[int | None] = [None] * len(part)
@@ -183,47 +194,33 @@ class Coder:
         while at >= 0:
             token = last[at]
             if token is None:
-                out.extend(self.bytes[b] for b in reversed(part[at].encode("utf-8", "replace")))
+                out.extend(names[self.bytes[b]] for b in reversed(part[at].encode("utf-8", "replace")))
                 at -= 1
             else:
-                out.append(token)
+                out.append(names[token])
                 at -= sizes[token]
-        return out[::-1]
+        out.reverse()
+        return " ".join(out)
 
     def decode(self, ids: str) -> str:
         """The text of ids given as by :meth:`encode`. Bytes that are no UTF-8 become U+FFFD each."""
         if not ids:
             return ""
         tokens = ids.split(" ")
+        text = "".join(map(self.surface.__getitem__, tokens))
         try:
-            text = "".join(map(self.surface.__getitem__, tokens))
-        except KeyError:
-            text = "".join(self._with_bytes(tokens))
+            text.encode("utf-8")  # faster than a look for surrogates
+        except UnicodeEncodeError:
+            text = _read("".join(map(self.parted.__getitem__, tokens)))
         return text[1:] if self.model.blank_in_front and text.startswith(" ") and self._starts_blank(tokens) else text
 
     def _starts_blank(self, tokens: list[str]) -> bool:
         """Whether the first piece that is no control piece begins with a blank, which then stands for no space."""
         for token in tokens:
-            if token in self.byte_of:
-                return False
             if int(token) not in self.ends:
                 return self.model.pieces[int(token)].startswith(BLANK)
         return False
 
-    def _with_bytes(self, tokens: list[str]) -> Iterator[str]:
-        run = bytearray()
-        for token in tokens:
-            value = self.byte_of.get(token)
-            if value is not None:
-                run.append(value)
-                continue
-            if run:
-                yield _text(bytes(run))
-                run.clear()
-            yield self.surface[token]
-        if run:
-            yield _text(bytes(run))
-
     # Pairs
 
     def stay_two(self, left: int, right: int) -> bool:
@@ -270,11 +267,37 @@ class Coder:
             tokens[i : i + 2] = [merged]
 
 
+def _classes(pieces: Iterable[str]) -> list[set[str]]:
+    """The characters of pieces, but for ``BLANK``, in up to ``CLASSES`` sets of which no piece has two side by side."""
+    beside: dict[str, set[str]] = {}
+    for piece in pieces:
+        letters = piece.strip(BLANK)
+        for a, b in zip(letters, letters[1:] or letters):
+            beside.setdefault(a, set()).add(b)
+            beside.setdefault(b, set()).add(a)
+    found, waiting = [], set(beside) - {BLANK}
+    while waiting:
+        reached, fresh = set(), {waiting.pop()}
+        while fresh:
+            reached |= fresh
+            fresh = set().union(*map(beside.get, fresh)) - reached - {BLANK}
+        waiting -= reached
+        found.append(reached)
+    found.sort(key=len, reverse=True)
+    rest = set().union(*found[CLASSES - 1 :])
+    return [*found[: CLASSES - 1], *[rest] * bool(rest)]
+
+
 def _byte(piece: str) -> int:
     """The value of a byte token's name, such as ``<0x0A>``."""
     return int(piece[1:-1], 16)
 
 
+def _read(text: str) -> str:
+    """A text with its runs of lone surrogates, which stand for bytes, read as UTF-8."""
+    return BYTES.sub(lambda run: _text(run[0].encode("ascii", "surrogateescape")), text).replace(END_OF_RUN, "")
+
+
 def _text(run: bytes) -> str:
     """Bytes as UTF-8, U+FFFD for each byte that belongs to no character."""
     out = []

@@ -120,13 +120,17 @@ class Remembered(dict):
         self.limit = limit
         self.old: dict = {}
 
-    def unknown(self, keys: set) -> list:
-        """Bring ``keys`` into the young generation; those not remembered are returned, for the caller to add."""
+    def turn(self) -> None:
+        """Begin a new generation if the young one is full."""
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
+
+    def unknown(self, keys: Iterable) -> list:
+        """Bring distinct ``keys`` into the young generation; those not remembered are returned, for the caller to add."""
+        self.turn()
         fresh = []
-        for key in keys - self.keys():
+        for key in [key for key in keys if key not in self]:
             found = self.old.get(key)
             if found is None:
                 fresh.append(key)

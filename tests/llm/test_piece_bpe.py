@@ -37,6 +37,31 @@ def test_like_the_library(own, library):
     assert own.encode([""]) == [""] and own.decode("") == ""
 
 
+def test_texts_are_cut_where_no_piece_reaches_across(own, library):
+    text = "reanst!! (reanst) Привет, 日本 1.5"
+    assert own.find("▁" + text.replace(" ", "▁"))[:5] == ["▁reanst", "!!", "▁(", "reanst", ")"]
+    assert own.encode([text], 2) == [by_library(library, text)]
+    beside = {a + b for piece in own.ids for a, b in zip(piece.strip("▁"), piece.strip("▁")[1:])}
+    classes = piece_bpe._classes(own.ids)
+    assert len(classes) == piece_bpe.CLASSES and all(any(set(pair) <= c for c in classes) for pair in beside)
+
+
+def test_bytes_among_pieces(own, library):
+    rng = random.Random(8)
+    tokens, known = list(own.bytes.values()), range(library.vocab_size())
+    for _ in range(20_000):
+        ids = [rng.choice(tokens if rng.random() < 0.6 else known) for _ in range(rng.randint(1, 8))]
+        assert own.decode(" ".join(map(str, ids))) == library.decode(ids)
+
+
+def test_parts_are_remembered_for_two_generations(monkeypatch, library):
+    monkeypatch.setattr(piece_bpe, "REMEMBERED", 50)
+    own = piece_bpe.Coder(PATH)
+    texts = [" ".join(f"word{i % 7}x q{i}z" for i in range(300)) + "y" * 300 for _ in range(3)]
+    assert own.encode(texts, 2) == [by_library(library, t) for t in texts]
+    assert len(own.known) <= 51 and len(own.known.old) <= 51 and "y" * 300 not in own.known
+
+
 def test_every_character_in_context(own, library):
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)}" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
     assert own.encode(texts, 2) == [by_library(library, t) for t in texts]
