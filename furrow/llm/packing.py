@@ -28,6 +28,9 @@ WINDOW = 1024  # examples that wait for a place
 REMEMBERED = 300_000  # words per generation of the cache
 WORDS_TO_A_TEXT, FRESH_AT_ONCE = 50, 10_000
 MARK = " \0 "  # between words that are encoded together; words that hold it are encoded alone
+# The vocabulary's pattern always ends a token between these; an apostrophe may belong to the letters after it, and a
+# dotted I in lower case ends in a combining dot.
+LETTER_BEFORE_MARK = r"([0-9A-Za-zÀ-ÖØ-öø-įı-ɏ])([!-&(-/:-@\[-`{-~])", r"\1 \2"
 TEXT_AT_ONCE = 2_000_000  # bytes
 ROWS_AT_ONCE = 2_000
 TASK_SHIFT = 40  # sequence ids: the task's number above this bit, its sequences below
@@ -146,7 +149,8 @@ class WordTokens:
     """Token ids of texts by a vocabulary file of ``tokenizers`` that lower-cases and drops white space.
 
     Words between ASCII blanks are encoded once and remembered, for neither the file's normalisers nor its pattern
-    reach across a blank. Fresh words are encoded many to a text, with a mark that is a token of its own between them.
+    reach across a blank, nor from a letter to an ASCII mark after it: words are cut there too, so that one is known with
+    any marks behind it. Fresh words are encoded many to a text, with a mark that is a token of its own between them.
     With ``specials`` the names of special tokens in a text are those tokens, as by the file's own default, and such a
     text is encoded whole; else they are ordinary words.
     """
@@ -187,20 +191,18 @@ class WordTokens:
 
     def _words(self, texts: pa.Array) -> list[np.ndarray]:
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        numbered = split.flatten().dictionary_encode()
-        words, of_word = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
-        self._learn(self.known.unknown({word for word in words if word}))
+        words = split.flatten().dictionary_encode()
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(words.dictionary, *LETTER_BEFORE_MARK))
+        numbered = cut.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
         self.known[""] = b""
-        parts = list(map(self.known.__getitem__, words))
+        self._learn(self.known.unknown(distinct))
+        parts = list(map(self.known.__getitem__, distinct))
         ids, lengths = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        counts, starts = lengths[of_word], (np.cumsum(lengths) - lengths)[of_word]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        # The ids of all words in a row: each word's run is shifted to where its ids stand.
-        at = np.repeat((starts - ends[:-1]).astype(np.int32), counts)
-        at += np.arange(ends[-1], dtype=np.int32)
-        out = ids[at]
+        ids, ends = _strung(ids, lengths, numbered.indices.to_numpy())
+        ids, ends = _strung(ids, np.diff(ends[cut.offsets.to_numpy()]), words.indices.to_numpy())
         at = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
-        return [out[a:b] for a, b in zip(at, at[1:])]
+        return [ids[a:b] for a, b in zip(at, at[1:])]
 
     def _learn(self, fresh: list[str]) -> None:
         for at in range(0, len(fresh), FRESH_AT_ONCE):
@@ -218,6 +220,16 @@ class WordTokens:
                 self.known[word] = np.array(coded.ids, "<u4").tobytes()
 
 
+def _strung(ids: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids``, of these ``lengths``, one after another in ``order``, and where each ends, after a 0."""
+    counts, starts = lengths[order], (np.cumsum(lengths) - lengths)[order]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    # Each run is shifted to where its ids stand.
+    at = np.repeat((starts - ends[:-1]).astype(np.int32), counts)
+    at += np.arange(ends[-1], dtype=np.int32)
+    return ids[at], ends
+
+
 @lru_cache(maxsize=2)
 def word_tokens(path: str, specials: bool = False) -> WordTokens:
     """The process's encoder, so that batches share its cache."""

@@ -62,6 +62,22 @@ def test_documents(docs, tokenizer, limits, monkeypatch):
     check(pieces, texts, tokenizer, limits)
 
 
+def test_words_are_known_with_any_marks_behind_them(tokenizer):
+    own = packing.WordTokens(PATH)
+    texts = ["reanst!! reanst?", "(reanst), ñandú... it's' x'!y", "İ! É! ß) ½! ²! ΟΔΟΣ! a\u0301! a\u0338= a<\u0338 1.5 …!", None, ""]
+    want = [tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in own.encode(pa.array(texts))] == want
+    assert {"reanst", "!!", "?", "ñandú"} <= own.known.keys() and not {"reanst!!", "reanst?", "ñandú..."} & own.known.keys()
+
+
+def test_random_texts(tokenizer):
+    rng = random.Random(4)
+    marks = [*"abY09 !.,'\"()-_/&$%<>|~^`@?;:{}\n\t", *"éßÉΣςİıªº²½×÷ſɏ̸́…’日и😀\0", "the", "it's", "we'll", "<|endoftext|>"]
+    texts = ["".join(rng.choices(marks, k=rng.randint(0, 24))) for _ in range(20_000)]
+    coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [ids.tolist() for ids in packing.WordTokens(PATH).encode(pa.array(texts))] == [c.ids for c in coded]
+
+
 def test_whole_table(spark, tokenizer):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in table.collect()}
