@@ -36,7 +36,7 @@ from furrow.llm.tables import (
     window_hashes,
     word_hashes,
 )
-from furrow.workspace import materialize
+from furrow.workspace import discarded, materialize, new_path, written
 
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 1_000_000  # shingles whose fingerprints a task sends at once
@@ -96,6 +96,23 @@ def similar_documents(
     """
     texts = documents(docs, id_col, text_col)
     members = materialize(texts.mapInArrow(lambda b: _members(b, rule), MEMBERS_SCHEMA), "shingle-members")
+    spark = docs.sparkSession
+    kept = new_path(spark, "set-components"), new_path(spark, "components-of-repeated-ids")
+    with discarded(spark):  # what the result does not read
+        of_set, of_id = _components(texts, members, rule)
+        of_set, of_id = written(of_set, kept[0]), None if of_id is None else written(of_id, kept[1])
+    alone = F.col("doc_id")
+    if of_id is not None:  # a row without words whose id has others
+        members, alone = members.join(of_id, "doc_id", "left"), F.coalesce("of_id", "doc_id")
+    component = F.when(F.col("n") == 0, alone).otherwise(F.coalesce("component", "v"))
+    component = F.when(F.col("doc_id").isNotNull(), component)
+    return members.join(of_set, "set_key", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
+
+
+def _components(texts: DataFrame, members: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame | None]:
+    """``(set_key, v, component)`` of every set; if ids have several rows, ``(doc_id, of_id)`` of these, else none."""
     quick = [f"k{i}" for i in range(QUICK_KEYS)]
     sets = members.where("n > 0 and doc_id is not null").groupBy("set_key")
     sets = materialize(sets.agg(F.min("doc_id").alias("v"), *[F.first(k).alias(k) for k in quick]), "shingle-sets")
@@ -138,15 +155,7 @@ def similar_documents(
     if some:
         roots = roots.distinct()  # a node whose sets had different roots
 
-    of_set = materialize(sets.select("set_key", "v").join(roots, "v", "left"), "set-components")
-    alone = F.col("doc_id")
-    if some:  # a row without words whose id has others
-        members, alone = members.join(of_id, "doc_id", "left"), F.coalesce("of_id", "doc_id")
-    component = F.when(F.col("n") == 0, alone).otherwise(F.coalesce("component", "v"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return members.join(of_set, "set_key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
-    )
+    return sets.select("set_key", "v").join(roots, "v", "left"), of_id if some else None
 
 
 @released

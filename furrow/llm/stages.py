@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
-from furrow.workspace import materialize
+from furrow.workspace import checkpoint
 
 ABOVE_CHANCE = 1e-3
 # A text that has fewer familiar words than this share of its letter runs, and than this part of what is usual in its
@@ -26,8 +26,9 @@ def keep_languages(docs: DataFrame) -> DataFrame:
     model = language_id.fit(docs, docs_per_language=None)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    # Written once, for the median and the decision both read it.
-    scored = materialize(language_id.predict(docs, model, keep=_rest(docs)), "languages")
+    # Written once, for the median and the decision both read it; Spark can remove it when nothing refers to it, so that
+    # a copy of all texts need not outlast the stage.
+    scored = checkpoint(language_id.predict(docs, model, keep=_rest(docs)))
     named = F.col("doc_id").isNotNull() & F.col("row")["lang"].isNotNull()
     usual = language_id.usual_familiarity(scored, named)
     good = F.col("lang_pred") != language_id.UNDETERMINED

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -147,3 +148,19 @@ def test_the_language_stage_learns_from_all_rows(docs, monkeypatch):
     (model,) = seen
     want = np.log((6_000 + 0.5) / (4 * 6_000 + 0.5 * 103 + 1))
     assert len(model.tables[0]) == 103 and np.allclose(model.word("the"), want)
+
+
+def test_stages_leave_no_table_that_their_result_does_not_read(docs, spark, path, monkeypatch):
+    """Copies of texts, shingles and tiles go when a stage has used them; what a result reads stays."""
+    rows = [(i, f"the small house by the river has {i // 3} old doors and green windows", "en") for i in range(60)]
+    docs([*rows, (3, "another text of the same id"), (70, ""), (71, None), (None, "no id")]).write.parquet(path("docs"))
+    monkeypatch.setattr("furrow.workspace.workspace_root", lambda _: path("workspace"))
+    for stage in (stages.keep_languages, stages.drop_exact_copies, stages.drop_near_copies):
+        result = stage(spark.read.parquet(path("docs")))
+        assert result.count() > 0 and result.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    left = {name.rsplit("-", 1)[0] for name in os.listdir(path("workspace").removeprefix("file://"))}
+    assert not left & {
+        "languages", "copy-contents", "digest-collisions", "shingle-sets", "shingle-candidates", "shingle-arrays", "shingle-roots",
+        "tiles", "tile-roots", "prefix-keys", "prefix-tiles", "bounded-pairs", "links", "roots", "repeated-ids", "joined-roots",
+    }
+    assert {"copies", "shingle-members", "set-components", "components-of-repeated-ids"} <= left
