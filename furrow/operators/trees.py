@@ -43,7 +43,9 @@ from furrow.schemas import LABEL
 from furrow.workspace import materialize, new_path, prepare_checkpoints
 
 ROWS_TO_FIT = 20_000
-TREES_TO_A_TASK = 8
+TREES_TO_A_TASK = 8  # of a forest, at least: its rows are handed over once for them
+MOST_TREES_TO_A_TASK = 32
+TASKS_TO_A_THREAD = 4
 ROWS_TO_A_TASK = 250_000  # of a node that one task grows to the end
 ROWS_TO_A_BLOCK = 25_000  # of which a task sums labels or gradients, at least
 MOST_ROWS_TO_A_BLOCK = 500_000
@@ -721,8 +723,8 @@ class _Bounded(Estimator):
         """The sample, once for each group of trees."""
         sample = self._labelled(dataset).withColumn("place", F.xxhash64("features"))
         group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
-        # A partition for each group, as far as hashes go: how long a group takes does not follow from its bytes.
-        return sample.select(group, "label", "weight", "features", "place").repartition(groups, "group")
+        # A partition for each group: how long a group takes does not follow from its bytes.
+        return sample.select(group, "label", "weight", "features", "place").repartitionById(groups, "group")
 
 
 class Forest(_Bounded):
@@ -740,16 +742,19 @@ class Forest(_Bounded):
     def _fit(self, dataset: DataFrame) -> ForestModel:
         trees, bootstrap, random_cuts, per_node, seed = self.trees, self.bootstrap, self.random_cuts, self.per_node, self.seed
 
+        parallel = dataset.sparkSession.sparkContext.defaultParallelism
+        together = max(TREES_TO_A_TASK, min(MOST_TREES_TO_A_TASK, -(-trees // (TASKS_TO_A_THREAD * parallel))))
+
         def grow(key: tuple, table: pa.Table) -> pa.Table:
-            rows, first = Rows.read(table), key[0].as_py() * TREES_TO_A_TASK
+            rows, first = Rows.read(table), key[0].as_py() * together
             tried = per_node or max(1, math.isqrt(rows.width))
-            numbers = range(first, min(trees, first + TREES_TO_A_TASK))
+            numbers = range(first, min(trees, first + together))
             grown = [grow_tree(rows, t, np.random.default_rng([seed, t]), bootstrap, random_cuts, tried) for t in numbers]
             return pa.concat_tables(grown)
 
         if self.rows_to_fit is None and dataset.where(F.col(self.label).isNotNull()).count() > ROWS_TO_A_TASK:
             return ForestModel(self._apart(dataset), trees)
-        handed = self._handed_over(dataset, -(-trees // TREES_TO_A_TASK))
+        handed = self._handed_over(dataset, -(-trees // together))
         return ForestModel(materialize(handed.groupBy("group").applyInArrow(grow, FOREST_SCHEMA), "forest"), trees)
 
 

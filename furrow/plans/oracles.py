@@ -183,7 +183,7 @@ SIZES = {
     "mlp": (30, 4),
 }
 ROWS_TO_FIT = 20_000  # of the candidates that are not fitted on all
-SAMPLED = ("extra_trees", "mlp")
+SAMPLED = ("mlp",)
 _VALID = """count(*) AS valid_rows, count(*) FILTER (WHERE result = 1) AS valid_ones,
   0 AS bad_scores, true AS beats_majority, true AS good_auc"""
 

@@ -47,7 +47,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 PROFILE = "reference"  # the stated sizes
 AUC_FLOOR = 0.95
-WHOLE_TABLE = ("gbt_deep", "gbt_wide", "random_forest", "gbt_classic")  # fitted on every training row
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -626,14 +625,13 @@ def _train_query(name):
     @query(f"train_{name}")
     def run(spark, sf_dir):
         train, valid = _parts(spark, sf_dir)
-        learner = ml.candidates(PROFILE, None if name in WHOLE_TABLE else ml.ROWS_TO_FIT)[name]
+        learner = ml.candidates(PROFILE, None)[name]  # fitted on every training row
         model, dictionary = ml.train(train, learner)
-        # An unbounded depth is null; ``rows_to_fit``, where there is one, bounds the labelled rows that the fit uses.
+        # An unbounded depth is null.
         sizes = [
             F.lit(name).alias("model"),
             F.lit(model.stages[-1].getNumTrees).alias("size"),
             F.lit(learner.depth).cast("int").alias("depth"),
-            *([] if learner.rows_to_fit is None else [F.lit(learner.rows_to_fit).alias("rows_to_fit")]),
         ]
         return _holdout_check(model, dictionary, valid).select(*sizes, "*")
 

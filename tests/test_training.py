@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from furrow.operators import encoding, sampling
 from furrow.operators import training as ml
+from furrow.operators import trees
 from furrow.operators.encoding import fit_dictionary
 from furrow.operators.features import CategorySlots, feature_projection, feature_stages, hot_names, vector_names
 from furrow.operators.metrics import best_model, cv_summary
@@ -310,3 +311,27 @@ def test_four_candidates_are_fitted_on_every_row(spark, monkeypatch):
         assert "rows_to_fit" not in ORACLES[f"train_{name}"]
     for name in ("gbt_classic", "random_forest"):
         assert "rows_to_fit" not in queries.QUERIES[f"train_{name}"](spark, DATA).columns and seen[name] is None
+
+
+def test_extra_trees_are_fitted_on_every_row(spark, monkeypatch):
+    seen, keep = {}, ml.train
+
+    def watched(rows, learner, *more):
+        model = keep(rows, learner, *more)
+        # Without draws, the root of each tree has the share of ones among all rows, weighted.
+        seen.update(bound=learner.rows_to_fit, roots=[r["share"] for r in model[0].stages[-1].nodes.where("id = 0").collect()])
+        return model
+
+    monkeypatch.setattr(queries, "PROFILE", "smoke")
+    monkeypatch.setattr(ml, "train", watched)
+    monkeypatch.setattr(trees, "sample_rows", _unsampled(trees.sample_rows))
+    assert "rows_to_fit" not in ORACLES["train_extra_trees"] and "rows_to_fit" not in queries.QUERIES["train_extra_trees"](spark, DATA).columns
+    assert seen["bound"] is None and seen["roots"] == pytest.approx([0.5] * 8)
+
+
+def _unsampled(keep):
+    def rows(rows, most, *more):
+        assert most is None, "the fit is on a sample"
+        return keep(rows, most, *more)
+
+    return rows

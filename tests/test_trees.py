@@ -399,3 +399,17 @@ def test_boosted_sums_and_rows_left_out():
         got = trees.boosted_tree(bins, value, np.full(300, 0.2), own, everyone, growth, nodes)
         assert np.allclose(got, boosted_values(nodes, matrix(rows)))
         assert nodes.rows[0][5] == len(own) and sum(r[5] for r in nodes.rows if r[7] < 0) == len(own)
+
+
+def test_groups_of_trees_do_not_share_a_task(table, monkeypatch):
+    """A task for each group of trees, in which how many are together changes nothing of them."""
+    df, _ = table
+    forests, parts = [], []
+    for most in (8, 32):
+        monkeypatch.setattr(trees, "MOST_TREES_TO_A_TASK", most)
+        monkeypatch.setattr(trees, "TASKS_TO_A_THREAD", 1)
+        forest = Forest(trees=100, seed=3, rows_to_fit=None)
+        forests.append(sorted(map(tuple, forest.fit(df).nodes.collect())))
+        dealt = forest._handed_over(df, 7).select("group", F.spark_partition_id().alias("part")).distinct().collect()
+        parts.append(sorted(r["part"] for r in dealt))
+    assert forests[0] == forests[1] and parts == [[*range(7)]] * 2
