@@ -335,3 +335,19 @@ def _unsampled(keep):
         return keep(rows, most, *more)
 
     return rows
+
+
+class _Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["cv_summary"])
+def test_candidates_are_compared_on_every_row(spark, monkeypatch, name):
+    def seen(estimators, *more):
+        assert set(estimators) == set(ml.ROUNDS["reference"])
+        raise _Seen({e.rows_to_fit for e in estimators.values()})
+
+    monkeypatch.setattr(ml, "cross_validate", seen)
+    with pytest.raises(_Seen) as found:
+        queries.QUERIES[name](spark, DATA)
+    assert found.value.args == ({None},)
