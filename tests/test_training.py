@@ -341,7 +341,7 @@ class _Seen(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["cv_summary"])
+@pytest.mark.parametrize("name", ["cv_summary", "best_model"])
 def test_candidates_are_compared_on_every_row(spark, monkeypatch, name):
     def seen(estimators, *more):
         assert set(estimators) == set(ml.ROUNDS["reference"])
