@@ -5,10 +5,10 @@ have grown so far with every task. The learners here take a bounded number of la
 task can hold, and hand the rows over: a group of a forest's trees, or a boosted ensemble, gets all of them and
 finishes its trees without another pass over the data. Trees are as deep as their rows make them.
 
-Without a bound (``rows_to_fit=None``) every labelled row takes part. A forest's nodes of more rows than a task takes are
-split by passes over the table, which sum labels by node and bin; the rows of smaller ones are handed over and their
-subtrees grown to the end. Boosting keeps the rows as bins in the tasks, which sum gradients for a level of a tree at a
-time; the driver gets those sums and chooses the splits.
+Without a bound (``rows_to_fit=None``) every labelled row takes part, in the same way if a task can hold all of them.
+Otherwise a forest's nodes of more rows than a task takes are split by passes over the table, which sum labels by node and
+bin; the rows of smaller ones are handed over and their subtrees grown to the end. Boosting then keeps the rows as bins in
+the tasks, which sum gradients for a level of a tree at a time; the driver gets those sums and chooses the splits.
 
 What comes back is a table of nodes, a row per node. A boosted ensemble's is stored in the format of Spark ML's own
 models, so its scoring is Spark's, in the JVM. A forest of full-grown trees has millions of nodes, which Spark's model
@@ -47,6 +47,7 @@ TREES_TO_A_TASK = 8  # of a forest, at least: its rows are handed over once for
 MOST_TREES_TO_A_TASK = 32
 TASKS_TO_A_THREAD = 4
 ROWS_TO_A_TASK = 250_000  # of a node that one task grows to the end
+BOOSTED_ROWS_TO_A_TASK = 500_000  # up to which one task boosts sooner than a job for each level of a tree
 ROWS_TO_A_BLOCK = 25_000  # of which a task sums labels or gradients, at least
 MOST_ROWS_TO_A_BLOCK = 500_000
 ROWS_HANDED_OVER = 100_000_000  # times the trees that are grown at once
@@ -1101,7 +1102,7 @@ class Boosting(_Bounded):
         count = dataset.where(F.col(self.label).isNotNull()).count() if self.rows_to_fit is None else None
         if count == 0:
             raise ValueError("no labelled rows to fit boosted trees on")
-        if count is not None and count > ROWS_TO_A_TASK:
+        if count is not None and count > BOOSTED_ROWS_TO_A_TASK:
             rows = self._labelled(dataset).withColumn("place", F.xxhash64("features"))
             bins = fit_bins(rows, _width(dataset), self.most_bins)
             how = (self.rounds, self.rate, self.row_share, self.column_share, self.growth, self.from_prior, self.seed)

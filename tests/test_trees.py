@@ -374,7 +374,7 @@ def test_boosting_rows_that_a_task_takes_needs_no_job_a_level(table, monkeypatch
     monkeypatch.setattr(trees, "boost_all", lambda *a: passes.append(1) or keep(*a))
     models = {}
     for most in (600, 599):
-        monkeypatch.setattr(trees, "ROWS_TO_A_TASK", most)
+        monkeypatch.setattr(trees, "BOOSTED_ROWS_TO_A_TASK", most)
         models[most] = Boosting(rounds=5, rate=0.3, rows_to_fit=None, row_share=0.9 if most == 600 else 1.0, growth=growth).fit(df)
         assert len(passes) == (most == 599)
         got = models[most].transform(df).select("prediction").collect()
@@ -413,3 +413,16 @@ def test_groups_of_trees_do_not_share_a_task(table, monkeypatch):
         dealt = forest._handed_over(df, 7).select("group", F.spark_partition_id().alias("part")).distinct().collect()
         parts.append(sorted(r["part"] for r in dealt))
     assert forests[0] == forests[1] and parts == [[*range(7)]] * 2
+
+
+@pytest.mark.parametrize("growth", [Growth(leaves=6, least_rows=10), Growth(depth=4, leaves=6, l2=0.5), Growth(depth=3, l2=1.0)])
+def test_boosting_more_rows_than_a_task_takes_is_that_of_one_task(table, monkeypatch, growth):
+    """Leaf-wise and level-wise trees are the same on either side of the bound, and the roots count every row."""
+    df, _ = table
+    p = []
+    for most in (600, 100):
+        monkeypatch.setattr(trees, "BOOSTED_ROWS_TO_A_TASK", most)
+        monkeypatch.setattr(trees, "ROWS_TO_A_BLOCK", 50)
+        model = Boosting(rounds=4, rate=0.3, rows_to_fit=None, growth=growth).fit(df)
+        p.append([r[0][1] for r in model.transform(df).select(vector_to_array("probability")).collect()])
+    assert np.allclose(*p)
